@@ -1,8 +1,8 @@
-"""Text clean-up and byte decoding as column expressions."""
+"""Text clean-up and byte decoding."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from . import literal
 
 # The characters that count as blank at the ends of a value.
 BLANKS = (
@@ -10,96 +10,106 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+ASCII_BLANKS = " \t\n\r\u000b\u000c"
 
 # Names under which an XML prolog may declare each supported charset.
 UTF8_NAMES = ("", "utf-8", "utf8", "us-ascii", "ascii")
 LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "iso_8859-1", "latin1", "latin-1")
 CP1252_NAMES = ("windows-1252", "cp1252")
-UTF16_NAMES = ("utf-16", "utf-16le", "utf-16be", "utf16")
 
 # Windows-1252 differs from ISO-8859-1 only in 0x80-0x9F; undefined positions are left alone.
 _CP1252_BYTES = bytes(b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
-_CP1252_FROM = _CP1252_BYTES.decode("latin-1")
-_CP1252_TO = _CP1252_BYTES.decode("cp1252")
 
+_DECLARATION = r"""^[^<]*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)["']"""
 
-def bound(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, for expressions that use it many times."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-
-def clean(value: Column) -> Column:
+def clean(value: str) -> str:
     """Trimmed text, NULL when nothing is left."""
-    return F.nullif(F.btrim(value, F.lit(BLANKS)), F.lit(""))
+    return f"nullif(btrim({value}, {literal(BLANKS)}), '')"
 
 
-def join_texts(values: Column, separator: str = "|") -> Column:
+def join_texts(values: str, separator: str = "|") -> str:
     """Non-blank entries joined in order, NULL when there are none."""
-    kept = F.filter(F.transform(values, clean), lambda v: v.isNotNull())
-    return F.nullif(F.array_join(kept, separator), F.lit(""))
+    kept = f"filter(transform({values}, t -> {clean('t')}), t -> t is not null)"
+    return f"nullif(array_join({kept}, {literal(separator)}), '')"
 
 
-def quoted(value: Column) -> Column:
+def quoted(value: str) -> str:
     """Text in quotes for a message: single quotes unless only those occur inside."""
-    body = F.replace(value, F.lit("\\"), F.lit("\\\\"))
+    body = f"replace({value}, {literal(chr(92))}, {literal(chr(92) * 2)})"
     for char, escape in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        body = F.replace(body, F.lit(char), F.lit(escape))
-    single = F.contains(value, F.lit("'"))
-    double = F.contains(value, F.lit('"'))
-    return F.when(single & ~double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(
-        F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
+        body = f"replace({body}, {literal(char)}, {literal(escape)})"
+    single, double = literal("'"), literal('"')
+    return (
+        f"if(contains({value}, {single}) and not contains({value}, {double}), "
+        f"concat({double}, {body}, {double}), "
+        f"concat({single}, replace({body}, {single}, {literal(chr(92) + chr(39))}), {single}))"
+    )
+
+
+def strip_start(text: str) -> str:
+    """Text without the blanks and the byte-order mark in front of an XML document."""
+    unblanked = f"ltrim({literal(ASCII_BLANKS)}, {text})"
+    mark = literal("\ufeff")
+    return f"if(startswith({unblanked}, {mark}), substring({unblanked}, 2), {unblanked})"
+
+
+def is_blank(content: str) -> str:
+    """True for bytes that are empty or only blanks, whatever their charset."""
+    latin1 = f"decode({content}, 'ISO-8859-1')"
+    # The first byte settles it for nearly all documents.
+    maybe = f"contains({literal(ASCII_BLANKS)}, substring(decode(substring({content}, 1, 1), 'ISO-8859-1'), 1, 1))"
+    return (
+        f"case when octet_length({content}) = 0 then true "
+        f"when {maybe} then btrim({latin1}, {literal(ASCII_BLANKS)}) = '' "
+        f"when {content} is not null then false end"
     )
 
 
-def _well_formed_utf16(hex_text: Column, high_byte: int) -> Column:
+def _well_formed_utf16(content: str, big_endian: bool) -> str:
     unit = "[0-9A-F]{2}"
-    if high_byte == 0:
+    if big_endian:
         plain, lead, trail = f"(?!D[89A-F]){unit}{unit}", f"D[89AB]{unit}", f"D[C-F]{unit}"
     else:
         plain, lead, trail = f"{unit}(?!D[89A-F]){unit}", f"{unit}D[89AB]", f"{unit}D[C-F]"
-    return hex_text.rlike(f"^(?:{plain}|{lead}{trail})*+$")
+    return f"hex({content}) rlike {literal(f'^(?:{plain}|{lead}{trail})*+$')}"
+
 
+def _among(value: str, names: tuple[str, ...]) -> str:
+    return f"{value} in ({', '.join(literal(n) for n in names)})"
 
-def decode_document(content: Column) -> Column:
+
+def decode_document(content: str) -> str:
     """Bytes of an XML document to text, by byte-order mark, else by the declared encoding.
 
     NULL when the bytes are not valid in that charset or the charset is not known, so that such
     a document ends up in quarantine instead of failing the job. Leading blanks and the
     byte-order mark are removed.
     """
-    head = F.hex(F.substring(content, 1, 4))
-    prolog = F.decode(F.substring(content, 1, 400), "ISO-8859-1")
-    # UTF-16 text has a zero byte next to each ASCII character of its prolog.
-    declared = F.lower(
-        F.regexp_extract(
-            F.translate(prolog, "\u0000", ""),
-            r"""^[^<]*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)["']""",
-            1,
-        )
+    head = f"hex(substring({content}, 1, 4))"
+    prolog = f"decode(substring({content}, 1, 400), 'ISO-8859-1')"
+    declared = f"lower(regexp_extract({prolog}, {literal(_DECLARATION)}, 1))"
+    as_utf8 = f"cast({content} as string)"
+    utf8 = f"if(is_valid_utf8({as_utf8}), {as_utf8}, null)"
+    latin1 = f"decode({content}, 'ISO-8859-1')"
+    cp1252 = (
+        f"translate({latin1}, {literal(_CP1252_BYTES.decode('latin-1'))}, "
+        f"{literal(_CP1252_BYTES.decode('cp1252'))})"
     )
-    as_utf8 = content.cast("string")
-    utf8 = F.when(F.is_valid_utf8(as_utf8), as_utf8)
-    latin1 = F.decode(content, "ISO-8859-1")
 
-    def utf16(charset: str, high_byte: int) -> Column:
-        return F.when(_well_formed_utf16(F.hex(content), high_byte), F.decode(content, charset))
+    def utf16(big_endian: bool) -> str:
+        charset = "UTF-16BE" if big_endian else "UTF-16LE"
+        return (
+            f"if({_well_formed_utf16(content, big_endian)}, decode({content}, '{charset}'), null)"
+        )
 
-    big_endian = head.startswith("FEFF") | head.startswith("003C")
-    little_endian = head.startswith("FFFE") | head.startswith("3C00")
+    # UTF-16 without a mark shows as a zero byte next to the first "<".
     text = (
-        F.when(head.startswith("EFBBBF"), utf8)
-        .when(big_endian, utf16("UTF-16BE", 0))
-        .when(little_endian, utf16("UTF-16LE", 1))
-        .when(declared.isin(*UTF8_NAMES), utf8)
-        .when(declared.isin(*LATIN1_NAMES), latin1)
-        .when(declared.isin(*CP1252_NAMES), F.translate(latin1, _CP1252_FROM, _CP1252_TO))
+        f"case when {head} like 'EFBBBF%' then {utf8} "
+        f"when {head} like 'FEFF%' or {head} like '003C%' then {utf16(True)} "
+        f"when {head} like 'FFFE%' or {head} like '3C00%' then {utf16(False)} "
+        f"when {_among(declared, UTF8_NAMES)} then {utf8} "
+        f"when {_among(declared, LATIN1_NAMES)} then {latin1} "
+        f"when {_among(declared, CP1252_NAMES)} then {cp1252} end"
     )
     return strip_start(text)
-
-
-def strip_start(text: Column) -> Column:
-    """Text without the blanks and the byte-order mark in front of an XML document."""
-    unblanked = F.ltrim(text, F.lit(" \t\n\r\u000b\u000c"))
-    return F.when(
-        unblanked.startswith("\ufeff"), F.substring(unblanked, 2, 2**31 - 1)
-    ).otherwise(unblanked)

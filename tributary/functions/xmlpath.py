@@ -2,39 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from .text import clean
 
 
-def first_node(node: Column, path: str) -> Column:
+def first_node(node: str, path: str) -> str:
     """First repeat at each level of ``a/b/c``, NULL when any level is absent."""
     for part in path.split("/"):
-        node = F.get(node[part], F.lit(0))
+        node = f"get({node}.`{part}`, 0)"
     return node
 
 
-def first_text(node: Column, path: str) -> Column:
+def first_text(node: str, path: str) -> str:
     """Trimmed text of the first match, NULL when absent or blank."""
     return clean(first_node(node, path))
 
 
-def every_node(nodes: Column, path: str) -> Column:
+def every_node(nodes: str, path: str) -> str:
     """All matches of a path below an array of nodes, in document order; never NULL."""
-    nodes = F.coalesce(nodes, F.array())
+    nodes = f"coalesce({nodes}, array())"
     for part in path.split("/"):
-        nodes = F.flatten(F.transform(nodes, _children(part)))
+        nodes = f"flatten(transform({nodes}, node -> coalesce(node.`{part}`, array())))"
     return nodes
 
 
-def _children(part: str):
-    return lambda node: F.coalesce(node[part], F.array())
-
-
-def every_text(node: Column, path: str) -> Column:
+def every_text(node: str, path: str) -> str:
     """Texts of all repeats of the last step below the first match of the steps before it."""
     *parents, leaf = path.split("/")
     if parents:
         node = first_node(node, "/".join(parents))
-    texts = F.transform(F.coalesce(node[leaf], F.array().cast("array<string>")), clean)
-    return F.filter(texts, lambda t: t.isNotNull())
+    texts = f"transform(coalesce({node}.`{leaf}`, array()), t -> {clean('t')})"
+    return f"filter({texts}, t -> t is not null)"

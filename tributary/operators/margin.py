@@ -72,21 +72,14 @@ def by_dimension(clients: DataFrame, dimension: str) -> DataFrame:
 
 
 def share(clients: DataFrame, dimension: str) -> DataFrame:
-    """Share of each entry of a dimension in total revenue, in percent.
-
-    The total is taken over the already grouped rows, of which there is one per entry.
-    """
+    """Share of each entry of a dimension in total revenue, in percent."""
+    total = clients.agg(F.sum("receita").cast("double").alias("total")).scalar()
     grouped = clients.groupBy(dimension).agg(F.sum("receita").alias("receita"))
-    total = grouped.agg(F.sum("receita").alias("total"))
-    return grouped.crossJoin(F.broadcast(total)).select(
+    revenue = F.col("receita").cast("double")
+    return grouped.select(
         dimension,
         "receita",
-        F.when(
-            F.col("total") != 0,
-            F.col("receita").cast("double") / F.col("total").cast("double") * 100,
-        )
-        .otherwise(F.lit(0.0))
-        .alias("participacao"),
+        F.when(total != 0, revenue / total * 100).otherwise(F.lit(0.0)).alias("participacao"),
     )
 
 

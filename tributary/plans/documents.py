@@ -10,370 +10,376 @@ the wide projection behind them runs only for the rows that pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import fields as X
+from ..functions import literal
 from ..functions.dates import iso_date, iso_instant, month_key
 from ..functions.numbers import decimal_warning, exact_decimal
-from ..functions.text import clean, decode_document, join_texts, strip_start
+from ..functions.text import (
+    ASCII_BLANKS, clean, decode_document, is_blank, join_texts, strip_start,
+)
 from ..functions.xmlpath import every_node, first_node, first_text
 from ..schemas import CORRUPT_COLUMN, CTE_SCHEMA, NFE_SCHEMA, document_schema
 
 PROVENANCE = [
-    "source",
-    "source_root",
-    "source_file_path",
-    "source_file_type",
-    "source_entry_path",
-    "source_file_mtime",
-    "ingested_at",
+    "source", "source_root", "source_file_path", "source_file_type", "source_entry_path",
+    "source_file_mtime", "ingested_at",
 ]
 
 # Root element after prolog, comments and document type; names may carry a prefix.
-_ROOT = (
-    r"(?s)^(?:\s|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*+"
-    r"<((?:[^\s<>/:]+:)?([^\s<>/:]+))(?=[\s/>])"
-)
-_PARSE_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-    "ignoreNamespace": "true",
-}
-_TEXT_ENTRY = "text"
+_MISC = r"(?:\s|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*+"
+_ROOT = rf"(?s)^{_MISC}<((?:[^\s<>/:]+:)?([^\s<>/:]+))(?=[\s/>])"
+_NOT_MARKUP = r"(?s)<!--.*?-->|<\?.*?\?>|<!\[CDATA\[.*?\]\]>"
 
 
-def parse_xml(text: Column) -> Column:
+def parse_xml(text: str) -> str:
     """Parse tree of a document; ``_corrupt`` is set when it is not well formed."""
-    return F.from_xml(text, document_schema().simpleString(), _PARSE_OPTIONS)
+    return (
+        f"from_xml({text}, {literal(document_schema().simpleString())}, "
+        f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT_COLUMN}', "
+        "'ignoreNamespace', 'true'))"
+    )
 
 
-def _ends_with_root(text: Column, tag: Column) -> Column:
+def _ends_with_root(text: str, tag: str) -> str:
     """True when nothing but comments, instructions and blanks follows the root element.
 
     ``from_xml`` stops after the root, so this is what tells two documents glued together, or
     one followed by junk, from a well-formed one. Usually the first closing tag of the root is
     also the end of the text; only other texts are looked at by pattern.
     """
-    closing = F.concat(F.lit("</"), tag, F.lit(">"))
-    trimmed = F.rtrim(text, F.lit(" \t\n\r"))
-    first = F.call_function("instr", text, closing)
-    usual = (first > 0) & (first + F.length(closing) - 1 == F.length(trimmed))
-    bare = F.regexp_replace(
-        text, F.lit(r"(?s)<!--.*?-->|<\?.*?\?>|<!\[CDATA\[.*?\]\]>"), F.lit("")
+    closing = f"concat('</', {tag}, '>')"
+    at = f"instr({text}, {closing})"
+    rest = f"btrim(substring({text}, {at} + length({tag}) + 3), {literal(ASCII_BLANKS)})"
+    bare = f"regexp_replace({text}, {literal(_NOT_MARKUP)}, '')"
+    name = f"{literal(chr(92) + 'Q')}, {tag}, {literal(chr(92) + 'E')}"
+    closed_once = (
+        f"concat({literal('(?s)^(?:(?!</')}, {name}, {literal(r'\s*>).)*+</')}, {name}, "
+        f"{literal(r'\s*>\s*$')})"
     )
-    name = F.concat(F.lit(r"\Q"), tag, F.lit(r"\E"))
-    closed_once = F.call_function(
-        "rlike",
-        bare,
-        F.concat(F.lit(r"(?s)^(?:(?!</"), name, F.lit(r"\s*>).)*+</"), name, F.lit(r"\s*>\s*$")),
+    self_closed = (
+        f"concat({literal(rf'(?s)^{_MISC}<')}, {name}, {literal(r'(?:\s[^<>]*)?/>\s*$')})"
     )
-    self_closed = F.call_function(
-        "rlike",
-        bare,
-        F.concat(
-            F.lit(r"(?s)^[^<]*(?:<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>\s*)?<"), name, F.lit(r"(?:[\s][^<>]*)?/>\s*$")
-        ),
+    return (
+        f"coalesce(case when {at} > 0 and {rest} = '' then true "
+        f"else {bare} rlike {closed_once} or {bare} rlike {self_closed} end, false)"
     )
-    return F.when(usual, F.lit(True)).otherwise(closed_once | self_closed)
 
 
 def _element_pattern(name: str) -> str:
     return rf"(?s)<((?:[^\s<>/:]+:)?){name}(?=[\s/>])(?:[^>]*/>|.*?</\1{name}\s*>)"
 
 
-def _lifted(text: Column, wrapper: str, body: str, protocol: str) -> Column:
+def _lifted(text: str, wrapper: str, body: str, protocol: str) -> str:
     """Small document made of the first body and first protocol element found at any depth."""
-    bare = F.regexp_replace(text, F.lit(r"(?s)<!--.*?-->"), F.lit(""))
-    return F.concat(
-        F.lit(f"<{wrapper}>"),
-        F.regexp_extract(bare, _element_pattern(body), 0),
-        F.regexp_extract(bare, _element_pattern(protocol), 0),
-        F.lit(f"</{wrapper}>"),
+    bare = f"regexp_replace({text}, {literal('(?s)<!--.*?-->')}, '')"
+    return (
+        f"concat('<{wrapper}>', regexp_extract({bare}, {literal(_element_pattern(body))}, 0), "
+        f"regexp_extract({bare}, {literal(_element_pattern(protocol))}, 0), '</{wrapper}>')"
     )
 
 
+def _sql(df: DataFrame, keep: list[str], **columns: str) -> DataFrame:
+    return df.select(*keep, *[F.expr(e).alias(n) for n, e in columns.items()])
+
+
+def _generated(df: DataFrame, keep: list[str], **columns: str) -> DataFrame:
+    """Like a projection, but behind a generator (see the module text)."""
+    fields = ", ".join(f"'{n}', {e}" for n, e in columns.items())
+    return df.select(*keep, F.expr(f"inline(array(named_struct({fields})))"))
+
+
 def parse_documents(documents: DataFrame) -> DataFrame:
     """Classifies and parses each document once.
 
-    Result: the provenance columns plus
+    Result: the provenance columns (and ``fingerprint`` if given) plus
 
-    * ``kind``    ``nfe`` or ``cte`` by root element, NULL when there is none;
-    * ``outcome`` ``parsed``, ``no_body``, ``empty`` or ``corrupt``;
+    * ``kind``: ``nfe`` or ``cte`` by root element, NULL when there is none;
+    * ``outcome``: ``parsed``, ``no_body``, ``empty`` or ``corrupt``;
     * ``error_type``, ``error_message`` of corrupt documents;
-    * ``body``, ``protocol`` first matching nodes, one pair per kind;
-    * ``issued`` (local and UTC time), ``date_fallback``, ``ref_aaaamm``.
+    * ``nfe_body``, ``nfe_protocol``, ``cte_body``, ``cte_protocol``: first matching nodes;
+    * ``dhEmi`` (UTC wall time), ``date_fallback``, ``ano_emissao``, ``mes_emissao``,
+      ``ref_aaaamm`` (all three from the local time of the document).
     """
-    extra = [c for c in ("fingerprint",) if c in documents.columns]
-    if "error_type" not in documents.columns:
-        documents = documents.withColumn("error_type", F.lit(None).cast("string")).withColumn(
-            "error_message", F.lit(None).cast("string")
-        )
-    keep = [*PROVENANCE, *extra, "error_type", "error_message"]
-    raw = documents.select(*keep, _TEXT_ENTRY if _TEXT_ENTRY in documents.columns else "content")
-
-    if _TEXT_ENTRY in raw.columns:
-        decoded = raw.withColumn("blank", F.btrim(_TEXT_ENTRY, F.lit(" \t\n\r\u000b\u000c")) == "")
-        decoded = decoded.withColumn(_TEXT_ENTRY, strip_start(F.col(_TEXT_ENTRY)))
+    given = documents.columns
+    keep = PROVENANCE + [c for c in ("fingerprint",) if c in given]
+    read_error = {
+        c: f"cast({c if c in given else 'null'} as string)" for c in ("error_type", "error_message")
+    }
+    if "text" in given:
+        blank = f"btrim(text, {literal(ASCII_BLANKS)}) = ''"
+        decoded = _sql(documents, keep, text=strip_start("text"), blank=blank, **read_error)
     else:
-        # Bytes that are all blank: looked at through a one-to-one charset, so never undecodable.
-        as_latin1 = F.decode("content", "ISO-8859-1")
-        decoded = raw.select(
-            *keep,
-            decode_document(F.col("content")).alias(_TEXT_ENTRY),
-            F.when(F.octet_length("content") == 0, F.lit(True))
-            .when(
-                F.substring(as_latin1, 1, 1).isin(" ", "\t", "\n", "\r", "\u000b", "\u000c"),
-                F.btrim(as_latin1, F.lit(" \t\n\r\u000b\u000c")) == "",
-            )
-            .otherwise(F.lit(False))
-            .alias("blank"),
+        decoded = _sql(
+            documents, keep, text=decode_document("content"), blank=is_blank("content"), **read_error
         )
 
-    text = F.col(_TEXT_ENTRY)
-    rooted = decoded.select(
-        *keep,
-        _TEXT_ENTRY,
-        "blank",
-        F.nullif(F.regexp_extract(text, _ROOT, 1), F.lit("")).alias("root_tag"),
-        F.nullif(F.regexp_extract(text, _ROOT, 2), F.lit("")).alias("root"),
+    errors = ["error_type", "error_message"]
+    rooted = _sql(
+        decoded, [*keep, *errors, "text", "blank"],
+        tag=f"nullif(regexp_extract(text, {literal(_ROOT)}, 1), '')",
+        root=f"nullif(regexp_extract(text, {literal(_ROOT)}, 2), '')",
     )
-    parsed = rooted.select(
-        *keep, _TEXT_ENTRY, "blank", "root_tag", "root", F.inline(F.array(F.struct(parse_xml(text).alias("tree"))))
+    parsed = _generated(
+        rooted, [*keep, *errors, "text", "blank", "tag", "root"], tree=parse_xml("text")
     )
 
-    is_cte = F.col("root").isin(*X.CTE_ROOTS)
-    tree = F.col("tree")
-    whole = (
-        tree.isNotNull()
-        & tree[CORRUPT_COLUMN].isNull()
-        & F.coalesce(_ends_with_root(text, F.col("root_tag")), F.lit(False))
-    )
-    nfe_at_top = F.when(F.col("root") == "NFe", first_node(tree, "infNFe")).otherwise(
-        first_node(tree, "NFe/infNFe")
-    )
-    cte_at_top = F.when(F.col("root") == "CTe", first_node(tree, "infCte")).otherwise(
-        first_node(tree, "CTe/infCte")
+    roots = ", ".join(literal(r) for r in X.CTE_ROOTS)
+    checked = _sql(
+        parsed, [*keep, *errors, "text", "blank", "root", "tree"],
+        is_cte=f"coalesce(root in ({roots}), false)",
+        whole=f"tree is not null and tree.{CORRUPT_COLUMN} is null and {_ends_with_root('text', 'tag')}",
+        nfe_top=f"if(root = 'NFe', {first_node('tree', 'infNFe')}, {first_node('tree', 'NFe/infNFe')})",
+        cte_top=f"if(root = 'CTe', {first_node('tree', 'infCte')}, {first_node('tree', 'CTe/infCte')})",
     )
 
-    def deeper(node: Column, name: str) -> Column:
-        return node.isNull() & F.contains(text, F.lit(name))
+    def deeper(top: str, wrapper: str, body: str, protocol: str) -> str:
+        return (
+            f"(({top} is null and root <> '{body}' and contains(text, '{body}')) or "
+            f"({first_node('tree', protocol)} is null and contains(text, '{protocol}')))"
+        )
 
     # Only when a body or protocol exists below the first level is a second, small parse made.
-    lift_nfe = ~is_cte & (
-        (deeper(nfe_at_top, "NFe") & (F.col("root") != "NFe"))
-        | deeper(first_node(tree, "protNFe"), "protNFe")
+    lifted = (
+        f"case when whole and not is_cte and {deeper('nfe_top', 'nfeProc', 'NFe', 'protNFe')} "
+        f"then {_lifted('text', 'nfeProc', 'NFe', 'protNFe')} "
+        f"when whole and is_cte and {deeper('cte_top', 'cteProc', 'CTe', 'protCTe')} "
+        f"then {_lifted('text', 'cteProc', 'CTe', 'protCTe')} end"
     )
-    lift_cte = is_cte & (
-        (deeper(cte_at_top, "CTe") & (F.col("root") != "CTe"))
-        | deeper(first_node(tree, "protCTe"), "protCTe")
-    )
-    lifted = F.when(whole & lift_nfe, _lifted(text, "nfeProc", "NFe", "protNFe")).when(
-        whole & lift_cte, _lifted(text, "cteProc", "CTe", "protCTe")
-    )
-    second = parsed.select(
-        *keep, "blank", "root", "tree", whole.alias("whole"), nfe_at_top.alias("nfe_at_top"),
-        cte_at_top.alias("cte_at_top"), parse_xml(lifted).alias("deep"),
-        text.isNull().alias("undecodable"), F.col("root").isNull().alias("rootless"),
+    second = _sql(
+        checked,
+        [*keep, *errors, "blank", "root", "tree", "is_cte", "whole", "nfe_top", "cte_top"],
+        deep=parse_xml(lifted),
+        undecodable="text is null",
     )
 
-    deep = F.col("deep")
-    nfe = F.coalesce(F.col("nfe_at_top"), first_node(deep, "NFe/infNFe"))
-    cte = F.coalesce(F.col("cte_at_top"), first_node(deep, "CTe/infCte"))
-    failed = F.col("error_type").isNotNull()
-    empty = ~failed & F.col("blank")
-    corrupt = ~failed & ~empty & ~F.col("whole")
-    usable = ~failed & ~empty & ~corrupt
-    inner = F.struct(
-        F.when(usable & is_cte, F.lit("cte")).when(usable, F.lit("nfe")).alias("kind"),
-        F.when(failed | corrupt, F.lit("corrupt"))
-        .when(empty, F.lit("empty"))
-        .when(F.when(is_cte, cte.isNull()).otherwise(nfe.isNull()), F.lit("no_body"))
-        .otherwise(F.lit("parsed"))
-        .alias("outcome"),
-        F.coalesce(
-            F.col("error_type"),
-            F.when(corrupt & F.col("undecodable"), F.lit("UnicodeDecodeError")),
-            F.when(corrupt, F.lit("XMLSyntaxError")),
-        ).alias("error_type"),
-        F.coalesce(
-            F.col("error_message"),
-            F.when(corrupt & F.col("undecodable"), F.lit("bytes do not match the document's charset")),
-            F.when(corrupt & F.col("rootless"), F.lit("no root element")),
-            F.when(corrupt, F.lit("document is not well formed")),
-        ).alias("error_message"),
-        F.when(usable & ~is_cte, nfe).alias("nfe_body"),
-        F.when(usable & ~is_cte, F.coalesce(first_node(deep, "protNFe"), first_node(F.col("tree"), "protNFe"))).alias("nfe_protocol"),
-        F.when(usable & is_cte, cte).alias("cte_body"),
-        F.when(usable & is_cte, F.coalesce(first_node(deep, "protCTe"), first_node(F.col("tree"), "protCTe"))).alias("cte_protocol"),
+    nfe = f"coalesce(nfe_top, {first_node('deep', 'NFe/infNFe')})"
+    cte = f"coalesce(cte_top, {first_node('deep', 'CTe/infCte')})"
+    failed = "error_type is not null"
+    usable = f"({failed} or blank or not whole) is not true"
+    corrupt = f"({failed} or (blank is not true and not whole))"
+    outcome = _sql(
+        second, keep,
+        kind=f"case when {usable} then if(is_cte, 'cte', 'nfe') end",
+        outcome=f"case when {corrupt} then 'corrupt' when blank then 'empty' "
+        f"when if(is_cte, {cte} is null, {nfe} is null) then 'no_body' else 'parsed' end",
+        error_type=f"case when {failed} then error_type when {corrupt} "
+        "then if(undecodable, 'UnicodeDecodeError', 'XMLSyntaxError') end",
+        error_message=f"case when {failed} then error_message when {corrupt} "
+        "then case when undecodable then 'bytes do not match the charset of the document' "
+        "when root is null then 'no root element' else 'document is not well formed' end end",
+        nfe_body=f"if({usable} and not is_cte, {nfe}, null)",
+        nfe_protocol=f"if({usable} and not is_cte, "
+        f"coalesce({first_node('tree', 'protNFe')}, {first_node('deep', 'protNFe')}), null)",
+        cte_body=f"if({usable} and is_cte, {cte}, null)",
+        cte_protocol=f"if({usable} and is_cte, "
+        f"coalesce({first_node('tree', 'protCTe')}, {first_node('deep', 'protCTe')}), null)",
     )
-    outcome = second.select(*PROVENANCE, *extra, F.inline(F.array(inner)))
-
-    stated = F.coalesce(
-        iso_instant(first_text(F.col("nfe_body"), "ide/dhEmi")),
-        iso_instant(first_text(F.col("cte_body"), "ide/dhEmi")),
+    stated_text = (
+        f"coalesce({first_text('nfe_body', 'ide/dhEmi')}, {first_text('cte_body', 'ide/dhEmi')})"
+    )
+    dated = _sql(outcome, outcome.columns, stated=iso_instant(stated_text))
+    dated = _sql(
+        dated, dated.columns,
+        midnight="if(stated is null, "
+        f"cast({iso_date(first_text('nfe_body', 'ide/dEmi'))} as timestamp_ntz), null)",
     )
-    midnight = iso_date(first_text(F.col("nfe_body"), "ide/dEmi")).cast("timestamp_ntz")
-    dated = outcome.withColumn(
-        "stated", F.coalesce(stated, F.lit(None).cast("struct<local:timestamp_ntz,utc:timestamp_ntz>"))
-    ).withColumn("midnight", F.when(F.col("stated").isNull(), midnight))
-    local = F.coalesce(F.col("stated.local"), F.col("midnight"))
-    utc = F.coalesce(F.col("stated.utc"), F.col("midnight"))
-    return dated.select(
-        *outcome.columns,
-        F.col("midnight").isNotNull().alias("date_fallback"),
-        local.alias("issued_local"),
-        utc.alias("dhEmi"),
-        F.year(local).cast("smallint").alias("ano_emissao"),
-        F.month(local).cast("tinyint").alias("mes_emissao"),
-        month_key(local).alias(X.MONTH_COLUMN),
+    local = "coalesce(stated.local, midnight)"
+    return _sql(
+        dated, outcome.columns,
+        date_fallback="midnight is not null",
+        dhEmi="coalesce(stated.utc, midnight)",
+        ano_emissao=f"cast(year({local}) as smallint)",
+        mes_emissao=f"cast(month({local}) as tinyint)",
+        ref_aaaamm=month_key(local),
     )
 
 
 # --------------------------------------------------------------------------- typed rows
 
 
-def _warning_list(*groups: Column) -> Column:
-    kept = F.filter(F.concat(*groups), lambda w: w.isNotNull())
-    return F.when(F.size(kept) > 0, kept)
+def _of_kind(kind: str) -> str:
+    return f"(kind = '{kind}' and outcome in ('parsed', 'no_body'))"
+
+
+def invoice_rows(parsed: DataFrame) -> DataFrame:
+    """The 85-column goods-invoice table from parsed documents of kind ``nfe``."""
+    parts = _with_invoice_parts(parsed.filter(_of_kind("nfe")))
+    return parts.select(*[F.expr(e).alias(n) for n, e in _invoice_columns().items()])
+
+
+def freight_rows(parsed: DataFrame) -> DataFrame:
+    """The 43-column freight-waybill table from parsed documents of kind ``cte``."""
+    parts = _with_freight_parts(parsed.filter(_of_kind("cte")))
+    return parts.select(*[F.expr(e).alias(n) for n, e in _freight_columns().items()])
+
+
+def both_rows(parsed: DataFrame, wanted: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns of every document, and its table row in struct ``nfe`` or ``cte``.
+
+    The structs are NULL, and nothing is computed for them, where ``wanted`` does not hold.
+    """
+    bodies = ("nfe_body", "nfe_protocol", "cte_body", "cte_protocol")
+    blanked = parsed.withColumns({c: F.expr(f"if({wanted}, {c}, null)") for c in bodies})
+    parts = _with_freight_parts(_with_invoice_parts(blanked))
+
+    def row(kind: str, columns: dict[str, str]) -> str:
+        return f"if({wanted} and {_of_kind(kind)}, {_struct(columns)}, null)"
+
+    return _sql(
+        parts, keep, nfe=row("nfe", _invoice_columns()), cte=row("cte", _freight_columns())
+    )
+
+
+def _struct(columns: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in columns.items()) + ")"
+
+
+def _texts(node: str, table: list[X.Field]) -> str:
+    return _struct({f.column: first_text(node, f.path) for f in table})
+
+
+def _decimals(texts: str, table: list[X.Field]) -> str:
+    return _struct(
+        {f.column: exact_decimal(f"{texts}.{f.column}") for f in table if f.type == "decimal"}
+    )
 
 
-def _access_key(protocol_key: Column, attribute: Column, prefix: str) -> tuple[Column, Column]:
-    """Key and whether it came from the identifier attribute instead of the protocol."""
-    raw = F.regexp_replace(clean(attribute), "^" + prefix, "")
-    fallback = F.nullif(raw, F.lit(""))
-    return F.coalesce(protocol_key, clean(fallback)), protocol_key.isNull() & fallback.isNotNull()
+def _warnings(order: list[str], texts: str, values: str) -> str:
+    each = [decimal_warning(c, f"{texts}.{c}", f"{values}.{c}") for c in order]
+    return f"array({', '.join(each)})"
 
 
-def _scalar_texts(body: Column, table: list[X.Field]) -> Column:
-    return F.struct(*[first_text(body, f.path).alias(f.column) for f in table])
+def _scalars(prefix: str, table: list[X.Field]) -> dict[str, str]:
+    return {
+        f.column: f"{prefix}_{'texts' if f.type == 'text' else 'values'}.{f.column}" for f in table
+    }
 
 
-def _scalar_values(table: list[X.Field]) -> dict[str, Column]:
-    texts = F.col("texts")
+def _key_parts(prefix: str, protocol_path: str, attribute_prefix: str) -> dict[str, str]:
+    """Access key from the protocol, else from the identifier attribute of the body."""
+    stated = first_text(f"{prefix}_protocol", protocol_path)
+    identifier = f"nullif(regexp_replace({clean(f'{prefix}_body._Id')}, '^{attribute_prefix}', ''), '')"
     return {
-        f.column: texts[f.column] if f.type == "text" else exact_decimal(texts[f.column])
-        for f in table
+        f"{prefix}_key": f"if({prefix}_body is null, null, coalesce({stated}, {clean(identifier)}))",
+        f"{prefix}_key_fallback": f"{stated} is null and {identifier} is not null",
     }
 
 
-def _scalar_warnings(order: list[str]) -> list[Column]:
-    texts = F.col("texts")
-    return [decimal_warning(c, texts[c], exact_decimal(texts[c])) for c in order]
+def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({n: F.expr(e) for n, e in columns.items()})
 
 
-def _invoice_item(det: Column) -> Column:
-    """Typed fields of one item, with its warnings; NULL when the item has no product part."""
-    texts = {f.column: first_text(det, f.path) for f in X.NFE_ITEMS}
-    values = {
-        f.column: texts[f.column] if f.type == "text" else exact_decimal(texts[f.column])
-        for f in X.NFE_ITEMS
-    }
-    warnings = F.filter(
-        F.array(*[decimal_warning(c, texts[c], values[c]) for c in X.NFE_ITEM_WARNING_ORDER]),
-        lambda w: w.isNotNull(),
+def _with_invoice_parts(documents: DataFrame) -> DataFrame:
+    # An item without a product part is NULL in all of its lists.
+    item = f"if({first_node('det', 'prod')} is null, null, {_texts('det', X.NFE_ITEMS)})"
+    read = _with_sql(
+        documents,
+        {
+            "nfe_texts": _texts("nfe_body", X.NFE_SCALARS),
+            "nfe_items": f"coalesce(transform(nfe_body.det, det -> {item}), array())",
+            **_key_parts("nfe", "infProt/chNFe", "NFe"),
+        },
     )
-    return F.when(
-        first_node(det, "prod").isNotNull(),
-        F.struct(*[v.alias(c) for c, v in values.items()], warnings.alias("warnings")),
+    item_values = f"if(item is null, null, {_decimals('item', X.NFE_ITEMS)})"
+    return _with_sql(
+        read,
+        {
+            "nfe_values": _decimals("nfe_texts", X.NFE_SCALARS),
+            "nfe_item_values": f"transform(nfe_items, item -> {item_values})",
+        },
     )
 
 
-def invoice_rows(parsed: DataFrame) -> DataFrame:
-    """The 85-column goods-invoice table from parsed documents of kind ``nfe``."""
-    documents = parsed.filter((F.col("kind") == "nfe") & F.col("outcome").isin("parsed", "no_body"))
-    body = F.col("nfe_body")
-    key, key_fallback = _access_key(
-        first_text(F.col("nfe_protocol"), "infProt/chNFe"), body["_Id"], "NFe"
+def _invoice_columns() -> dict[str, str]:
+    body = "array(nfe_body)"
+    instalments = every_node(body, "cobr/dup")
+    references = f"transform({every_node(body, 'ide/NFref')}, r -> get(r.refNFe, 0))"
+    values = _scalars("nfe", X.NFE_SCALARS)
+    for f in X.NFE_ITEMS:
+        values[f.column] = f"{'nfe_items' if f.type == 'text' else 'nfe_item_values'}.{f.column}"
+    values.update(
+        chNFe="nfe_key",
+        refNFe=join_texts(references),
+        dup_nDup=f"transform({instalments}, d -> {first_text('d', 'nDup')})",
+        dup_dVenc=f"transform({instalments}, d -> {iso_date(first_text('d', 'dVenc'))})",
+        pag_tPag=f"transform({every_node(body, 'pag/detPag')}, p -> {first_text('p', 'tPag')})",
     )
-    staged = documents.select(
-        *documents.columns,
-        _scalar_texts(body, X.NFE_SCALARS).alias("texts"),
-        F.coalesce(F.transform(body["det"], _invoice_item), F.array()).alias("items"),
-        F.when(body.isNotNull(), key).alias("key"),
-        key_fallback.alias("key_fallback"),
+    date_warning = (
+        f"case when date_fallback then {literal(X.WARN_NFE_DATE_FALLBACK)} "
+        f"when dhEmi is null then {literal(X.WARN_NFE_NO_DATE)} end"
     )
-    instalments = every_node(F.array(body), "cobr/dup")
-    values = _scalar_values(X.NFE_SCALARS)
-    values.update(
-        dhEmi=F.col("dhEmi"),
-        chNFe=F.col("key"),
-        refNFe=join_texts(
-            F.transform(every_node(F.array(body), "ide/NFref"), lambda n: F.get(n["refNFe"], F.lit(0)))
-        ),
-        ano_emissao=F.col("ano_emissao"),
-        mes_emissao=F.col("mes_emissao"),
-        dup_nDup=F.transform(instalments, lambda n: first_text(n, "nDup")),
-        dup_dVenc=F.transform(instalments, lambda n: iso_date(first_text(n, "dVenc"))),
-        pag_tPag=F.transform(every_node(F.array(body), "pag/detPag"), lambda n: first_text(n, "tPag")),
+    key_warning = (
+        f"case when nfe_key_fallback then {literal(X.WARN_NFE_KEY_FALLBACK)} "
+        f"when nfe_key is null then {literal(X.WARN_NFE_NO_KEY)} end"
     )
-    values.update({f.column: F.col("items")[f.column] for f in X.NFE_ITEMS})
-    general = F.array(
-        F.when(F.col("date_fallback"), F.lit(X.WARN_NFE_DATE_FALLBACK)).when(
-            F.col("dhEmi").isNull(), F.lit(X.WARN_NFE_NO_DATE)
-        ),
-        F.when(F.col("key_fallback"), F.lit(X.WARN_NFE_KEY_FALLBACK)).when(
-            F.col("key").isNull(), F.lit(X.WARN_NFE_NO_KEY)
-        ),
-        *_scalar_warnings(X.NFE_SCALAR_WARNING_ORDER),
+    per_item = (
+        "flatten(zip_with(nfe_items, nfe_item_values, (item, value) -> "
+        f"{_warnings(X.NFE_ITEM_WARNING_ORDER, 'item', 'value')}))"
+    )
+    scalar = _warnings(X.NFE_SCALAR_WARNING_ORDER, "nfe_texts", "nfe_values")
+    return _in_order(NFE_SCHEMA, values, [f"array({date_warning}, {key_warning})", scalar, per_item])
+
+
+def _with_freight_parts(documents: DataFrame) -> DataFrame:
+    cargo = f"coalesce({first_node('cte_body', 'infCTeNorm/infCarga')}.infQ, array())"
+    linked = f"coalesce({first_node('cte_body', 'infCTeNorm/infDoc')}.infNFe, array())"
+    volumes = every_node("array(cte_body)", "transp/vol")
+    read = _with_sql(
+        documents,
+        {
+            "cte_texts": _texts("cte_body", X.CTE_SCALARS),
+            "cte_cargo": f"transform({cargo}, n -> {first_text('n', 'qCarga')})",
+            "cte_linked": f"transform({linked}, n -> {first_text('n', 'chave')})",
+            "cte_volumes": f"transform({volumes}, n -> {first_text('n', 'qVol')})",
+            **_key_parts("cte", "infProt/chCTe", "CTe"),
+        },
+    )
+    return _with_sql(
+        read,
+        {
+            "cte_values": _decimals("cte_texts", X.CTE_SCALARS),
+            "cte_cargo_values": f"transform(cte_cargo, t -> {exact_decimal('t')})",
+            "cte_volume_values": f"transform(cte_volumes, t -> {exact_decimal('t')})",
+        },
     )
-    from_items = F.flatten(F.filter(F.col("items")["warnings"], lambda w: w.isNotNull()))
-    warnings = F.when(F.col("outcome") == "parsed", _warning_list(general, from_items))
-    return staged.select(*_in_order(NFE_SCHEMA, values, warnings))
 
 
-def freight_rows(parsed: DataFrame) -> DataFrame:
-    """The 43-column freight-waybill table from parsed documents of kind ``cte``."""
-    documents = parsed.filter((F.col("kind") == "cte") & F.col("outcome").isin("parsed", "no_body"))
-    body, protocol = F.col("cte_body"), F.col("cte_protocol")
-    key, key_fallback = _access_key(first_text(protocol, "infProt/chCTe"), body["_Id"], "CTe")
-    cargo = F.coalesce(first_node(body, "infCTeNorm/infCarga")["infQ"], F.array())
-    linked = F.coalesce(first_node(body, "infCTeNorm/infDoc")["infNFe"], F.array())
-    volumes = every_node(F.array(body), "transp/vol")
-    staged = documents.select(
-        *documents.columns,
-        _scalar_texts(body, X.CTE_SCALARS).alias("texts"),
-        F.transform(cargo, lambda n: first_text(n, "qCarga")).alias("cargo"),
-        F.transform(linked, lambda n: first_text(n, "chave")).alias("linked"),
-        F.transform(volumes, lambda n: first_text(n, "qVol")).alias("volumes"),
-        F.when(body.isNotNull(), key).alias("key"),
-        key_fallback.alias("key_fallback"),
-    )
-    values = _scalar_values(X.CTE_SCALARS)
+def _freight_columns() -> dict[str, str]:
+    values = _scalars("cte", X.CTE_SCALARS)
     values.update(
-        dhEmi=F.col("dhEmi"),
-        chCTe=F.col("key"),
-        cStat=first_text(protocol, "infProt/cStat"),
-        infQ_qCarga=F.transform("cargo", exact_decimal),
-        infNFe_chave=F.col("linked"),
-        transp_qVol=F.transform("volumes", exact_decimal),
+        chCTe="cte_key",
+        cStat=first_text("cte_protocol", "infProt/cStat"),
+        infQ_qCarga="cte_cargo_values",
+        infNFe_chave="cte_linked",
+        transp_qVol="cte_volume_values",
     )
-    general = F.array(
-        F.when(F.col("dhEmi").isNull(), F.lit(X.WARN_CTE_NO_DATE)),
-        F.when(F.col("key_fallback"), F.lit(X.WARN_CTE_KEY_FALLBACK)).when(
-            F.col("key").isNull(), F.lit(X.WARN_CTE_NO_KEY)
-        ),
-        *_scalar_warnings(X.CTE_SCALAR_WARNING_ORDER),
+    general = (
+        f"array(if(dhEmi is null, {literal(X.WARN_CTE_NO_DATE)}, null), "
+        f"case when cte_key_fallback then {literal(X.WARN_CTE_KEY_FALLBACK)} "
+        f"when cte_key is null then {literal(X.WARN_CTE_NO_KEY)} end)"
     )
+    scalar = _warnings(X.CTE_SCALAR_WARNING_ORDER, "cte_texts", "cte_values")
 
-    def of_list(column: str, name: str) -> Column:
-        return F.transform(name, lambda t: decimal_warning(column, t, exact_decimal(t)))
+    def of_list(column: str, texts: str, numbers: str) -> str:
+        return f"zip_with({texts}, {numbers}, (t, v) -> {decimal_warning(column, 't', 'v')})"
 
-    warnings = F.when(
-        F.col("outcome") == "parsed",
-        _warning_list(general, of_list("infQ_qCarga", "cargo"), of_list("transp_qVol", "volumes")),
-    )
-    return staged.select(*_in_order(CTE_SCHEMA, values, warnings))
+    lists = [
+        of_list("infQ_qCarga", "cte_cargo", "cte_cargo_values"),
+        of_list("transp_qVol", "cte_volumes", "cte_volume_values"),
+    ]
+    return _in_order(CTE_SCHEMA, values, [general, scalar, *lists])
 
 
-def _in_order(schema, values: dict[str, Column], warnings: Column) -> list[Column]:
-    columns = []
+def _in_order(schema: T.StructType, values: dict[str, str], warnings: list[str]) -> dict[str, str]:
+    kept = f"filter(concat({', '.join(warnings)}), w -> w is not null)"
+    values["parser_warnings"] = f"get(filter(array({kept}), kept -> size(kept) > 0), 0)"
+    columns = {}
     for field in schema:
-        value = values.get(field.name)
-        if field.name == "parser_warnings":
-            value = warnings
-        elif value is None:
-            value = F.col(field.name)
-        elif isinstance(field.dataType, T.ArrayType):
-            value = F.when(F.col("outcome") == "parsed", value)
-        columns.append(value.cast(field.dataType).alias(field.name))
+        value = values.get(field.name, field.name)
+        if isinstance(field.dataType, T.ArrayType):
+            # A document without a body has no lists at all, as opposed to empty ones.
+            value = f"if(outcome = 'parsed', {value}, null)"
+        columns[field.name] = f"cast({value} as {field.dataType.simpleString()})"
     return columns
