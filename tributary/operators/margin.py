@@ -93,6 +93,12 @@ def brazilian_number(value: Column, decimals: int) -> Column:
     return F.translate(F.format_number(value, decimals), ",.", ".,")
 
 
+def brazilian_currency(value: Column) -> Column:
+    """Amount as ``R$ 1.234,56``, the gap being a no-break space, the sign in front."""
+    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, F.lit("R$\u00a0"), brazilian_number(F.abs(value), 2))
+
+
 def detail_table(clients: DataFrame, region: str = rules.ALL_REGIONS) -> DataFrame:
     """Client, region, revenue, revenue as currency text, margin to one decimal and its band."""
     rows = with_margin(rules.in_region(clients, region))
@@ -101,7 +107,7 @@ def detail_table(clients: DataFrame, region: str = rules.ALL_REGIONS) -> DataFra
         "cliente",
         "regiao",
         "receita",
-        F.concat(F.lit("R$ "), brazilian_number(F.col("receita"), 2)).alias("receita_texto"),
+        brazilian_currency(F.col("receita")).alias("receita_texto"),
         F.round("margem", 1).alias("margem"),
         band(F.col("margem")).alias("faixa"),
     )
