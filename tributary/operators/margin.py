@@ -90,7 +90,7 @@ def dimension_values(clients: DataFrame, dimension: str) -> DataFrame:
 
 def brazilian_number(value: Column, decimals: int) -> Column:
     """Number with ``.`` between thousands and ``,`` before the decimals."""
-    return F.translate(F.format_number(value, decimals), ",.", ".,")
+    return F.translate(F.format_number(F.round(value, decimals), decimals), ",.", ".,")
 
 
 def brazilian_currency(value: Column) -> Column:
@@ -108,6 +108,6 @@ def detail_table(clients: DataFrame, region: str = rules.ALL_REGIONS) -> DataFra
         "regiao",
         "receita",
         brazilian_currency(F.col("receita")).alias("receita_texto"),
-        F.round("margem", 1).alias("margem"),
+        (F.round("margem", 1) + F.lit(0.0)).alias("margem"),
         band(F.col("margem")).alias("faixa"),
     )

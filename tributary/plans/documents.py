@@ -3,9 +3,10 @@
 Input rows carry the provenance columns below and either ``content`` (bytes) or ``text``, and
 optionally ``error_type`` / ``error_message`` when the bytes could not be read.
 
-The parsed tree is emitted through ``inline`` on purpose: the optimizer does not move filters
-below a generator, so the year and month filters cannot make Spark parse a document twice, and
-the wide projection behind them runs only for the rows that pass.
+The parsed tree and the columns that filters look at are emitted through ``inline`` on purpose: the
+optimizer does not move filters below a generator, so that a filter on kind or month neither repeats
+the parse nor drags the expressions behind those columns along, and the wide projection runs only
+for the rows that pass.
 """
 
 from __future__ import annotations
@@ -186,14 +187,19 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         f"cast({iso_date(first_text('nfe_body', 'ide/dEmi'))} as timestamp_ntz), null)",
     )
     local = "coalesce(stated.local, midnight)"
-    return _sql(
-        dated, outcome.columns,
-        date_fallback="midnight is not null",
-        dhEmi="coalesce(stated.utc, midnight)",
-        ano_emissao=f"cast(year({local}) as smallint)",
-        mes_emissao=f"cast(month({local}) as tinyint)",
-        ref_aaaamm=month_key(local),
-    )
+    bodies = ["nfe_body", "nfe_protocol", "cte_body", "cte_protocol"]
+    decided = {
+        "kind": "kind",
+        "outcome": "outcome",
+        "date_fallback": "midnight is not null",
+        "dhEmi": "coalesce(stated.utc, midnight)",
+        "ano_emissao": f"cast(year({local}) as smallint)",
+        "mes_emissao": f"cast(month({local}) as tinyint)",
+        X.MONTH_COLUMN: month_key(local),
+    }
+    plain = [*keep, "error_type", "error_message", *bodies]
+    ready = _sql(dated, plain, **decided)
+    return _generated(ready, plain, **{c: c for c in decided})
 
 
 # --------------------------------------------------------------------------- typed rows

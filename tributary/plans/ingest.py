@@ -255,9 +255,11 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
         .collect()
     )
     counts = _counts(documents, options, metrics.scan_counts(listing))
-    strict_failures = {r["source"] for r in counts.filter("errors > 0").select("source").collect()}
+    failed = set()
+    if options.strict_archives:
+        failed = {r["source"] for r in counts.filter("errors > 0").select("source").collect()}
 
-    tables, failed = [], set(strict_failures)
+    tables = []
     for source in options.sources:
         targets = [("nfe", source.invoice_table, source.name)]
         if source.freight_table:

@@ -166,7 +166,7 @@ def margin_band(spark, sf):
     WITH {CLIENTS_SQL}
     SELECT id, cliente, regiao, CAST(receita AS DECIMAL(38,4)) AS receita,
       'R$' || chr(160) || translate(format('{{:,.2f}}', CAST(CAST(receita AS DECIMAL(38,2)) AS DOUBLE)), ',.', '.,') AS receita_texto,
-      round(margem, 1) AS margem, {_BAND_SQL} AS faixa
+      round(margem, 1) + 0.0 AS margem, {_BAND_SQL} AS faixa
     FROM rated
     """
 )
