@@ -6,6 +6,7 @@ batch run, over the files of that batch, so the ledger, the rules and the tables
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,8 @@ def ingest_stream(
 ) -> None:
     """Processes all files not delivered before and returns.
 
-    A repeated micro-batch uses the same run id, so its state folders are replaced; its documents
-    are absorbed by keep-latest when the tables are merged.
+    A micro-batch that is repeated after a failure is a run of its own: files that the first attempt
+    got into the ledger are skipped, the others are read again and absorbed by keep-latest.
     """
     files = None
     for source in options.sources:
@@ -33,7 +34,7 @@ def ingest_stream(
         files = listed if files is None else files.union(listed)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"stream-{batch_id:08d}"
+        run_id = f"stream-{batch_id:08d}-{uuid.uuid4().hex[:8]}"
         result = ingest(batch.sparkSession, replace(options, run_id=run_id), files=batch)
         if result.had_errors:
             raise RuntimeError(f"micro-batch {batch_id} had errors; it will be repeated")
