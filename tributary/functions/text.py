@@ -28,6 +28,16 @@ def clean(value: str) -> str:
     return f"nullif(btrim({value}, {literal(BLANKS)}), '')"
 
 
+def clean_parsed(value: str) -> str:
+    """Same as :func:`clean` for text that the XML parser has already stripped of ASCII blanks.
+
+    Text of one byte per character can then have no blanks left at its ends.
+    """
+    return (
+        f"if(octet_length({value}) = length({value}), if({value} = '', null, {value}), {clean(value)})"
+    )
+
+
 def join_texts(values: str, separator: str = "|") -> str:
     """Non-blank entries joined in order, NULL when there are none."""
     kept = f"filter(transform({values}, t -> {clean('t')}), t -> t is not null)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .text import clean
+from .text import clean, clean_parsed
 
 
 def first_node(node: str, path: str) -> str:
@@ -14,7 +14,7 @@ def first_node(node: str, path: str) -> str:
 
 def first_text(node: str, path: str) -> str:
     """Trimmed text of the first match, NULL when absent or blank."""
-    return clean(first_node(node, path))
+    return clean_parsed(first_node(node, path))
 
 
 def every_node(nodes: str, path: str) -> str:

@@ -18,7 +18,7 @@ from ..functions import literal
 from ..functions.dates import iso_date, iso_instant, month_key
 from ..functions.numbers import decimal_warning, exact_decimal
 from ..functions.text import (
-    ASCII_BLANKS, clean, decode_document, is_blank, join_texts, strip_start,
+    ASCII_BLANKS, clean, clean_parsed, decode_document, is_blank, join_texts, strip_start,
 )
 from ..functions.xmlpath import every_node, first_node, first_text
 from ..schemas import CORRUPT_COLUMN, CTE_SCHEMA, NFE_SCHEMA, document_schema
@@ -39,7 +39,7 @@ def parse_xml(text: str) -> str:
     return (
         f"from_xml({text}, {literal(document_schema().simpleString())}, "
         f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{CORRUPT_COLUMN}', "
-        "'ignoreNamespace', 'true'))"
+        "'ignoreNamespace', 'true', 'ignoreSurroundingSpaces', 'true'))"
     )
 
 
@@ -279,12 +279,14 @@ def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def _with_invoice_parts(documents: DataFrame) -> DataFrame:
     # An item without a product part is NULL in all of its lists.
-    item = f"if({first_node('det', 'prod')} is null, null, {_texts('det', X.NFE_ITEMS)})"
+    raw = _struct({f.column: first_node("det", f.path) for f in X.NFE_ITEMS})
+    raw = f"transform(nfe_body.det, det -> if({first_node('det', 'prod')} is null, null, {raw}))"
+    item = _struct({f.column: clean_parsed(f"raw.{f.column}") for f in X.NFE_ITEMS})
     read = _with_sql(
         documents,
         {
             "nfe_texts": _texts("nfe_body", X.NFE_SCALARS),
-            "nfe_items": f"coalesce(transform(nfe_body.det, det -> {item}), array())",
+            "nfe_items": f"coalesce(transform({raw}, raw -> if(raw is null, null, {item})), array())",
             **_key_parts("nfe", "infProt/chNFe", "NFe"),
         },
     )

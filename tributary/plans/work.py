@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import math
+
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -16,3 +18,14 @@ def work_folder(spark: SparkSession, otherwise: str) -> str:
         CHECKPOINT_SETTING
     )
     return (named or f"{otherwise.rstrip('/')}/work").rstrip("/")
+
+
+def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """Rows dealt out evenly, for work that costs far more per row than reading the row did.
+
+    The number of tasks is given to Spark outright: left alone it would go by bytes, and put all
+    rows of a small file into one task. Counting the rows of a Parquet table reads footers only.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(df.count() / rows_per_task))
+    return df.repartition(tasks)

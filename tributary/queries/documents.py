@@ -8,7 +8,9 @@ from ..functions import literal
 from ..functions.render import invoice, leaf, node, repeated, waybill, with_id
 from ..operators.flatten import flatten_freight, flatten_invoices
 from ..operators.rules import within_rules
+from ..plans.ingest import DOCUMENTS_PER_TASK
 from ..plans.documents import freight_rows, invoice_rows, parse_documents
+from ..plans.work import spread
 from . import query, table
 
 NOW = "1998-01-15"
@@ -29,7 +31,8 @@ def rendered(rows: DataFrame, path: str, text: str, source: str = "'orders'") ->
         "ingested_at": "timestamp_ntz'2001-01-02 00:00:00'",
         "text": text,
     }
-    return rows.select(*[F.expr(e).alias(n) for n, e in columns.items()])
+    spread_rows = spread(rows, DOCUMENTS_PER_TASK)
+    return spread_rows.select(*[F.expr(e).alias(n) for n, e in columns.items()])
 
 
 def order_items(count: str) -> str:
