@@ -78,6 +78,9 @@ def test_run_then_nothing_new_then_forget(spark, inputs):
     way = read_months(spark, str(inputs / "out/cte"), CTE_SCHEMA).collect()
     assert [(r.chCTe[:1], r.source, r.source_entry_path, r.source_file_type) for r in way] == [
         ("2", "processados_cte", "c.xml", "zip")]
+    assert {r.ingested_at for r in way} == {NOW}
+    modified = dt.datetime.fromtimestamp((inputs / "processados/z.zip").stat().st_mtime, dt.timezone.utc)
+    assert abs(way[0].source_file_mtime - modified.replace(tzinfo=None)) < dt.timedelta(seconds=1)
     assert read_months(spark, str(inputs / "out/importados_flat"), None).count() == 24
     assert read_months(spark, str(inputs / "out/cte_flat"), None).count() == 8
 

@@ -15,13 +15,14 @@ again, and a lost executor repeats a task, not the run.
 
 from __future__ import annotations
 
+import logging
 import math
 import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fields as X
 from ..operators import metrics, rules, state
@@ -34,6 +35,8 @@ from .documents import both_rows, parse_documents
 from .flat_tables import flatten_tables
 from .work import work_folder
 
+log = logging.getLogger(__name__)
+
 BYTES_PER_TASK = 64 << 20
 DOCUMENTS_PER_TASK = 20_000
 ARCHIVES_PER_TASK = 16
@@ -87,7 +90,7 @@ class IngestOptions:
 
     @property
     def window(self) -> list[str]:
-        return rules.month_window(self.now, self.window_months)
+        return rules.month_window(_utc(self.now), self.window_months)
 
 
 @dataclass(frozen=True)
@@ -103,6 +106,11 @@ def _utc(now: datetime) -> datetime:
     return now.astimezone(timezone.utc).replace(tzinfo=None) if now.tzinfo else now
 
 
+def _stamp(now: datetime) -> Column:
+    """Zone-less UTC time as a column; as text, so that no time zone setting touches it."""
+    return F.lit(_utc(now).isoformat(sep=" ", timespec="milliseconds")).cast("timestamp_ntz")
+
+
 def _run_id(options: IngestOptions) -> str:
     return options.run_id or f"{_utc(options.now):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
@@ -141,10 +149,10 @@ def documents_of(spark: SparkSession, files: DataFrame, work: str) -> DataFrame:
     return read_entries(entries, tasks)
 
 
-def typed_documents(documents: DataFrame, options: IngestOptions, run_time: datetime) -> DataFrame:
+def typed_documents(documents: DataFrame, options: IngestOptions) -> DataFrame:
     """Parsed documents with ``status``, kept to what the later jobs need."""
     parsed = parse_documents(
-        documents.withColumn("ingested_at", F.lit(run_time).cast("timestamp_ntz"))
+        documents.withColumn("ingested_at", _stamp(options.now))
     )
     freight = {s.name: s.freight_source for s in options.sources if s.freight_table}
     wanted_freight = F.col("source").isin(list(freight)) if freight else F.lit(False)
@@ -232,7 +240,6 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     run_id = _run_id(options)
     options = replace(options, run_id=run_id)
     work = f"{work_folder(spark, options.state_path)}/{run_id}"
-    now = _utc(options.now)
 
     listing, missing = (files, []) if files is not None else _listing(spark, options)
     if listing is None:
@@ -242,7 +249,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     quarantine = state.read_quarantine(spark, options.quarantine_path)
     pending = state.not_quarantined(state.not_processed(listing, ledger), quarantine)
 
-    typed = typed_documents(documents_of(spark, pending, work), options, now)
+    typed = typed_documents(documents_of(spark, pending, work), options)
     documents_path = f"{work}/documents"
     both_rows(typed, "status = 'ok'", NARROW).write.mode("overwrite").parquet(documents_path)
     documents = spark.read.parquet(documents_path)
@@ -276,9 +283,9 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
                 _store(spark, rows, path, kind, months, options.mode)
             except Exception as error:
                 failed.add(source.name)
-                print(f"writing {path} failed: {error}")
+                log.error("writing %s failed: %s", path, error)
 
-    at = F.lit(now)
+    at = _stamp(options.now)
     failures = documents.filter(F.col("status") == "corrupt")
     state.append_state(state.quarantine_rows(failures, at), options.quarantine_path, run_id)
 
@@ -293,7 +300,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     summary = counts.withColumns(
         {
             "run_id": F.lit(run_id),
-            "ran_at": at.cast("timestamp_ntz"),
+            "ran_at": at,
             "had_errors": F.lit(had_errors),
         }
     )
@@ -310,5 +317,5 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
 def forget(spark: SparkSession, options: IngestOptions, months: list[str]) -> None:
     """Lets the next run read all files again that gave documents of these months."""
     ledger = state.read_ledger(spark, options.ledger_path)
-    rows = state.forget_months(ledger, months, F.lit(_utc(options.now)))
+    rows = state.forget_months(ledger, months, _stamp(options.now))
     state.append_state(rows, options.ledger_path, f"forget-{uuid.uuid4().hex[:8]}")
