@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import sql
 from .common import load
 from .decontamination import decontaminate
+from .fingerprints import edited_fingerprints
+from .sharding import shard
+from .url_filters import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +27,30 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard(load(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(load(spark, sf_dir, "pages")).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))

@@ -30,3 +30,55 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM folded LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+def _op7(rounds: int = 20, damping: float = 0.85) -> str:
+    """Rules by a window over those that fit; the walks as one step of SQL for each round."""
+    steps = "".join(
+        f""", walk{n} AS (
+  SELECT kind, host, sum(score) AS score FROM (
+    SELECT w.kind, s.onto AS host, w.score * s.share * {damping} AS score FROM walk{n - 1} w JOIN steps s ON s.kind = w.kind AND s.host = w.host
+    UNION ALL SELECT kind, host, start * {1 - damping} FROM seeds) GROUP BY kind, host)"""
+        for n in range(1, rounds + 1)
+    )
+    return rf"""
+WITH rules(verdict, rule) AS (VALUES ('block', 'net/'), ('allow', 'example.net/en/'), ('block', 'example.com/de/'), ('allow', 'org/fr/')),
+rows AS (
+  SELECT page_id, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), ruled AS (
+  SELECT page_id, host, path, rule, verdict FROM rows LEFT JOIN rules ON
+    (host = split_part(rule, '/', 1) OR suffix(host, '.' || split_part(rule, '/', 1)))
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+), counts AS (
+  SELECT host, count(*) AS pages, count_if(verdict = 'allow') AS allowed, count_if(verdict = 'block') AS blocked
+  FROM ruled WHERE host <> '' GROUP BY host
+), chosen AS (
+  SELECT 'trust' AS kind, host, allowed AS weight FROM counts WHERE allowed > 0 AND allowed >= pages * 0.5
+  UNION ALL SELECT 'distrust', host, blocked FROM counts WHERE blocked > 0 AND blocked >= pages * 0.5
+), seeds AS (SELECT kind, host, weight / sum(weight) OVER (PARTITION BY kind) AS start FROM chosen
+), links AS (
+  SELECT host AS source, unnest(list_distinct(regexp_extract_all(html, '(?i)href\s*=\s*["'']?((?:https?:)?//[^"''\s>]+)', 1))) AS link
+  FROM rows WHERE host <> ''
+), edges AS (
+  SELECT source, target, count(*) AS links FROM (SELECT source,
+    translate(regexp_extract(CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM links)
+  WHERE target <> '' AND source <> target GROUP BY source, target
+), steps AS (
+  SELECT 'trust' AS kind, source AS host, target AS onto, links / sum(links) OVER (PARTITION BY source) AS share FROM edges
+  UNION ALL SELECT 'distrust', target, source, links / sum(links) OVER (PARTITION BY target) FROM edges
+), walk0 AS (SELECT kind, host, start AS score FROM seeds){steps}
+, shares AS (SELECT kind, host, score / sum(score) OVER (PARTITION BY kind) AS score FROM walk{rounds}
+), hosts AS (
+  SELECT host, sum(CASE WHEN kind = 'distrust' THEN score ELSE -score END) AS gap FROM shares GROUP BY host
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN coalesce(gap, 0) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN hosts USING (host)
+"""
+
+
+OP7_URL_FILTERS = _op7()
