@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..plans.work import work_folder
 
@@ -21,6 +23,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def arrow_fields(df: DataFrame, names: tuple[str, ...]) -> list[tuple[str, pa.DataType]]:
+    return [(name, to_arrow_type(df.schema[name].dataType)) for name in names]
+
+
+def described(df: DataFrame, names: tuple[str, ...]) -> str:
+    """The columns as the text of a schema."""
+    return ", ".join(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in names)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by the cluster, else one in the warehouse; both are shared by all executors."""
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
