@@ -22,7 +22,8 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+
+from .common import arrow_fields, described
 
 #: Delimiters 00-2F, 3A-60 (after lower-casing) and 7B-7F become blanks; bytes of other letters stay.
 _FOLD = bytes(
@@ -30,7 +31,7 @@ _FOLD = bytes(
 )
 _WORD_BYTE = np.array([chr(b) != " " for b in _FOLD])
 
-HITS = "id {id}, mark long, n_words long, n_hit long, items array<string>, first_byte array<long>, end_byte array<long>"
+HITS = "n_words long, n_hit long, items array<string>, first_byte array<long>, end_byte array<long>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -87,13 +88,12 @@ class Matcher:
         return np.flatnonzero(np.cumsum(change[:-1])), sorted(items)
 
 
-def _result_schema(kind) -> pa.Schema:
-    return pa.schema(
-        [
-            ("id", to_arrow_type(kind)), ("mark", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
-            ("items", pa.list_(pa.string())), ("first_byte", pa.list_(pa.int64())), ("end_byte", pa.list_(pa.int64())),
-        ]
-    )
+def _result_schema(rows: DataFrame, before: tuple[str, ...], keep: tuple[str, ...]) -> pa.Schema:
+    hits = [
+        ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
+        ("first_byte", pa.list_(pa.int64())), ("end_byte", pa.list_(pa.int64())),
+    ]
+    return pa.schema([*arrow_fields(rows, before), *hits, *arrow_fields(rows, keep)])
 
 
 def _stretches(text: str, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,10 +103,10 @@ def _stretches(text: str, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[found[np.concatenate(([0], breaks + 1))]], end[found[np.concatenate((breaks, [len(found) - 1]))]]
 
 
-def _batch(batch: pa.RecordBatch, rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * 5
-    made = [pa.array(list(values), kind) for values, kind in zip(columns, schema.types[2:])]
-    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], schema=schema)
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return [pa.array(list(values), kind) for values, kind in zip(columns, kinds)]
 
 
 def _scanner(shared, width: int, schema: pa.Schema):
@@ -120,7 +120,7 @@ def _scanner(shared, width: int, schema: pa.Schema):
                 words = words_of(text)
                 found, ids = matcher.scan(words)
                 rows.append((len(words), len(found), ids, *(_stretches(text, found) if len(found) else ([], []))))
-            yield _batch(batch, rows, schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *_columns(rows), *batch.columns[3:]], schema=schema)
 
     return scan
 
@@ -135,15 +135,13 @@ def decontaminate(
     item_text: str = "text",
     width: int = 10,
     windows_per_pass: int = 500_000,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per document: ``(id, n_words, n_hit, items, first_byte, end_byte)``.
+    """Per document: ``(id, n_words, n_hit, items, first_byte, end_byte, *keep)``.
 
     ``first_byte`` and ``end_byte`` are the hit stretches in the UTF-8 form of the original text.
     """
-    docs = documents.select(F.col(id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    kind = docs.schema["id"].dataType
-    schema = _result_schema(kind)
-    result = HITS.format(id=kind.simpleString())
+    docs = documents.select(F.col(id).alias("id"), F.xxhash64(text).alias("_mark"), F.col(text).alias("_text"), *keep)
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("words")).where(
         F.col("item").isNotNull() & F.col("words").isNotNull()
     )
@@ -155,27 +153,35 @@ def decontaminate(
     for number in range(passes):
         portion = items if passes == 1 else items.where(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == number)
         shared = context.broadcast([tuple(row) for row in portion.distinct().collect()])
-        scans.append(docs.mapInArrow(_scanner(shared, width, schema), result))
+        carried = keep if passes == 1 else ()
+        rows = docs.select("id", "_mark", "_text", *carried)
+        schema = _result_schema(rows, ("id", "_mark"), carried)
+        scans.append(rows.mapInArrow(_scanner(shared, width, schema), _described(rows, ("id", "_mark"), carried)))
     if passes == 1:
-        return scans[0].drop("mark")
+        return scans[0].drop("_mark")
     # Equal texts of one id have equal hits, so that (id, mark) is enough of a key.
     gathered = (
         reduce(DataFrame.unionByName, scans)
         .where("n_hit > 0")
-        .groupBy("id", "mark")
+        .groupBy("id", "_mark")
         .agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-            F.flatten(F.collect_set(F.arrays_zip("first_byte", "end_byte"))).alias("stretches"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"),
+            F.flatten(F.collect_set(F.arrays_zip("first_byte", "end_byte"))).alias("_stretches"),
         )
     )
-    return docs.join(gathered, ["id", "mark"], "left").mapInArrow(_merger(schema), result).drop("mark")
+    rows = docs.join(gathered, ["id", "_mark"], "left").select("id", "_text", "_items", "_stretches", *keep)
+    return rows.mapInArrow(_merger(_result_schema(rows, ("id",), keep)), _described(rows, ("id",), keep))
+
+
+def _described(rows: DataFrame, before: tuple[str, ...], keep: tuple[str, ...]) -> str:
+    return ", ".join(filter(None, (described(rows, before), HITS, described(rows, keep))))
 
 
 def _merger(schema: pa.Schema):
     def merge(batches):
         for batch in batches:
             rows = []
-            for text, items, stretches in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+            for text, items, stretches in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 first, end = word_bounds(text or "")
                 change = np.zeros(len(first) + 1, np.int64)
                 for place in stretches or []:
@@ -184,6 +190,6 @@ def _merger(schema: pa.Schema):
                 found = np.flatnonzero(np.cumsum(change[:-1]))
                 places = _stretches(text, found) if len(found) else ([], [])
                 rows.append((len(first), len(found), items or [], *places))
-            yield _batch(batch, rows, schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_columns(rows), *batch.columns[4:]], schema=schema)
 
     return merge
