@@ -99,7 +99,7 @@ def phrases(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return owner[at], begin - begins[owner[at]], run, hashes[triggers[at]], made
 
 
-def _in_slices(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+def _in_slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
     ids: list[int] = []
     texts: list[bytes] = []
     size = 0
