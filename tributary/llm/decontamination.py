@@ -163,13 +163,14 @@ def decontaminate(
     gathered = (
         reduce(DataFrame.unionByName, scans)
         .where("n_hit > 0")
-        .groupBy("id", "_mark")
+        .groupBy(F.col("id").alias("_id"), F.col("_mark").alias("_same"))
         .agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"),
             F.flatten(F.collect_set(F.arrays_zip("first_byte", "end_byte"))).alias("_stretches"),
         )
     )
-    rows = docs.join(gathered, ["id", "_mark"], "left").select("id", "_text", "_items", "_stretches", *keep)
+    same = docs["id"].eqNullSafe(gathered["_id"]) & (docs["_mark"] == gathered["_same"])
+    rows = docs.join(gathered, same, "left").select("id", "_text", "_items", "_stretches", *keep)
     return rows.mapInArrow(_merger(_result_schema(rows, ("id",), keep)), _described(rows, ("id",), keep))
 
 

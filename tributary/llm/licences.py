@@ -81,7 +81,7 @@ def telling_terms(vectors: list[dict[str, float]], threshold: float) -> list[str
 
 
 def parent(path: Column) -> Column:
-    return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
+    return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), "")
 
 
 def scan(

@@ -82,3 +82,191 @@ FROM ruled LEFT JOIN hosts USING (host)
 
 
 OP7_URL_FILTERS = _op7()
+
+
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _op4(threshold: float = 0.6) -> str:
+    """All lines against all templates; the telling terms of the operator only save work."""
+    from .licences import TEMPLATES
+
+    values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+
+    def terms(text: str) -> str:
+        return f"regexp_extract_all({_FOLD.format(text)}, '[a-z0-9]+')"
+
+    return rf"""
+WITH templates(template, name, statement) AS (VALUES {values}),
+files AS (
+  SELECT doc_id, text, array_to_string(list_slice(shelf, 1, CASE WHEN licensed THEN 1 + doc_id % 3 ELSE 3 END), '/')
+    || '/' || CASE WHEN licensed THEN 'LICENSE-' ELSE 'text-' END || doc_id AS path, licensed
+  FROM (SELECT doc_id, coalesce(text, '') AS text, [coalesce(source, 'none'), coalesce(lang, 'none'), CAST(doc_id // 32 AS VARCHAR)] AS shelf,
+      regexp_matches(coalesce(text, ''), '(?i)licen[cs]ed?[^\n]*\s*$') AS licensed FROM documents)
+), wanted AS (
+  SELECT template, name, term, count(*) AS tf FROM (SELECT template, name, unnest({terms('statement')}) AS term FROM templates) GROUP BY ALL
+), having_term AS (
+  SELECT term, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({terms('text')}) AS term FROM files)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY term
+), total AS (SELECT count(*) AS files FROM files
+), scales AS (
+  SELECT DISTINCT term, ln((1 + files) / (1.0::DOUBLE + coalesce(n, 0))) + 1 AS idf FROM wanted LEFT JOIN having_term USING (term), total
+), weights AS (
+  SELECT template, name, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY template)) AS weight FROM wanted JOIN scales USING (term)
+), blocks AS (
+  SELECT path, unnest(range(len(string_split(text, chr(10))))) AS line, unnest(string_split(text, chr(10))) AS block FROM files
+  UNION ALL SELECT path, -1, text FROM files WHERE licensed
+), counted AS (
+  SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({terms('block')}) AS term FROM blocks) GROUP BY ALL
+), norms AS (
+  SELECT path, line, sqrt(sum(CASE WHEN idf IS NULL THEN tf * (ln(1.0::DOUBLE + files) + 1) ** 2 ELSE (tf * idf) ** 2 END)) AS norm
+  FROM counted LEFT JOIN scales USING (term), total GROUP BY path, line
+), close AS (
+  SELECT path, name, round(sum(tf * idf * weight) / any_value(norm), 4) AS cosine
+  FROM counted JOIN scales USING (term) JOIN weights USING (term) JOIN norms USING (path, line) GROUP BY path, line, template, name
+), own AS (
+  SELECT path, name AS licence, cosine FROM close WHERE cosine >= {threshold}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, name) = 1
+), placed AS (SELECT doc_id, path, regexp_replace(path, '/[^/]*$', '') AS directory, licensed FROM files
+), holders AS (
+  SELECT directory AS above, path AS origin, licence, cosine FROM own JOIN placed USING (path) WHERE licensed
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY cosine DESC, path) = 1
+), steps AS (
+  SELECT directory, depth, array_to_string(string_split(directory, '/')[1:depth], '/') AS above
+  FROM (SELECT directory, unnest(range(len(string_split(directory, '/')) + 1)) AS depth FROM (SELECT DISTINCT directory FROM placed))
+), nearest AS (
+  SELECT directory, origin, licence, cosine FROM steps JOIN holders USING (above)
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY depth DESC) = 1
+)
+SELECT doc_id, path, coalesce(own.licence, nearest.licence) AS licence, coalesce(own.cosine, nearest.cosine) AS cosine,
+  CASE WHEN own.licence IS NOT NULL THEN 'own' WHEN nearest.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis,
+  CASE WHEN own.licence IS NOT NULL THEN path ELSE origin END AS origin
+FROM placed LEFT JOIN own USING (path) LEFT JOIN nearest USING (directory)
+"""
+
+
+OP4_LICENSE_SCANS = _op4()
+
+
+OP3_SUFFIX_ARRAY_DEDUP = r"""
+WITH docs AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS bytes, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents
+), strings AS (
+  SELECT doc_id, place, bytes[place + 1:place + 50] AS s
+  FROM (SELECT doc_id, bytes, unnest(range(0, n_bytes - 49)) AS place FROM docs WHERE n_bytes >= 50)
+), firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s
+), repeated AS (
+  SELECT doc_id, place, place > lag(place, 1, -51) OVER (PARTITION BY doc_id ORDER BY place) + 50 AS opens
+  FROM strings JOIN firsts USING (s) WHERE doc_id > first
+), runs AS (
+  SELECT doc_id, min(place) AS start, max(place) + 50 AS stop
+  FROM (SELECT doc_id, place, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM repeated)
+  GROUP BY doc_id, run
+), edges AS (
+  SELECT source, target, count(*) AS links FROM (SELECT source,
+    translate(regexp_extract(CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS target FROM links)
+  WHERE target <> '' AND source <> target GROUP BY source, target
+), steps AS (
+  SELECT 'trust' AS kind, source AS host, target AS onto, links / sum(links) OVER (PARTITION BY source) AS share FROM edges
+  UNION ALL SELECT 'distrust', target, source, links / sum(links) OVER (PARTITION BY target) FROM edges
+), walk0 AS (SELECT kind, host, start AS score FROM seeds){steps}
+, shares AS (SELECT kind, host, score / sum(score) OVER (PARTITION BY kind) AS score FROM walk{rounds}
+), hosts AS (
+  SELECT host, sum(CASE WHEN kind = 'distrust' THEN score ELSE -score END) AS gap FROM shares GROUP BY host
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN coalesce(gap, 0) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN hosts USING (host)
+"""
+
+
+OP7_URL_FILTERS = _op7()
+
+
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _op4(threshold: float = 0.6) -> str:
+    """All lines against all templates; the telling terms of the operator only save work."""
+    from .licences import TEMPLATES
+
+    values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+
+    def terms(text: str) -> str:
+        return f"regexp_extract_all({_FOLD.format(text)}, '[a-z0-9]+')"
+
+    return rf"""
+WITH templates(template, name, statement) AS (VALUES {values}),
+files AS (
+  SELECT doc_id, text, array_to_string(list_slice(shelf, 1, CASE WHEN licensed THEN 1 + doc_id % 3 ELSE 3 END), '/')
+    || '/' || CASE WHEN licensed THEN 'LICENSE-' ELSE 'text-' END || doc_id AS path, licensed
+  FROM (SELECT doc_id, coalesce(text, '') AS text, [coalesce(source, 'none'), coalesce(lang, 'none'), CAST(doc_id // 32 AS VARCHAR)] AS shelf,
+      regexp_matches(coalesce(text, ''), '(?i)licen[cs]ed?[^\n]*\s*$') AS licensed FROM documents)
+), wanted AS (
+  SELECT template, name, term, count(*) AS tf FROM (SELECT template, name, unnest({terms('statement')}) AS term FROM templates) GROUP BY ALL
+), having_term AS (
+  SELECT term, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({terms('text')}) AS term FROM files)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY term
+), total AS (SELECT count(*) AS files FROM files
+), scales AS (
+  SELECT DISTINCT term, ln((1 + files) / (1.0::DOUBLE + coalesce(n, 0))) + 1 AS idf FROM wanted LEFT JOIN having_term USING (term), total
+), weights AS (
+  SELECT template, name, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY template)) AS weight FROM wanted JOIN scales USING (term)
+), blocks AS (
+  SELECT path, unnest(range(len(string_split(text, chr(10))))) AS line, unnest(string_split(text, chr(10))) AS block FROM files
+  UNION ALL SELECT path, -1, text FROM files WHERE licensed
+), counted AS (
+  SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({terms('block')}) AS term FROM blocks) GROUP BY ALL
+), norms AS (
+  SELECT path, line, sqrt(sum(CASE WHEN idf IS NULL THEN tf * (ln(1.0::DOUBLE + files) + 1) ** 2 ELSE (tf * idf) ** 2 END)) AS norm
+  FROM counted LEFT JOIN scales USING (term), total GROUP BY path, line
+), close AS (
+  SELECT path, name, round(sum(tf * idf * weight) / any_value(norm), 4) AS cosine
+  FROM counted JOIN scales USING (term) JOIN weights USING (term) JOIN norms USING (path, line) GROUP BY path, line, template, name
+), own AS (
+  SELECT path, name AS licence, cosine FROM close WHERE cosine >= {threshold}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, name) = 1
+), placed AS (SELECT doc_id, path, regexp_replace(path, '/[^/]*$', '') AS directory, licensed FROM files
+), holders AS (
+  SELECT directory AS above, path AS origin, licence, cosine FROM own JOIN placed USING (path) WHERE licensed
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY cosine DESC, path) = 1
+), steps AS (
+  SELECT directory, depth, array_to_string(string_split(directory, '/')[1:depth], '/') AS above
+  FROM (SELECT directory, unnest(range(len(string_split(directory, '/')) + 1)) AS depth FROM (SELECT DISTINCT directory FROM placed))
+), nearest AS (
+  SELECT directory, origin, licence, cosine FROM steps JOIN holders USING (above)
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY depth DESC) = 1
+)
+SELECT doc_id, path, coalesce(own.licence, nearest.licence) AS licence, coalesce(own.cosine, nearest.cosine) AS cosine,
+  CASE WHEN own.licence IS NOT NULL THEN 'own' WHEN nearest.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis,
+  CASE WHEN own.licence IS NOT NULL THEN path ELSE origin END AS origin
+FROM placed LEFT JOIN own USING (path) LEFT JOIN nearest USING (directory)
+"""
+
+
+OP4_LICENSE_SCANS = _op4()
+
+
+OP3_SUFFIX_ARRAY_DEDUP = r"""
+WITH docs AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS bytes, octet_length(encode(coalesce(text, ''))) AS n_bytes FROM documents
+), strings AS (
+  SELECT doc_id, place, bytes[place + 1:place + 50] AS s
+  FROM (SELECT doc_id, bytes, unnest(range(0, n_bytes - 49)) AS place FROM docs WHERE n_bytes >= 50)
+), firsts AS (SELECT s, min(doc_id) AS first FROM strings GROUP BY s
+), removed AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 50)) AS place FROM strings JOIN firsts USING (s) WHERE doc_id > first
+), runs AS (
+  SELECT doc_id, min(place) AS start, max(place) + 1 AS stop
+  FROM (SELECT doc_id, place, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM removed) GROUP BY doc_id, run
+), edges AS (
+  SELECT doc_id, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS start, start AS stop FROM runs
+  UNION ALL SELECT doc_id, max(stop), NULL FROM runs GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(hex(bytes[start + 1:coalesce(stop, n_bytes)]), '' ORDER BY start) AS bytes
+  FROM edges JOIN docs USING (doc_id) GROUP BY doc_id
+), sums AS (SELECT doc_id, sum(stop - start) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT docs.doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(coalesce(unhex(kept.bytes), docs.bytes)) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
