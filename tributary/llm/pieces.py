@@ -21,6 +21,7 @@ columns beyond those named are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -32,7 +33,8 @@ from .common import arrow_fields, described
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
-_MEMORY = 1_000_000
+#: Remembered pairs of pieces in each Python worker.
+_MEMORY = 200_000
 
 
 def _kind_of(proto: bytes) -> int:
@@ -152,7 +154,7 @@ class Automaton:
             if model.kind != BPE or piece in model.halves or len(form.decode()) == 1:
                 number[at] = piece
         size = len(children)
-        go = np.zeros((size, 256), np.int32)
+        go = np.zeros((size, 256), np.uint16 if size < 1 << 16 else np.int32)
         fail, first, link = [0] * size, [0] * size, [0] * size
         queue = deque([0])
         while queue:
@@ -185,7 +187,7 @@ class Automaton:
                 self.inside[pair] = True
         # No cut inside a character.
         self.inside[:, 128:192] = True
-        self.standing: dict[tuple[int, int], bool] = {}
+        self.standing: dict[int, bool] = {}
 
     def solve(self, text: bytes) -> list[int]:
         """Token numbers of one stretch of text."""
@@ -193,6 +195,7 @@ class Automaton:
 
     def _by_joins(self, text: bytes) -> list[int]:
         go, ends, size, standing = self.go, self.ends, self.size, self.standing
+        many = len(size)
         last = [-1] * (len(text) + 1)  # -1: nothing, or a byte piece, with which nothing is joined
         state = 0
         for at, byte in enumerate(text, 1):
@@ -203,11 +206,11 @@ class Automaton:
                     # A character without a piece, or the inside of one, parts what is around it.
                     fits = True
                 else:
-                    fits = standing.get((before, piece))
+                    fits = standing.get(before * many + piece)
                     if fits is None:
                         fits = self.model.stands(before, piece)
                         if len(standing) < _MEMORY:
-                            standing[before, piece] = fits
+                            standing[before * many + piece] = fits
                 if fits:
                     last[at] = piece
                     break
@@ -242,14 +245,15 @@ class Automaton:
 
 
 class Encoder:
-    def __init__(self, model: Model, remembered: int = 200_000):
+    def __init__(self, model: Model, remembered: int = 100_000):
         self.automaton = Automaton(model)
         self.remembered = remembered
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.tokens: list[np.ndarray] = []
+        self.pool = array("i")
+        self.starts = array("q", [0])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the texts in a flat array of token numbers, and that array."""
@@ -262,20 +266,20 @@ class Encoder:
         cuts = np.flatnonzero(~self.automaton.inside[letters[:-1], letters[1:]]) + 1
         cuts = np.unique(np.concatenate(([0], cuts, ends))) if len(whole) else np.zeros(1, np.int64)
         places = cuts.tolist()
-        known, tokens, solve = self.known, self.tokens, self.automaton.solve
+        known, pool, starts, solve = self.known, self.pool, self.starts, self.automaton.solve
         index = []
         for start, end in zip(places, places[1:]):
             cut = whole[start:end]
             number = known.get(cut)
             if number is None:
                 number = known[cut] = len(known)
-                tokens.append(np.array(solve(cut), np.int32))
+                pool.extend(solve(cut))
+                starts.append(len(pool))
             index.append(number)
         index = np.array(index, np.int64)
-        sizes = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        pool = np.concatenate(self.tokens) if self.tokens else np.zeros(0, np.int32)
-        counts = sizes[index] if len(index) else np.zeros(0, np.int64)
+        # Copies: an array that numpy looks into could not grow.
+        starts, pool = np.array(starts), np.array(pool, np.int32)
+        counts = np.diff(starts)[index] if len(index) else np.zeros(0, np.int64)
         upto = np.concatenate(([0], np.cumsum(counts)))
         where = np.repeat(starts[index] - upto[:-1], counts) + np.arange(upto[-1]) if len(index) else np.zeros(0, np.int64)
         return np.concatenate(([0], upto[np.searchsorted(cuts, ends)])), pool[where]
@@ -304,10 +308,15 @@ def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode(documents: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(id, tokens, *keep)`` with one list of token numbers per document."""
+def encode(
+    documents: DataFrame, model: Model, *, id: str = "doc_id", text: str = "text", verify: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(id, tokens, *keep)`` with one list of token numbers per document.
+
+    With ``verify`` there is also ``exact``: whether decoding the tokens gave the text back.
+    """
     rows = documents.select(F.col(id).alias("id"), F.col(text).alias("_text"), *(F.col(name).alias(name) for name in keep))
-    schema = pa.schema([*arrow_fields(rows, ("id",)), ("tokens", pa.list_(pa.int32())), *arrow_fields(rows, keep)])
+    schema = pa.schema([*arrow_fields(rows, ("id",)), ("tokens", pa.list_(pa.int32())), *[("exact", pa.bool_())] * verify, *arrow_fields(rows, keep)])
     shared = documents.sparkSession.sparkContext.broadcast(model)
     key = f"{len(model.form)}-{hash(tuple(model.form))}"
 
@@ -315,11 +324,17 @@ def encode(documents: DataFrame, model: Model, *, id: str = "doc_id", text: str
         for whole in batches:
             for start, end in _slices(whole.column(1)):
                 batch = whole.slice(start, end - start)
-                offsets, tokens = _encoder_of(key, shared).encode(batch.column(1).to_pylist())
+                texts = batch.column(1).to_pylist()
+                offsets, tokens = _encoder_of(key, shared).encode(texts)
+                made = []
+                if verify:
+                    form, numbers, ends = shared.value.form, tokens.tolist(), offsets.tolist()
+                    back = [decode_tokens(form, numbers[a:b]) for a, b in zip(ends, ends[1:])]
+                    made = [pa.array([own == (text or "") for own, text in zip(back, texts)])]
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists, *batch.columns[2:]], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, *made, *batch.columns[2:]], schema=schema)
 
-    result = ", ".join(filter(None, (described(rows, ("id",)), "tokens array<int>", described(rows, keep))))
+    result = ", ".join(filter(None, (described(rows, ("id",)), "tokens array<int>" + ", exact boolean" * verify, described(rows, keep))))
     return rows.mapInArrow(run, result)
 
 

@@ -11,7 +11,7 @@ from . import licences, quality, simhash, sql, toxicity
 from .common import load
 from .decontamination import decontaminate
 from .fingerprints import edited_fingerprints
-from .pieces import Model, decode, encode
+from .pieces import Model, encode
 from .sharding import shard
 from .suffix_dedup import remove_repeats
 from .url_filters import judge
@@ -118,11 +118,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether decoding them gives its text back."""
     model = Model(PIECE_MODEL)
-    encoded = encode(load(spark, sf_dir, "documents"), model, keep=("text",))
-    back = decode(encoded, model)
-    return back.select(
+    encoded = encode(load(spark, sf_dir, "documents"), model, verify=True)
+    return encoded.select(
         F.col("id").alias("doc_id"),
         F.size("tokens").cast("long").alias("n_tokens"),
         F.col("tokens").alias("token_ids"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        F.col("exact").alias("round_trip"),
     )

@@ -98,7 +98,7 @@ def _unite(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
             label[:] = nearer
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+def forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Links ``(row, row)`` that connect what pairs within the radius connect.
 
     Rows are numbered through both arrays, each of shape (rows, lanes); without ``right``, pairs are
