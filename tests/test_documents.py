@@ -21,7 +21,7 @@ CASES = {
     "invoice": invoice(),
     "waybill": waybill(),
     "border": invoice(issued="2026-01-31T23:30:00.123456-03:00"),
-    "old": b"<NFe><infNFe Id='NFe35'><ide><dEmi>2026-01-10</dEmi></ide></infNFe></NFe>",
+    "old": b"<NFe><infNFe Id='NFe35'><ide><dEmi>2026-01-22</dEmi></ide></infNFe></NFe>",
     "empty": b"",
     "blank": b"   \n\t  ",
     "truncated": b"<nfe>TRUNC",
@@ -34,6 +34,8 @@ CASES = {
     "waybill without body": b"<cteProc><CTe><other/></CTe></cteProc>",
     "other root": b"\xef\xbb\xbf<root/>",
     "latin1": minimal("São", "<?xml version='1.0' encoding=\"ISO-8859-1\"?>").encode("latin-1"),
+    "late declaration": minimal("São", " " * 900 + "\n<?xml version='1.0'" + " " * 500 + "encoding='ISO-8859-1'?>").encode("latin-1"),
+    "latin9": minimal("€ é", "<?xml version='1.0' encoding='ISO-8859-15'?>").encode("iso8859-15"),
     "cp1252": minimal("€", "<?xml version='1.0' encoding='windows-1252'?>").encode("cp1252"),
     "utf16": minimal("€\U0001f600", "<?xml version='1.0' encoding='UTF-16'?>").encode("utf-16"),
     "utf16 without mark": minimal("€").encode("utf-16-le"),
@@ -82,7 +84,7 @@ def invoices(parsed):
         ("comment after", "nfe", "parsed"), ("no body", "nfe", "no_body"),
         ("no body, self-closed", "nfe", "no_body"), ("only a root", "nfe", "no_body"),
         ("waybill without body", "cte", "no_body"), ("other root", "nfe", "no_body"),
-        ("latin1", "nfe", "parsed"), ("cp1252", "nfe", "parsed"), ("utf16", "nfe", "parsed"),
+        ("latin1", "nfe", "parsed"), ("late declaration", "nfe", "parsed"), ("latin9", "nfe", "parsed"), ("cp1252", "nfe", "parsed"), ("utf16", "nfe", "parsed"),
         ("utf16 without mark", "nfe", "parsed"), ("bad utf16", None, "corrupt"),
         ("bad utf8", None, "corrupt"), ("unknown charset", None, "corrupt"),
         ("prefixed", "nfe", "parsed"), ("deep", "nfe", "parsed"),
@@ -109,18 +111,18 @@ def test_invoice_columns(spark, parsed, invoices):
         (f.name, f.dataType) for f in NFE_SCHEMA
     ]
     row = invoices["invoice"]
-    assert row["chNFe"] == "1" * 44 and row["nNF"] == "27961" and row["natOp"] == "SALE"
-    assert row["dhEmi"] == dt.datetime(2026, 2, 15, 13, 30)
+    assert row["chNFe"] == "1" * 44 and row["nNF"] == "48213" and row["natOp"] == "LOAN"
+    assert row["dhEmi"] == dt.datetime(2026, 2, 17, 19, 45)
     assert (row["ano_emissao"], row["mes_emissao"], row["ref_aaaamm"]) == (2026, 2, "202602")
     assert row["refNFe"] == "R1|R2"
-    assert row["dest_CNPJ"] is None and row["emit_UF"] == "GO" and row["emit_xMun"] == "GOIANIA"
-    assert row["vBC"] == Decimal("2600") and row["vDesc"] == Decimal("1.5") and row["vICMS"] is None
+    assert row["dest_CNPJ"] is None and row["emit_UF"] == "PA" and row["emit_xMun"] == "MARABA"
+    assert row["vBC"] == Decimal("66.5") and row["vDesc"] == Decimal("0.75") and row["vICMS"] is None
     assert row["itens_cProd"] == ["A", None, "C"]
     assert row["itens_PIS_CST"] == ["03", None, None]
-    assert row["itens_qCom"] == [Decimal(10), None, None]
-    assert row["dup_nDup"] == ["001", "002"]
-    assert row["dup_dVenc"] == [dt.date(2026, 3, 15), None]
-    assert row["pag_tPag"] == ["15"]
+    assert row["itens_qCom"] == [Decimal(7), None, None]
+    assert row["dup_nDup"] == ["7a", "7b"]
+    assert row["dup_dVenc"] == [dt.date(2026, 5, 9), None]
+    assert row["pag_tPag"] == ["90"]
     assert row["parser_warnings"] == [
         "decimal inválido em vICMS: 'oops'",
         "decimal inválido em itens_qCom: 'bad'",
@@ -129,7 +131,7 @@ def test_invoice_columns(spark, parsed, invoices):
 
 def test_date_and_key_fallback(invoices):
     row = invoices["old"]
-    assert row["dhEmi"] == dt.datetime(2026, 1, 10) and row["chNFe"] == "35"
+    assert row["dhEmi"] == dt.datetime(2026, 1, 22) and row["chNFe"] == "35"
     assert row["parser_warnings"] == [X.WARN_NFE_DATE_FALLBACK, X.WARN_NFE_KEY_FALLBACK]
     assert row["itens_cProd"] == [] and row["dup_nDup"] == []
     assert invoices["no key"]["parser_warnings"] == [X.WARN_NFE_NO_DATE, X.WARN_NFE_NO_KEY]
@@ -138,7 +140,7 @@ def test_date_and_key_fallback(invoices):
 @pytest.mark.parametrize(
     "case, text",
     [
-        ("latin1", "São"), ("cp1252", "€"), ("utf16", "€\U0001f600"),
+        ("latin1", "São"), ("late declaration", "São"), ("latin9", "€ é"), ("cp1252", "€"), ("utf16", "€\U0001f600"),
         ("utf16 without mark", "€"), ("prefixed", "q"), ("deep", "d"), ("repeats", "one"),
         ("no key", "n"),
     ],
@@ -160,9 +162,9 @@ def test_waybill_columns(parsed):
     df = freight_rows(parsed)
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in CTE_SCHEMA]
     row = {r["source_file_path"]: r for r in df.collect()}["waybill"]
-    assert row["chCTe"] == "2" * 44 and row["serie"] == "005" and row["toma"] == "3" and row["cStat"] == "100"
-    assert row["vTPrest"] == Decimal(850) and row["vICMS00"] == Decimal(102) and row["vICMS10"] is None
-    assert row["infQ_qCarga"] == [Decimal(500), None]
+    assert row["chCTe"] == "2" * 44 and row["serie"] == "021" and row["toma"] == "0" and row["cStat"] == "135"
+    assert row["vTPrest"] == Decimal(40) and row["vICMS00"] == Decimal("4.8") and row["vICMS10"] is None
+    assert row["infQ_qCarga"] == [Decimal("31.25"), None]
     assert row["infNFe_chave"] == ["K1", "K2"] and row["transp_qVol"] == []
     assert row["parser_warnings"] == [
         "decimal inválido em vCarga: 'x1'",
@@ -174,7 +176,7 @@ def test_both_rows_agree_with_the_single_tables(parsed, invoices):
     both = both_rows(parsed, "outcome = 'parsed'", ["source_file_path"])
     rows = {r["source_file_path"]: r for r in both.collect()}
     assert rows["invoice"]["nfe"] == invoices["invoice"] and rows["invoice"]["cte"] is None
-    assert rows["waybill"]["cte"]["nCT"] == "1001" and rows["waybill"]["nfe"] is None
+    assert rows["waybill"]["cte"]["nCT"] == "77" and rows["waybill"]["nfe"] is None
     assert rows["no body"]["nfe"] is None and len(rows) == len(CASES)
 
 

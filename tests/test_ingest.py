@@ -16,7 +16,7 @@ from tributary.sources.archives import list_entries, read_entries
 from tributary.sources.files import list_files
 from tributary.streaming.available_now import ingest_stream
 
-NOW = dt.datetime(2026, 2, 25)
+NOW = dt.datetime(2026, 2, 26, 7)
 
 
 def zip_of(path, members, **options):
@@ -96,6 +96,9 @@ def test_run_then_nothing_new_then_forget(spark, inputs):
     second = ingest(spark, replace(o, now=NOW + dt.timedelta(hours=1)))
     c = counts(second)
     assert c["importados"]["ok"] == 1 and c["importados"]["corrupt"] == 0 and c["processados"]["ok"] == 0
+    # Of seven files four are in the ledger and one is in quarantine; of three archives one is known.
+    assert (c["importados"]["total"], c["importados"]["skipped"]) == (7, 5)
+    assert (c["processados"]["total"], c["processados"]["skipped"]) == (3, 1)
     # Merging keeps the documents that were stored before.
     assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B", "F"]
     retries = {r.source_path.rsplit("/", 1)[1]: r.retry_count for r in state.read_quarantine(spark, o.quarantine_path).collect()}
@@ -125,6 +128,81 @@ def test_strict_archives_and_missing_source(spark, inputs):
     assert {r.source for r in state.read_ledger(spark, o.ledger_path).collect()} == {"importados"}
 
 
+def test_archives_without_documents_and_unreadable_files(spark, inputs):
+    zip_of(inputs / "processados" / "none.zip", [("readme.txt", b"x")])
+    (inputs / "importados" / "gone.xml").symlink_to(inputs / "importados" / "nowhere.xml")
+    (inputs / "importados" / "_hidden.xml").write_bytes(invoice(key="H" * 44))
+    o = options(inputs, flatten=False)
+    with pytest.raises(OSError):
+        list_files(spark, str(inputs / "nowhere"), "importados")
+    first = ingest(spark, o)
+    assert counts(first)["importados"]["total"] == 8 and first.had_errors
+    assert counts(first)["importados"]["errors"] == 1 and counts(first)["processados"]["errors"] == 0
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B", "H"]
+    names = {r.source_file_path.rsplit("/", 1)[1] for r in state.read_ledger(spark, o.ledger_path).collect()}
+    assert "none.zip" in names and "_hidden.xml" in names and "gone.xml" not in names
+    assert counts(ingest(spark, replace(o, now=NOW + dt.timedelta(hours=1))))["processados"]["skipped"] == 2
+
+
+def test_a_file_that_cannot_be_read_is_an_error_and_the_others_go_on(spark, inputs, monkeypatch):
+    from tributary.plans import ingest as plan
+
+    listed = plan.list_files
+
+    def with_vanished(*args):
+        files = listed(*args)
+        return files.withColumn("source_file_path", F.regexp_replace("source_file_path", "one.xml$", "vanished.xml"))
+
+    monkeypatch.setattr(plan, "list_files", with_vanished)
+    o = options(inputs, flatten=False)
+    result = ingest(spark, o)
+    assert result.had_errors and counts(result)["importados"]["errors"] == 1
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["B"]
+    names = {r.source_file_path.rsplit("/", 1)[1] for r in state.read_ledger(spark, o.ledger_path).collect()}
+    assert "two.xml" in names and "vanished.xml" not in names
+    held = {r.source_path.rsplit("/", 1)[1] for r in state.read_quarantine(spark, o.quarantine_path).collect()}
+    assert "vanished.xml" not in held
+
+
+def test_a_run_that_breaks_while_replacing_a_month_loses_nothing(spark, inputs, monkeypatch):
+    import shutil
+
+    from tributary.plans import ingest as plan
+
+    o = options(inputs, flatten=False)
+    ingest(spark, o)
+    (inputs / "importados" / "three.xml").write_bytes(invoice(key="F" * 44))
+
+    def breaks(df, path, sort_by=None):
+        shutil.rmtree(f"{path}/ref_aaaamm=202602")
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plan, "write_months", breaks)
+        with pytest.raises(KeyboardInterrupt):
+            ingest(spark, replace(o, now=NOW + dt.timedelta(hours=1)))
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["B"]
+    ingest(spark, replace(o, now=NOW + dt.timedelta(hours=2)))
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B", "F"]
+    assert state.open_swaps(spark, o.swaps_path) == []
+
+
+def test_all_methods_and_charsets_of_members(spark, tmp_path):
+    texts = {
+        "big5": "<?xml version='1.0' encoding='Big5'?><NFe><infNFe Id='NFe1'><ide><natOp>中文</natOp></ide></infNFe></NFe>",
+        "koi8-r": "<?xml version='1.0' encoding='KOI8-R'?><NFe><infNFe Id='NFe1'><ide><natOp>дом</natOp></ide></infNFe></NFe>",
+    }
+    (tmp_path / "in").mkdir()
+    for method in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA):
+        with zipfile.ZipFile(tmp_path / "in" / f"{method}.zip", "w", method) as archive:
+            for charset, text in texts.items():
+                archive.writestr(f"{charset}.xml", text.encode(charset))
+    entries = list_entries(list_files(spark, str(tmp_path / "in"), "s"))
+    rows = read_entries(entries, 2).select("content", "error_type").collect()
+    assert len(rows) == 8 and {r.error_type for r in rows} == {None}
+    assert {w for r in rows for w in ("中文", "дом") if w in bytes(r.content).decode("utf-8-sig")} == {"中文", "дом"}
+
+
 def test_unknown_mode_is_refused(inputs):
     with pytest.raises(ValueError):
         options(inputs, mode="append")

@@ -9,8 +9,6 @@ from conftest import TABLES
 
 import __spark_entry__ as contract
 
-# Covered at small scale by their own tests; run here only when asked for by name.
-SLOW = {"ingest_twice", "stream_available_now", "month_replace", "stale_months_stored"}
 duckdb = pytest.importorskip("duckdb")
 
 
@@ -39,7 +37,7 @@ def test_entry(spark, sf):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in OWN if n not in SLOW])
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, sf, name):
     connection = duckdb.connect()
     for table in TABLES:

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from math import prod
 
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from tributary import fields as X
@@ -14,8 +16,8 @@ from tributary.plans.flat_tables import flat_path, flatten_tables, months_to_fla
 from tributary.schemas import CTE_SCHEMA, NFE_SCHEMA
 from tributary.sinks.monthly import read_months, write_months
 
-T0 = dt.datetime(2026, 2, 1, 8)
-T1 = dt.datetime(2026, 2, 15, 10)
+T0 = dt.datetime(2026, 1, 30, 23, 59)
+T1 = dt.datetime(2026, 2, 3, 4, 5)
 
 
 def nfe_row(**values):
@@ -42,18 +44,19 @@ def sized(n_items, n_dup, n_pag, n_warn, key="K"):
 
 
 @pytest.mark.parametrize("now, n, expected", [
-    (dt.date(2026, 2, 25), 1, ["202602"]),
-    (dt.date(2026, 2, 25), 3, ["202602", "202601", "202512"]),
-    (dt.date(2026, 1, 15), 2, ["202601", "202512"]),
-    (dt.date(2026, 1, 1), 0, []),
+    (dt.date(2024, 12, 31), 1, ["202412"]),
+    (dt.date(2023, 3, 8), 4, ["202303", "202302", "202301", "202212"]),
+    (dt.date(2024, 2, 29), 0, []),
 ])
 def test_month_window(now, n, expected):
     assert month_window(now, n) == expected
 
 
-def test_month_window_of_a_year():
-    months = month_window(dt.date(2026, 1, 1), 12)
-    assert len(set(months)) == 12 and months[0] == "202601" and months[-1] == "202502"
+@given(st.dates(dt.date(1990, 1, 1), dt.date(2090, 12, 31)), st.integers(1, 40))
+def test_month_window_is_a_run_of_months(now, n):
+    months = month_window(now, n)
+    numbers = [int(m[:4]) * 12 + int(m[4:]) for m in months]
+    assert months[0] == f"{now:%Y%m}" and numbers == list(range(numbers[0], numbers[0] - n, -1))
 
 
 def test_rules_drop_unknown_dates(spark):
@@ -111,15 +114,16 @@ def test_concat_keeps_copies(spark):
 # ------------------------------------------------------------------ unnesting
 
 
-@pytest.mark.parametrize("sizes, rows", [
-    ((2, 2, 1, 0), 4), ((1, 1, 1, 0), 1), ((0, 1, 1, 0), 1), ((2, 1, 1, 2), 4), ((0, 0, 0, 0), 1),
-])
-def test_flat_rows(spark, sizes, rows):
-    flat = flatten_invoices(nfe(spark, sized(*sizes)))
-    assert flat.count() == rows
-    first = flat.orderBy("item_seq").first()
-    assert first.item_seq == (1 if sizes[0] else None)
-    assert first.itens_cProd == ("P0" if sizes[0] else None)
+SIZES = [(i, d, p, w) for i in (0, 1, 3) for d in (0, 5) for p in (0, 2) for w in (0, 4)]
+
+
+def test_flat_rows_are_the_product_of_the_group_sizes(spark):
+    flat = flatten_invoices(nfe(spark, *[sized(*s, key=str(s)) for s in SIZES]))
+    found = {r["chNFe"]: r for r in flat.groupBy("chNFe").agg(F.count("*").alias("n"), F.min_by("itens_cProd", "item_seq").alias("first")).collect()}
+    for sizes in SIZES:
+        row = found[str(sizes)]
+        assert row["n"] == prod(max(1, s) for s in sizes)
+        assert row["first"] == ("P0" if sizes[0] else None)
 
 
 def test_flat_schema(spark):
@@ -137,15 +141,16 @@ def test_flat_schema(spark):
     assert len(flatten_freight(freight).schema) == 43 and flatten_freight(freight).count() == 0
 
 
-@pytest.mark.parametrize("sizes, rows", [((2, 1, 0, 0), 2), ((2, 2, 0, 0), 4), ((1, 0, 0, 0), 1), ((2, 1, 2, 0), 4)])
-def test_freight_rows(spark, sizes, rows):
-    q, n, v, w = sizes
-    values = {
-        "infQ_qCarga": [Decimal(i) for i in range(q)], "infNFe_chave": [str(i) for i in range(n)],
-        "transp_qVol": [Decimal(i) for i in range(v)], "parser_warnings": None,
-    }
-    df = spark.createDataFrame([tuple(values.get(f.name) for f in CTE_SCHEMA)], CTE_SCHEMA)
-    assert flatten_freight(df).count() == rows
+def test_freight_rows_are_the_product_of_the_group_sizes(spark):
+    rows = []
+    for q, n, v, w in SIZES:
+        values = {
+            "chCTe": str((q, n, v, w)), "infQ_qCarga": [Decimal(i) for i in range(q)], "infNFe_chave": [str(i) for i in range(n)],
+            "transp_qVol": [Decimal(i) for i in range(v)], "parser_warnings": [f"w{i}" for i in range(w)] or None,
+        }
+        rows.append(tuple(values.get(f.name) for f in CTE_SCHEMA))
+    found = flatten_freight(spark.createDataFrame(rows, CTE_SCHEMA)).groupBy("chCTe").count().collect()
+    assert {r["chCTe"]: r["count"] for r in found} == {str(s): prod(max(1, k) for k in s) for s in SIZES}
 
 
 def test_short_and_missing_lists(spark):
@@ -170,7 +175,7 @@ def test_months_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "table")
     rows = [{**sized(1, 0, 0, 0, key=m), "ref_aaaamm": m} for m in ("202601", "202602")]
     write_months(nfe(spark, *rows), path, sort_by="chNFe")
-    write_months(nfe(spark, {**rows[1], "chNFe": "new"}), path, sort_by="chNFe", months=1)
+    write_months(nfe(spark, {**rows[1], "chNFe": "new"}), path, sort_by="chNFe")
     stored = read_months(spark, path, NFE_SCHEMA)
     assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in NFE_SCHEMA]
     assert sorted((r.ref_aaaamm, r.chNFe) for r in stored.collect()) == [("202601", "202601"), ("202602", "new")]
@@ -184,7 +189,7 @@ def test_merge_into_the_month_that_is_read(spark, tmp_path):
     write_months(nfe(spark, {**sized(1, 0, 0, 0, "A"), "nNF": "1", "ingested_at": T0}, sized(1, 0, 0, 0, "B")), path)
     new = nfe(spark, {**sized(1, 0, 0, 0, "A"), "nNF": "2", "ingested_at": T1}, sized(1, 0, 0, 0, "C"))
     merged = merge_months(read_months(spark, path, NFE_SCHEMA, ["202602"]), new, "chNFe")
-    write_months(merged, path, sort_by="chNFe", months=1)
+    write_months(merged, path, sort_by="chNFe")
     rows = read_months(spark, path, NFE_SCHEMA).collect()
     assert sorted(r.chNFe for r in rows) == ["A", "B", "C"]
     assert {r.chNFe: r.nNF for r in rows}["A"] == "2"
@@ -201,11 +206,28 @@ def test_flat_tables_follow_their_source(spark, tmp_path):
     assert months_to_flatten(spark, path, window) == []
     flat = read_months(spark, flat_path(path), None)
     assert flat.count() == 8 and {r[0] for r in flat.select("ref_aaaamm").distinct().collect()} == set(window)
-    write_months(nfe(spark, rows[2]), path, months=1)
+    write_months(nfe(spark, rows[2]), path)
     assert months_to_flatten(spark, path, window) == ["202602"]
     assert months_to_flatten(spark, path, []) == []
 
 
+def test_months_with_different_columns_keep_them_all(spark, tmp_path):
+    path = str(tmp_path / "table")
+    whole = nfe(spark, {**sized(2, 1, 1, 0), "itens_xProd": ["x", "y"], "ref_aaaamm": "202602"})
+    write_months(nfe(spark, {**sized(3, 1, 1, 0, "J"), "ref_aaaamm": "202601"}).drop("itens_xProd"), path)
+    write_months(whole, path)
+    assert flatten_tables(spark, [(path, "nfe")], ["202601", "202602"]) is False
+    flat = read_months(spark, flat_path(path), None)
+    rows = {(r["ref_aaaamm"], r["itens_xProd"]) for r in flat.collect()}
+    assert rows == {("202601", None), ("202602", "x"), ("202602", "y")}
+
+
+def test_files_of_a_month_do_not_grow_with_the_tasks(spark, tmp_path):
+    rows = [{**sized(1, 0, 0, 0, key=f"{m}{i}"), "ref_aaaamm": m} for m in ("202601", "202602", "202603") for i in range(8)]
+    write_months(nfe(spark, *rows).repartition(12), str(tmp_path / "table"))
+    assert len(list((tmp_path / "table").rglob("*.parquet"))) == 3
+
+
 def test_a_broken_table_is_reported_and_others_go_on(spark, tmp_path):
     good, bad = str(tmp_path / "good"), tmp_path / "bad"
     write_months(nfe(spark, sized(1, 1, 1, 0)), good)

@@ -185,11 +185,9 @@ WARN_NFE_DATE_FALLBACK = "dhEmi ausente/ inválido; usado dEmi como fallback"
 WARN_NFE_NO_DATE = "sem dhEmi/dEmi parseável"
 WARN_NFE_KEY_FALLBACK = "chNFe via fallback infNFe/@Id"
 WARN_NFE_NO_KEY = "chNFe ausente"
-WARN_NFE_NO_BODY = "sem infNFe"
 WARN_CTE_NO_DATE = "dhEmi ausente ou inválido"
 WARN_CTE_KEY_FALLBACK = "chCTe via fallback infCte/@Id"
 WARN_CTE_NO_KEY = "chCTe ausente"
-WARN_CTE_NO_BODY = "sem infCte"
 WARN_DECIMAL_PREFIX = "decimal inválido em "
 
 NFE_KEY, CTE_KEY = "chNFe", "chCTe"
@@ -200,8 +198,6 @@ FLAT_SUFFIX = "_flat"
 MAX_ERROR_CHARS = 500
 DEFAULT_MIN_YEAR = 2026
 DEFAULT_WINDOW_MONTHS = 2
-DEFAULT_INVOICE_SOURCES = ("importados", "processados")
-DEFAULT_FREIGHT_SOURCE = "processados_cte"
 
 
 @dataclass(frozen=True)

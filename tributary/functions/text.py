@@ -16,10 +16,16 @@ ASCII_BLANKS = " \t\n\r\u000b\u000c"
 UTF8_NAMES = ("", "utf-8", "utf8", "us-ascii", "ascii")
 LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "iso_8859-1", "latin1", "latin-1")
 CP1252_NAMES = ("windows-1252", "cp1252")
+LATIN9_NAMES = ("iso-8859-15", "iso8859-15", "iso_8859-15", "latin-9", "latin9")
+# Others are turned into UTF-8 by the reader, see ``sources.archives``.
+KNOWN_NAMES = (*UTF8_NAMES, *LATIN1_NAMES, *CP1252_NAMES, *LATIN9_NAMES, "utf-16", "utf-16le", "utf-16be")
 
 # Windows-1252 differs from ISO-8859-1 only in 0x80-0x9F; undefined positions are left alone.
 _CP1252_BYTES = bytes(b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
 
+# ISO-8859-15 differs from ISO-8859-1 in eight places.
+_LATIN9_BYTES = bytes(b for b in range(0xA0, 0x100) if bytes([b]).decode("latin-1") != bytes([b]).decode("iso8859-15"))
+
 _DECLARATION = r"""^[^<]*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)["']"""
 
 
@@ -94,10 +100,11 @@ def decode_document(content: str) -> str:
 
     NULL when the bytes are not valid in that charset or the charset is not known, so that such
     a document ends up in quarantine instead of failing the job. Leading blanks and the
-    byte-order mark are removed.
+    byte-order mark are removed. The declaration is read to its end, however far that is.
     """
     head = f"hex(substring({content}, 1, 4))"
-    prolog = f"decode(substring({content}, 1, 400), 'ISO-8859-1')"
+    letters = f"cast({content} as string)"
+    prolog = f"substring({letters}, 1, instr({letters}, '?>'))"
     declared = f"lower(regexp_extract({prolog}, {literal(_DECLARATION)}, 1))"
     as_utf8 = f"cast({content} as string)"
     utf8 = f"if(is_valid_utf8({as_utf8}), {as_utf8}, null)"
@@ -107,6 +114,11 @@ def decode_document(content: str) -> str:
         f"{literal(_CP1252_BYTES.decode('cp1252'))})"
     )
 
+    latin9 = (
+        f"translate({latin1}, {literal(_LATIN9_BYTES.decode('latin-1'))}, "
+        f"{literal(_LATIN9_BYTES.decode('iso8859-15'))})"
+    )
+
     def utf16(big_endian: bool) -> str:
         charset = "UTF-16BE" if big_endian else "UTF-16LE"
         return (
@@ -120,6 +132,7 @@ def decode_document(content: str) -> str:
         f"when {head} like 'FFFE%' or {head} like '3C00%' then {utf16(False)} "
         f"when {_among(declared, UTF8_NAMES)} then {utf8} "
         f"when {_among(declared, LATIN1_NAMES)} then {latin1} "
-        f"when {_among(declared, CP1252_NAMES)} then {cp1252} end"
+        f"when {_among(declared, CP1252_NAMES)} then {cp1252} "
+        f"when {_among(declared, LATIN9_NAMES)} then {latin9} end"
     )
     return strip_start(text)

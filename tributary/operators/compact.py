@@ -48,11 +48,11 @@ def keep_latest_narrow(
     scope: list[str] = SCOPE,
     newest_first: list[str] = TIE_BREAKERS,
 ) -> DataFrame:
-    """Same result by partial aggregation: keys and order columns are hashed, rows ride along.
+    """Same result by partial aggregation, with the rows as part of the aggregate.
 
-    For narrow rows this avoids the sort that a window needs; the aggregate keeps one candidate
-    per key on the map side as well. NULL order values are ranked below all others by pairing each
-    with a presence flag.
+    The aggregate keeps one candidate per key on the map side. Its buffer is a struct, so Spark sorts
+    for it as it does for a window; it serves where a window function cannot be used. NULL order
+    values are ranked below all others by pairing each with a presence flag.
     """
     keys = [key] if isinstance(key, str) else key
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

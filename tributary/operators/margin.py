@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import rules
 
@@ -73,8 +73,9 @@ def by_dimension(clients: DataFrame, dimension: str) -> DataFrame:
 
 def share(clients: DataFrame, dimension: str) -> DataFrame:
     """Share of each entry of a dimension in total revenue, in percent."""
-    total = clients.agg(F.sum("receita").cast("double").alias("total")).scalar()
     grouped = clients.groupBy(dimension).agg(F.sum("receita").alias("receita"))
+    # One row per entry is left, so that the total over all of them is small work.
+    total = F.sum("receita").over(Window.partitionBy()).cast("double")
     revenue = F.col("receita").cast("double")
     return grouped.select(
         dimension,

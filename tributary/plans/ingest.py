@@ -2,15 +2,18 @@
 
 One run makes these jobs:
 
-1. list files, drop the known ones, name the documents inside them  -> ``entries`` work table
+1. list files, drop the known ones       -> ``listed`` and ``pending`` work tables
+   name the documents inside them         -> ``entries`` work table
 2. read and parse each document exactly once                        -> ``documents`` work table
 3. per output table: keep the latest copy per key, write the months
 4. quarantine and run counters from narrow columns of ``documents``
 5. ledger, only for sources without errors, after their tables were written
 6. flat copies of the months that changed
 
-The two work tables cut the lineage: later jobs read columns from Parquet instead of parsing
-again, and a lost executor repeats a task, not the run.
+The work tables cut the lineage: later jobs read columns from Parquet instead of parsing again, and
+a lost executor repeats a task, not the run. The months of a table are replaced from a copy of their
+rows; a run that breaks in between leaves the copy, and the next run starts by finishing it. A file
+that cannot be read is an error of its source: it gets no ledger row, and the others go on.
 """
 
 from __future__ import annotations
@@ -29,11 +32,11 @@ from ..operators import metrics, rules, state
 from ..operators.compact import keep_latest, merge_months
 from ..schemas import CTE_SCHEMA, NFE_SCHEMA
 from ..sinks.monthly import read_months, write_months
-from ..sources.archives import list_entries, read_entries
+from ..sources.archives import NO_DOCUMENTS, UNREADABLE, list_entries, read_entries
 from ..sources.files import list_files
 from .documents import both_rows, parse_documents
 from .flat_tables import flatten_tables
-from .work import work_folder
+from .work import remove_folder, work_folder
 
 log = logging.getLogger(__name__)
 
@@ -84,6 +87,10 @@ class IngestOptions:
     def quarantine_path(self) -> str:
         return f"{self.state_path.rstrip('/')}/quarantine"
 
+    @property
+    def swaps_path(self) -> str:
+        return f"{self.state_path.rstrip('/')}/swaps"
+
     @property
     def metrics_path(self) -> str:
         return f"{self.state_path.rstrip('/')}/runs"
@@ -115,14 +122,13 @@ def _run_id(options: IngestOptions) -> str:
     return options.run_id or f"{_utc(options.now):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
-def _listing(spark: SparkSession, options: IngestOptions) -> tuple[DataFrame | None, list[str]]:
+def _listing(spark: SparkSession, options: IngestOptions, work: str) -> tuple[DataFrame | None, list[str]]:
     found, missing = None, []
     for source in options.sources:
         try:
-            files = list_files(spark, source.root, source.name)
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+            files = list_files(spark, source.root, source.name, f"{work}/listing/{source.name}")
+        except OSError as error:
+            log.error("%s", error)
             missing.append(source.name)
             continue
         found = files if found is None else found.unionByName(files)
@@ -136,7 +142,9 @@ def documents_of(spark: SparkSession, files: DataFrame, work: str) -> DataFrame:
     list_entries(files, max(1, math.ceil(archives / ARCHIVES_PER_TASK))).write.mode(
         "overwrite"
     ).parquet(entries_path)
-    entries = spark.read.parquet(entries_path)
+    entries = spark.read.parquet(entries_path).filter(
+        F.col("method").isNull() | (F.col("method") != NO_DOCUMENTS)
+    )
     size = entries.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("document_bytes"), F.lit(0)).alias("bytes")
     ).first()
@@ -158,7 +166,8 @@ def typed_documents(documents: DataFrame, options: IngestOptions) -> DataFrame:
     wanted_freight = F.col("source").isin(list(freight)) if freight else F.lit(False)
     allowed = rules.within_rules(options.min_year, options.window)
     status = (
-        F.when(F.col("outcome") == "corrupt", F.lit("corrupt"))
+        F.when(F.col("error_type").startswith(UNREADABLE), F.lit("unreadable"))
+        .when(F.col("outcome") == "corrupt", F.lit("corrupt"))
         .when(F.col("outcome") == "empty", F.lit("empty"))
         .when(F.col("outcome") == "no_body", F.lit("no_body"))
         # A waybill where only invoices are wanted has no invoice body.
@@ -183,11 +192,11 @@ def _table_of(documents: DataFrame, kind: str, source: str, name: str) -> DataFr
 
 
 def _store(
-    spark: SparkSession, rows: DataFrame, path: str, kind: str, months: list[str], mode: str
+    spark: SparkSession, rows: DataFrame, path: str, kind: str, months: list[str], options: IngestOptions, kept: str
 ) -> None:
     key, schema = (X.NFE_KEY, NFE_SCHEMA) if kind == "nfe" else (X.CTE_KEY, CTE_SCHEMA)
     latest = None
-    if mode == "merge":
+    if options.mode == "merge":
         try:
             stored = read_months(spark, path, schema, months)
             latest = merge_months(stored, rows, key)
@@ -196,7 +205,22 @@ def _store(
                 raise
     if latest is None:
         latest = keep_latest(rows, key)
-    write_months(latest.select(*schema.fieldNames()), path, sort_by=key, months=len(months))
+    swap = f"{options.run_id}-{kept.rsplit('/', 1)[-1]}"
+    latest = latest.select(*schema.fieldNames())
+    latest.write.mode("overwrite").parquet(kept)
+    state.note_swap(spark, options.swaps_path, swap, path, kept, key, False)
+    write_months(spark.read.schema(latest.schema).parquet(kept), path, key)
+    state.note_swap(spark, options.swaps_path, swap, path, kept, key, True)
+
+
+def finish_swaps(spark: SparkSession, options: IngestOptions) -> list[str]:
+    """Brings months that a broken run was replacing to the state it meant; the tables concerned."""
+    swaps = state.open_swaps(spark, options.swaps_path)
+    for swap in swaps:
+        rows = spark.read.parquet(swap["kept"])
+        write_months(rows, swap["path"], swap["sort_by"])
+        state.note_swap(spark, options.swaps_path, swap["swap"], swap["path"], swap["kept"], swap["sort_by"], True)
+    return [swap["path"] for swap in swaps]
 
 
 def _file_rows(documents: DataFrame) -> DataFrame:
@@ -204,14 +228,14 @@ def _file_rows(documents: DataFrame) -> DataFrame:
 
     A file counts when it gave a document, wanted or not. A loose file that is empty or corrupt
     does not, so that it is looked at again (or skipped by quarantine); an archive counts unless
-    it could not be opened at all. Months are a short list: at most one entry per month.
+    it could not be opened at all. A file that could not be read whole does not. Months are a short list: at most one entry per month.
     """
     accepted = F.col("status").isin("ok", "filtered", "no_body")
     opened = F.col("source_entry_path").isNotNull()
     return (
         documents.groupBy("source", "source_file_path", "fingerprint")
         .agg(
-            F.bool_or(accepted | opened).alias("accepted"),
+            (F.bool_or(accepted | opened) & ~F.bool_or(F.col("status") == "unreadable")).alias("accepted"),
             F.array_join(
                 F.sort_array(F.collect_set(F.when(F.col("status") == "ok", F.col(X.MONTH_COLUMN)))),
                 state.MONTH_SEPARATOR,
@@ -221,16 +245,38 @@ def _file_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def _counts(documents: DataFrame, options: IngestOptions, scanned: DataFrame) -> DataFrame:
-    """Counters per source: files scanned, documents per outcome, errors, months written."""
+def _without_documents(entries: DataFrame) -> DataFrame:
+    """Archives that were opened and hold no document: processed, so that no run opens them again."""
+    return (
+        entries.filter(F.col("method") == NO_DOCUMENTS)
+        .select("source", "source_file_path", "fingerprint")
+        .distinct()
+        .select("*", F.lit(True).alias("accepted"), F.lit("").alias("months"))
+    )
+
+
+def _kept(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _counts(documents: DataFrame, options: IngestOptions, scanned: DataFrame, pending: DataFrame) -> DataFrame:
+    """Counters per source: files scanned and skipped, documents per outcome, errors, months written."""
     broken_archive = (F.col("source_file_type") == "zip") & (F.col("status") == "corrupt")
     errors = documents.groupBy("source").agg(
-        F.count_if(broken_archive & F.lit(options.strict_archives)).alias("errors")
+        F.count_if(
+            (F.col("status") == "unreadable") | (broken_archive & F.lit(options.strict_archives))
+        ).alias("errors"),
+        F.count_if(broken_archive & F.lit(options.strict_archives)).alias("broken"),
     )
     return (
-        scanned.join(metrics.outcome_counts(documents), "source", "left")
+        scanned.join(metrics.outcome_counts(documents).drop("skipped"), "source", "left")
         .join(errors, "source", "left")
+        .join(pending.groupBy("source").agg(F.count(F.lit(1)).alias("pending")), "source", "left")
         .na.fill(0)
+        # Known by the ledger or held in quarantine.
+        .withColumn("skipped", F.col("total") - F.col("pending"))
+        .drop("pending")
         .withColumn("months", F.coalesce("months", F.array().cast("array<string>")))
     )
 
@@ -241,13 +287,15 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     options = replace(options, run_id=run_id)
     work = f"{work_folder(spark, options.state_path)}/{run_id}"
 
-    listing, missing = (files, []) if files is not None else _listing(spark, options)
+    finish_swaps(spark, options)
+    listing, missing = (files, []) if files is not None else _listing(spark, options, work)
     if listing is None:
         return RunResult(run_id, True, [], spark.createDataFrame([], "source string"), tuple(missing))
 
     ledger = state.read_ledger(spark, options.ledger_path)
     quarantine = state.read_quarantine(spark, options.quarantine_path)
-    pending = state.not_quarantined(state.not_processed(listing, ledger), quarantine)
+    listing = _kept(listing, f"{work}/listed")
+    pending = _kept(state.not_quarantined(state.not_processed(listing, ledger), quarantine), f"{work}/pending")
 
     typed = typed_documents(documents_of(spark, pending, work), options)
     documents_path = f"{work}/documents"
@@ -261,10 +309,10 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
         .count()
         .collect()
     )
-    counts = _counts(documents, options, metrics.scan_counts(listing))
-    failed = set()
-    if options.strict_archives:
-        failed = {r["source"] for r in counts.filter("errors > 0").select("source").collect()}
+    # One row per source.
+    counts = _kept(_counts(documents, options, metrics.scan_counts(listing), pending), f"{work}/counts")
+    erring = counts.filter("errors > 0").select("source", "broken").collect()
+    failed = {r["source"] for r in erring if r["broken"]}
 
     tables = []
     for source in options.sources:
@@ -280,7 +328,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
                 continue
             try:
                 rows = _table_of(documents, kind, source.name, name)
-                _store(spark, rows, path, kind, months, options.mode)
+                _store(spark, rows, path, kind, months, options, f"{work}/months/{len(tables):03d}")
             except Exception as error:
                 failed.add(source.name)
                 log.error("writing %s failed: %s", path, error)
@@ -290,14 +338,15 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     state.append_state(state.quarantine_rows(failures, at), options.quarantine_path, run_id)
 
     # Tables first, ledger last: a crash in between reads the files again, which merging absorbs.
-    done = _file_rows(documents.filter(~F.col("source").isin(list(failed))) if failed else documents)
+    done = _file_rows(documents).unionByName(_without_documents(spark.read.parquet(f"{work}/entries")))
+    done = done.filter(~F.col("source").isin(list(failed))) if failed else done
     state.append_state(
         state.ledger_rows(done, at, F.nullif("months", F.lit(""))), options.ledger_path, run_id
     )
 
     flat_failed = flatten_tables(spark, tables, options.window) if options.flatten else False
-    had_errors = bool(failed or missing or flat_failed)
-    summary = counts.withColumns(
+    had_errors = bool(failed or erring or missing or flat_failed)
+    summary = counts.drop("broken").withColumns(
         {
             "run_id": F.lit(run_id),
             "ran_at": at,
@@ -305,6 +354,8 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
         }
     )
     state.append_state(summary, options.metrics_path, run_id)
+    if not failed:
+        remove_folder(spark, work)
     return RunResult(
         run_id,
         had_errors,

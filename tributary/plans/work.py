@@ -20,6 +20,12 @@ def work_folder(spark: SparkSession, otherwise: str) -> str:
     return (named or f"{otherwise.rstrip('/')}/work").rstrip("/")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a finished run's work tables, in whatever store they are."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
     """Rows dealt out evenly, for work that costs far more per row than reading the row did.
 

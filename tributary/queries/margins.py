@@ -44,10 +44,10 @@ def clients(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.sum("revenue").cast(SUMS).alias("receita"), F.sum("cost").cast(SUMS).alias("custo"))
     )
     places = table(spark, sf, "nation").join(
-        F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     customers = table(spark, sf, "customer").join(
-        F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")
+        places, F.col("c_nationkey") == F.col("n_nationkey")
     )
     return per_client.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_custkey").alias("id"),

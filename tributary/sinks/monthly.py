@@ -8,22 +8,17 @@ from .. import fields as X
 
 # Codec and level of all stored tables.
 CODEC, LEVEL = "zstd", "3"
-# With more months than this in one write, rows are first brought together by month.
-FEW_MONTHS = 3
 
 
-def write_months(
-    df: DataFrame, path: str, sort_by: str | None = None, months: int | None = None
-) -> None:
+def write_months(df: DataFrame, path: str, sort_by: str | None = None) -> None:
     """Replaces the months present in ``df`` and leaves all other months alone.
 
-    Files appear when the job commits; until then readers see the old month. Few months are
-    written straight from the tasks that hold the rows. Many months are rebalanced first: Spark
-    then splits a large month over tasks and puts small months together, so that neither a month
-    that holds most rows nor a long tail of months gives bad files.
+    Rows are rebalanced by month first: Spark splits a large month over tasks and puts small months
+    together, so the files of a month depend on its size, not on the tasks that held the rows. When
+    the job commits, Spark removes old month folders and moves new ones in; ingestion
+    writes from a kept copy of the rows, so that a lost driver between the two loses nothing.
     """
-    if months is None or months > FEW_MONTHS:
-        df = df.hint("rebalance", X.MONTH_COLUMN)
+    df = df.hint("rebalance", X.MONTH_COLUMN)
     order = [X.MONTH_COLUMN] + ([sort_by] if sort_by else [])
     (
         df.sortWithinPartitions(*order)
@@ -41,24 +36,32 @@ def read_months(
 ) -> DataFrame:
     """Stored months, the month key as text and in its place; only the named months are read.
 
-    Without ``schema`` the table describes itself, and the month key is turned into text.
+    Without ``schema`` the table describes itself, by the columns of all its files, and the month
+    key is turned into text.
     """
     if schema is not None:
         df = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     else:
-        df = spark.read.parquet(path)
+        # Only the footers of the months that are read.
+        only = "*" if months is None else "{" + ",".join(sorted(months)) + "}"
+        reader = spark.read.option("mergeSchema", "true").option("basePath", path)
+        df = reader.parquet(f"{path.rstrip('/')}/{X.MONTH_COLUMN}={only}")
         if not isinstance(df.schema[X.MONTH_COLUMN].dataType, T.StringType):
             df = df.withColumn(X.MONTH_COLUMN, F.col(X.MONTH_COLUMN).cast("string"))
     return df if months is None else df.filter(F.col(X.MONTH_COLUMN).isin(months))
 
 
-def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """Month and modification time of each file of a stored table, from the listing alone."""
+def stored_files(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
+    """Month and modification time of each file of a stored table, from the listing alone.
+
+    With ``months`` only the folders of those months are listed.
+    """
+    only = "*" if months is None else "{" + ",".join(sorted(months)) + "}"
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .load(f"{path.rstrip('/')}/{X.MONTH_COLUMN}={only}")
         .select(
             F.regexp_extract("path", rf"{X.MONTH_COLUMN}=(\d{{6}})/", 1).alias(X.MONTH_COLUMN),
             "modificationTime",
