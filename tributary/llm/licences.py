@@ -26,7 +26,7 @@ from re import findall
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, stored
 
 #: Statements by which a file or a licence file names its licence. Fixed values.
 TEMPLATES = [
@@ -124,11 +124,13 @@ def scan(
         F.arrays_overlap("terms", F.lit(telling_terms(vectors, threshold)))
     )
     known = F.filter("terms", lambda term: F.array_contains(F.lit(vocabulary), term))
-    counted = (
+    # Few lines hold a telling term; they are found by one pass over the texts.
+    counted = stored(
         lines.distinct()
         .select("path", "line", (F.size("terms") - F.size(known)).alias("others"), F.explode(known).alias("term"))
         .groupBy("path", "line", "others", "term")
-        .agg(F.count("*").alias("tf"))
+        .agg(F.count("*").alias("tf")),
+        "lines",
     )
     scales = F.broadcast(spark.createDataFrame([(t, float(v)) for t, v in idf.items()], "term string, idf double"))
     norms = counted.join(scales, "term").groupBy("path", "line", "others").agg(
