@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import iso_date, iso_instant, month_key, utc_wall_time
 from tributary.functions.numbers import exact_decimal
-from tributary.functions.render import escaped, leaf
+from tributary.queries.render import escaped, leaf
 from tributary.functions.text import clean, join_texts, quoted
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import literal
-from ..functions.render import invoice, leaf, node, repeated, waybill, with_id
+from .render import invoice, leaf, node, repeated, waybill, with_id
 from ..operators.flatten import flatten_freight, flatten_invoices
 from ..operators.rules import within_rules
 from ..plans.ingest import DOCUMENTS_PER_TASK
