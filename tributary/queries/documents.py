@@ -384,27 +384,8 @@ def classify_documents(spark, sf):
     return parsed.groupBy("kind", "outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    """
-    WITH q AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s,
-        l_quantity AS qty, l_extendedprice AS price, l_shipdate AS d FROM lineitem),
-    doc AS (
-      SELECT *, 'k' || k || '-' || n || '-' || p || '-' || s || '-' || CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) AS key
-      FROM q
-    )
-    SELECT key AS "chCTe", lpad(CAST(n AS VARCHAR), 3, '0') AS serie, d + INTERVAL 12 HOUR AS "dhEmi",
-      CAST(CAST(price AS DECIMAL(18,2)) AS DECIMAL(38,12)) AS "vTPrest",
-      CASE WHEN n % 2 = 0 THEN CAST(CAST(price AS DECIMAL(18,2)) AS DECIMAL(38,12)) END AS "vICMS00",
-      '100' AS "cStat", '3' AS toma, strftime(d, '%Y%m') AS ref_aaaamm,
-      CASE WHEN n % 3 = 0 THEN NULL ELSE CAST(CAST(qty AS DECIMAL(18,2)) + c AS DECIMAL(38,12)) END AS "infQ_qCarga",
-      CASE WHEN n % 4 = 0 THEN NULL ELSE 'doc' || CAST(p + e AS VARCHAR) END AS "infNFe_chave",
-      CAST(NULL AS DECIMAL(38,12)) AS "transp_qVol"
-    FROM doc, LATERAL (SELECT unnest(generate_series(1, greatest(n % 3, 1))) AS c),
-      LATERAL (SELECT unnest(generate_series(1, greatest(n % 4, 1))) AS e)
-    """
-)
-def freight_lists(spark, sf):
-    """Each shipped line as a freight waybill, parsed and unnested."""
+def line_waybill() -> tuple[str, str]:
+    """Key and text of a freight waybill for a shipped line."""
     price = "cast(cast(l_extendedprice as decimal(18,2)) as string)"
     key = (
         "concat('k', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey, '-', " + price + ")"
@@ -436,6 +417,31 @@ def freight_lists(spark, sf):
         key,
         "'100'",
     )
+    return key, text
+
+
+@query(
+    """
+    WITH q AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s,
+        l_quantity AS qty, l_extendedprice AS price, l_shipdate AS d FROM lineitem),
+    doc AS (
+      SELECT *, 'k' || k || '-' || n || '-' || p || '-' || s || '-' || CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) AS key
+      FROM q
+    )
+    SELECT key AS "chCTe", lpad(CAST(n AS VARCHAR), 3, '0') AS serie, d + INTERVAL 12 HOUR AS "dhEmi",
+      CAST(CAST(price AS DECIMAL(18,2)) AS DECIMAL(38,12)) AS "vTPrest",
+      CASE WHEN n % 2 = 0 THEN CAST(CAST(price AS DECIMAL(18,2)) AS DECIMAL(38,12)) END AS "vICMS00",
+      '100' AS "cStat", '3' AS toma, strftime(d, '%Y%m') AS ref_aaaamm,
+      CASE WHEN n % 3 = 0 THEN NULL ELSE CAST(CAST(qty AS DECIMAL(18,2)) + c AS DECIMAL(38,12)) END AS "infQ_qCarga",
+      CASE WHEN n % 4 = 0 THEN NULL ELSE 'doc' || CAST(p + e AS VARCHAR) END AS "infNFe_chave",
+      CAST(NULL AS DECIMAL(38,12)) AS "transp_qVol"
+    FROM doc, LATERAL (SELECT unnest(generate_series(1, greatest(n % 3, 1))) AS c),
+      LATERAL (SELECT unnest(generate_series(1, greatest(n % 4, 1))) AS e)
+    """
+)
+def freight_lists(spark, sf):
+    """Each shipped line as a freight waybill, parsed and unnested."""
+    key, text = line_waybill()
     parsed = parse_documents(rendered(table(spark, sf, "lineitem"), key, text, "'lines'"))
     return flatten_freight(freight_rows(parsed)).select(
         "chCTe", "serie", "dhEmi", "vTPrest", "vICMS00", "cStat", "toma", "ref_aaaamm",
