@@ -299,8 +299,10 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
 
     typed = typed_documents(documents_of(spark, pending, work), options)
     documents_path = f"{work}/documents"
-    both_rows(typed, "status = 'ok'", NARROW).write.mode("overwrite").parquet(documents_path)
-    documents = spark.read.parquet(documents_path)
+    rows = both_rows(typed, "status = 'ok'", NARROW)
+    # Each output table reads the folder of its source and kind, and no other.
+    rows.write.partitionBy("source", "kind").mode("overwrite").parquet(documents_path)
+    documents = spark.read.schema(rows.schema).parquet(documents_path)
 
     # One row per source and month: bounded by the window, whatever the number of documents.
     present = (
