@@ -123,23 +123,21 @@ def scan(
     lines = lines.select("path", "line", terms_of(F.col("block")).alias("terms")).where(
         F.arrays_overlap("terms", F.lit(telling_terms(vectors, threshold)))
     )
-    known = F.filter("terms", lambda term: F.array_contains(F.lit(vocabulary), term))
     # Few lines hold a telling term; they are found by one pass over the texts.
     counted = stored(
         lines.distinct()
-        .select("path", "line", (F.size("terms") - F.size(known)).alias("others"), F.explode(known).alias("term"))
-        .groupBy("path", "line", "others", "term")
+        .select("path", "line", F.explode("terms").alias("term"))
+        .groupBy("path", "line", "term")
         .agg(F.count("*").alias("tf")),
         "lines",
     )
     scales = F.broadcast(spark.createDataFrame([(t, float(v)) for t, v in idf.items()], "term string, idf double"))
-    norms = counted.join(scales, "term").groupBy("path", "line", "others").agg(
-        F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2) + F.col("others") * F.lit(other**2)).alias("norm")
-    )
-    dots = counted.join(F.broadcast(weights), "term").groupBy("path", "line", "others", "template", "name").agg(
+    square = F.when(F.col("idf").isNull(), F.col("tf") * F.lit(other**2)).otherwise((F.col("tf") * F.col("idf")) ** 2)
+    norms = counted.join(scales, "term", "left").groupBy("path", "line").agg(F.sqrt(F.sum(square)).alias("norm"))
+    dots = counted.join(F.broadcast(weights), "term").groupBy("path", "line", "template", "name").agg(
         F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot")
     )
-    close = dots.join(norms, ["path", "line", "others"]).select(
+    close = dots.join(norms, ["path", "line"]).select(
         "path", "name", F.round(F.col("dot") / F.col("norm"), 4).alias("cosine")
     )
     own = (
