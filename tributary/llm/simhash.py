@@ -14,6 +14,13 @@ fingerprints, as the method has it; tiles only spread and prune them.
 Defined results: a null or blank text has fingerprint zero and is linked like any other; fewer words
 than a shingle are one shingle; repeated rows share one group; rows without an id get a fingerprint
 and, if alone with it, no group; columns beyond those named are ignored.
+
+``similar`` takes the fingerprints, of distinct shingles, only as a search for candidates and decides
+by the Jaccard similarity of the shingle sets. A lower bound of what two sets differ in, from 512
+parities, drops most other pairs inside the comparison. It returns real pairs that span what it finds,
+these are verified, and a second comparison of the rows that had partners returns every pair that the
+verified ones leave apart. So no link is lost, and a group of near copies never becomes all of its pairs.
+Texts without words have no shingles and are alike among themselves only.
 """
 
 from __future__ import annotations
@@ -31,19 +38,29 @@ from .common import components, stored
 SEED = 42
 
 
+#: Longs of parities of a shingle set.
+PARITIES = 8
+
+
+def _shingles(text: str | None, width: int) -> list[bytes]:
+    words = text.encode("utf-8", "replace").lower().split() if text else []
+    if len(words) <= width:
+        return [b" ".join(words)] if words else []
+    joined = b" ".join(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    ends = np.cumsum(lengths)
+    starts = (ends - lengths)[: len(words) - width + 1].tolist()
+    return [joined[a:b] for a, b in zip(starts, (ends[width - 1 :] - 1).tolist())]
+
+
 def fingerprint(text: str | None, width: int, lanes: int) -> np.ndarray:
     """``lanes`` unsigned numbers; a bit is set if it is set in over half of the shingle hashes."""
-    words = text.encode("utf-8", "replace").lower().split() if text else []
-    if not words:
+    return _majorities(_shingles(text, width), lanes)
+
+
+def _majorities(shingles: list[bytes], lanes: int) -> np.ndarray:
+    if not shingles:
         return np.zeros(lanes, np.uint64)
-    if len(words) <= width:
-        shingles = [b" ".join(words)]
-    else:
-        joined = b" ".join(words)
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        ends = np.cumsum(lengths)
-        starts = (ends - lengths)[: len(words) - width + 1].tolist()
-        shingles = [joined[a:b] for a, b in zip(starts, (ends[width - 1 :] - 1).tolist())]
     digest = xxhash.xxh64_intdigest
     out = np.empty(lanes, np.uint64)
     for lane in range(lanes):
@@ -55,12 +72,31 @@ def fingerprint(text: str | None, width: int, lanes: int) -> np.ndarray:
     return out
 
 
-def _maker(width: int, lanes: int, schema: pa.Schema):
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles."""
+    return _hashes(set(_shingles(text, width)))
+
+
+def _hashes(shingles: set[bytes]) -> np.ndarray:
+    return np.unique(np.array([xxhash.xxh64_intdigest(shingle, SEED) for shingle in shingles], np.uint64))
+
+
+def profile(text: str | None, width: int, lanes: int) -> np.ndarray:
+    """Fingerprint of the distinct shingles, parities of their set, its size and its hash."""
+    shingles = set(_shingles(text, width))
+    own = _hashes(shingles)
+    odd = np.bincount((own % (64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    parities = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+    facts = np.array([len(own), xxhash.xxh64_intdigest(own.tobytes(), SEED)], np.uint64)
+    return np.concatenate((_majorities(list(shingles), lanes), parities, facts))
+
+
+def _maker(width: int, lanes: int, schema: pa.Schema, what=fingerprint):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(text.as_py(), width, lanes) for text in batch.column(1)]
-            table = np.array(made, np.uint64).reshape(len(made), lanes).view(np.int64)
-            columns = [pa.array(np.ascontiguousarray(table[:, lane])) for lane in range(lanes)]
+            made = [what(text.as_py(), width, lanes) for text in batch.column(1)]
+            table = np.array(made, np.uint64).reshape(len(made), len(schema) - 1).view(np.int64)
+            columns = [pa.array(np.ascontiguousarray(table[:, at])) for at in range(table.shape[1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
     return make
@@ -125,7 +161,67 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int =
     return moved, label[moved]
 
 
-def _comparer(lanes: int, radius: int, schema: pa.Schema):
+def _span(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs, earlier ones first, that join trees which ``label`` has apart; joins them."""
+    found = []
+    while True:
+        open = label[a] != label[b]
+        a, b = a[open], b[open]
+        if not len(a):
+            break
+        best = np.full(len(label), len(a))
+        np.minimum.at(best, label[a], np.arange(len(a)))
+        np.minimum.at(best, label[b], np.arange(len(a)))
+        chosen = np.unique(best[best < len(a)])
+        found.append((a[chosen], b[chosen]))
+        _unite(label, a[chosen], b[chosen])
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(side) for side in zip((none, none), *found))
+
+
+def alike(
+    left: np.ndarray, right: np.ndarray | None, lanes: int, radius: int, share: float, spanning: bool, block: int = 1 << 20
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within the radius whose sets may have the share in common, numbered as by ``forest``.
+
+    Rows hold lanes, parities, size and label. Pairs of equal labels are left out; with ``spanning``
+    only pairs that connect what all of them connect are given, the closest first.
+    """
+    other = left if right is None else right
+    shift = 0 if right is None else len(left)
+    rows = left if right is None else np.concatenate((left, right))
+    columns = [np.ascontiguousarray(other[:, lane]) for lane in range(lanes)]
+    parities = [np.ascontiguousarray(rows[:, lanes + at]) for at in range(PARITIES)]
+    sizes, label = (rows[:, lanes + PARITIES + at].astype(np.int64) for at in range(2))
+    if spanning:
+        label = np.arange(len(rows))
+    step = max(1, block // max(1, len(other)))
+    for start in range(0, len(left), step):
+        some = left[start : start + step]
+        distance = np.bitwise_count(some[:, 0][:, None] ^ columns[0])
+        for lane in range(1, lanes):
+            distance += np.bitwise_count(some[:, lane][:, None] ^ columns[lane])
+        a, b = np.divmod(np.flatnonzero(distance <= radius), len(other))
+        a, b = a + start, b + shift
+        open = label[a] != label[b]
+        if right is None:
+            open &= a < b
+        a, b = a[open], b[open]
+        # Sets of which the share is common differ in no more than this; odd counts differ in no less.
+        most = (sizes[a] + sizes[b]) * ((1 - share) / (1 + share)) + 1e-6
+        differ = np.zeros(len(a), np.int64)
+        for column in parities:
+            differ += np.bitwise_count(column[a] ^ column[b])
+        fit = np.maximum(differ, np.abs(sizes[a] - sizes[b])) <= most
+        a, b = a[fit], b[fit]
+        if spanning:
+            near = np.argsort(differ[fit], kind="stable")
+            a, b = _span(label, a[near], b[near])
+        if len(a):
+            yield a, b
+
+
+def _comparer(wide: int, find, schema: pa.Schema):
     def rows_of(column: pa.ListArray, at: int) -> np.ndarray:
         return column[at].values.to_numpy(zero_copy_only=False)
 
@@ -133,14 +229,14 @@ def _comparer(lanes: int, radius: int, schema: pa.Schema):
         for batch in batches:
             ids, prints, other_ids, other_prints = batch.columns
             for at in range(batch.num_rows):
-                left = rows_of(prints, at).view(np.uint64).reshape(-1, lanes)
+                left = rows_of(prints, at).view(np.uint64).reshape(-1, wide)
                 names, right = rows_of(ids, at), None
                 if other_ids[at].is_valid:
-                    right = rows_of(other_prints, at).view(np.uint64).reshape(-1, lanes)
+                    right = rows_of(other_prints, at).view(np.uint64).reshape(-1, wide)
                     names = np.concatenate((names, rows_of(other_ids, at)))
-                child, parent = forest(left, right, radius)
-                if len(child):
-                    yield pa.RecordBatch.from_arrays([pa.array(names[child]), pa.array(names[parent])], schema=schema)
+                for child, parent in find(left, right):
+                    if len(child):
+                        yield pa.RecordBatch.from_arrays([pa.array(names[child]), pa.array(names[parent])], schema=schema)
 
     return compare
 
@@ -156,19 +252,23 @@ def _offsets(parts: int, grain: int, radius: int, most: int) -> list[tuple[int,
     return [d for d in steps if d >= (0,) * parts and sum(map(least, d)) <= radius]
 
 
-def links(prints: DataFrame, *, lanes: int, radius: int, tile: int = 8192, grain: int = 1) -> DataFrame:
+def links(
+    prints: DataFrame, *, lanes: int, radius: int, tile: int = 8192, grain: int = 1, more: tuple[str, ...] = (), find=None
+) -> DataFrame:
     """Forest links ``(a, b)`` between the rows of ``(node, lane0, ..)``, whose fingerprints differ.
 
     A cell is given by the population count of either half of the fingerprint, in steps of ``grain``.
+    ``find`` takes two tiles, with the lanes and ``more`` as columns, and gives other links.
     """
     names = lane_names(lanes)
+    find = find or (lambda left, right: [forest(left, right, radius)])
     if lanes == 1:
         halves = [F.col("lane0").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("lane0", 32)]
         counts = [F.bit_count(half) for half in halves]
     else:
         counts = [sum(map(F.bit_count, names[: lanes // 2]), F.lit(0)), sum(map(F.bit_count, names[lanes // 2 :]), F.lit(0))]
     cells = [F.floor(count / grain).cast("int").alias(f"c{k}") for k, count in enumerate(counts)]
-    rows = prints.select("node", *names, *cells)
+    rows = prints.select("node", *names, *more, *cells)
     # At most one row per pair of population counts: small whatever the table.
     sizes = rows.groupBy("c0", "c1").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     rows = rows.join(F.broadcast(sizes), ["c0", "c1"]).withColumn(
@@ -177,7 +277,7 @@ def links(prints: DataFrame, *, lanes: int, radius: int, tile: int = 8192, grain
     key = ["c0", "c1", "t"]
     tiles = stored(
         rows.groupBy(*key).agg(
-            F.collect_list(F.struct("node", F.array(*names).alias("print"))).alias("rows")
+            F.collect_list(F.struct("node", F.array(*names, *more).alias("print"))).alias("rows")
         ).select(*key, F.col("rows.node").alias("ids"), F.flatten("rows.print").alias("prints")),
         "tiles",
     )
@@ -200,7 +300,7 @@ def links(prints: DataFrame, *, lanes: int, radius: int, tile: int = 8192, grain
     return (
         lefts.join(rights, pair, "left")
         .select("ids", "prints", "other_ids", "other_prints")
-        .mapInArrow(_comparer(lanes, radius, schema), "a long, b long")
+        .mapInArrow(_comparer(lanes + len(more), find, schema), "a long, b long")
     )
 
 
@@ -223,3 +323,64 @@ def near_duplicates(
     roots = components(found)
     named = classes.join(roots, "node", "left").select(*names, F.coalesce("root", "node").alias("component"))
     return prints.join(named, names).select("id", *names, "component")
+
+
+def _set_maker(width: int, schema: pa.Schema):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(text.as_py(), width).view(np.int64) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], schema=schema)
+
+    return make
+
+
+def similar(
+    documents: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    lanes: int = 2,
+    radius: int = 40,
+    share: float = 0.8,
+    tile: int = 8192,
+    grain: int = 8,
+) -> DataFrame:
+    """Per document ``(id, component)``; links have at least the share of all shingles of both in common."""
+    names = lane_names(lanes)
+    odd = [f"odd{number}" for number in range(PARITIES)]
+    facts = [*names, *odd, "size", "mark"]
+    schema = pa.schema([("id", pa.int64()), *((name, pa.int64()) for name in facts)])
+    rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    profiles = stored(
+        rows.mapInArrow(_maker(width, lanes, schema, profile), "id long, " + ", ".join(f"{name} long" for name in facts)), "profiles"
+    )
+    classes = stored(profiles.groupBy(*facts).agg(F.min("id").alias("node")), "classes")
+    filled = classes.where(F.col("node").isNotNull() & (F.col("size") > 0))
+
+    def found(some: DataFrame, spanning: bool) -> DataFrame:
+        def find(left: np.ndarray, right: np.ndarray | None):
+            return alike(left, right, lanes, radius, share, spanning)
+
+        return links(some, lanes=lanes, radius=radius, tile=tile, grain=grain, more=(*odd, "size", "label"), find=find)
+
+    first = stored(found(filled.withColumn("label", F.col("node")), True), "spans")
+    nodes = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
+    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    sets = stored(
+        rows.join(nodes, F.col("id") == F.col("node"), "left_semi").mapInArrow(_set_maker(width, schema), "id long, shingles array<long>").distinct(),
+        "sets",
+    )
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        one, two = (sets.select(F.col("id").alias(side), F.col("shingles").alias(f"of_{side}")) for side in "ab")
+        common = F.size(F.array_intersect("of_a", "of_b"))
+        jaccard = common / (F.size("of_a") + F.size("of_b") - common)
+        return pairs.join(one, "a").join(two, "b").where(jaccard >= share).select("a", "b")
+
+    roots = stored(components(verified(first)), "roots")
+    apart = filled.join(nodes, "node").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
+    second = verified(stored(found(apart, False), "apart"))
+    roots = components(second.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    named = classes.join(roots, "node", "left").select(*names, "mark", F.coalesce("root", "node").alias("component"))
+    return profiles.join(named, [*names, "mark"]).select("id", "component")
