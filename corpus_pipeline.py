@@ -54,10 +54,15 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token numbers of the texts."""
-    tokens = encode(docs, Model(PIECE_MODEL), keep=("lang", "source"))
+    """Token numbers of the texts, and whether decoding them gives the text back."""
+    tokens = encode(docs, Model(PIECE_MODEL), verify=True, keep=("lang", "source"))
     return tokens.select(
-        F.col("id").alias("doc_id"), "lang", "source", F.size("tokens").cast("long").alias("n_tokens"), F.col("tokens").alias("token_ids")
+        F.col("id").alias("doc_id"),
+        "lang",
+        "source",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.col("tokens").alias("token_ids"),
+        F.col("exact").alias("round_trip"),
     )
 
 

@@ -157,3 +157,7 @@ def test_near_copies_share_eight_tenths_of_their_shingles(spark):
                 group = {i: low if g == high else g for i, g in group.items()}
     assert left == {i for i, g in group.items() if i == g}
     assert left >= {10, 13, 14, 20, 21} and 15 not in left
+
+
+def test_last_stage_decodes(kept):
+    assert kept[5] and all(r["round_trip"] is True for r in kept[5].values())
