@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -218,6 +219,23 @@ def test_suffix_dedup_on_awkward_tables(spark):
 # -- 4 ---------------------------------------------------------------------------------------------------
 
 
+def test_licence_frequencies_are_those_of_all_words(spark):
+    """A header in ordinary words: their frequencies are counted like those of the templates' words."""
+    header = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    ordinary = "you may not use this file except in compliance with all that is written here"
+    files = [(f"src/{k}.py", ordinary + f" {k}") for k in range(999)] + [("src/main.py", "import os\n" + header)]
+    terms = {path: set(licences._terms_here(text)) for path, text in files}
+    having = Counter(term for own in terms.values() for term in own)
+    idf = {term: licences.inverse_frequency(len(files), n) for term, n in having.items()}
+    statement = licences._terms_here(dict(licences.TEMPLATES)["Apache-2.0"])
+    line = licences._terms_here(header)
+    sizes = [sum((n * idf[t]) ** 2 for t, n in own.items()) ** 0.5 for own in (statement, line)]
+    cosine = sum(n * line[t] * idf[t] ** 2 for t, n in statement.items()) / (sizes[0] * sizes[1])
+    rows = spark.createDataFrame(files, "path string, text string")
+    found = {r["path"]: r for r in licences.scan(rows).collect()}["src/main.py"]
+    assert found["licence"] == "Apache-2.0" and found["basis"] == "own" and abs(found["cosine"] - cosine) < 1e-4
+
+
 def test_licences_are_found_and_inherited(spark):
     files = [
         ("LICENSE", "Released under the MIT License."), ("a/b/c.py", "import os\nrun()"),

@@ -1,8 +1,8 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor.
 
 Every line of a file is compared with the licence templates, and the whole text too if the file's
-name says that it is a licence file. Inverse document frequencies of template terms are counted over
-all files; a term outside all templates weighs like one that no file has, each occurrence by itself.
+name says that it is a licence file. Inverse document frequencies of all terms are counted over all
+files; those of terms outside the templates are joined to the few lines that are compared.
 A line can reach the threshold for a template only if it holds one of the template's telling terms
 (the heaviest ones, chosen such that all others together stay below the threshold), so only such
 lines are compared, and none is lost.
@@ -100,11 +100,12 @@ def scan(
     spark = files.sparkSession
     rows = files.select(F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     vocabulary = sorted({term for _, statement in templates for term in _terms_here(statement)})
-    having = rows.select(F.explode(F.array_intersect(terms_of(F.col("text")), F.lit(vocabulary))).alias("term"))
-    counts = {row["term"]: row["count"] for row in having.groupBy("term").count().collect()}
+    # Each term once per file, summed in the tasks before the shuffle.
+    having = rows.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+    having = stored(having.groupBy("term").agg(F.count("*").alias("having")), "terms")
+    counts = {row["term"]: row["having"] for row in having.where(F.col("term").isin(vocabulary)).collect()}
     total = rows.count()
     idf = {term: inverse_frequency(total, counts.get(term, 0)) for term in vocabulary}
-    other = inverse_frequency(total, 0)
     vectors = template_weights(templates, idf)
     weights = spark.createDataFrame(
         [
@@ -131,9 +132,9 @@ def scan(
         .agg(F.count("*").alias("tf")),
         "lines",
     )
-    scales = F.broadcast(spark.createDataFrame([(t, float(v)) for t, v in idf.items()], "term string, idf double"))
-    square = F.when(F.col("idf").isNull(), F.col("tf") * F.lit(other**2)).otherwise((F.col("tf") * F.col("idf")) ** 2)
-    norms = counted.join(scales, "term", "left").groupBy("path", "line").agg(F.sqrt(F.sum(square)).alias("norm"))
+    scale = F.log(F.lit(float(1 + total)) / (1 + F.col("having"))) + 1
+    used = having.join(counted.select("term").distinct(), "term").select("term", scale.alias("idf"))
+    norms = counted.join(used, "term").groupBy("path", "line").agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("norm"))
     dots = counted.join(F.broadcast(weights), "term").groupBy("path", "line", "template", "name").agg(
         F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot")
     )
