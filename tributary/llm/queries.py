@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licences, quality, simhash, sql, toxicity
+from . import fill_in_middle as fim, licences, quality, simhash, spelling, sql, top_k, toxicity
 from .common import load
 from .decontamination import decontaminate
 from .fingerprints import edited_fingerprints
@@ -125,3 +125,32 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tokens").alias("token_ids"),
         F.col("exact").alias("round_trip"),
     )
+
+
+@query
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms, weights, whole = top_k.whole_weights(F.col("embedding"), 256)
+    vectors = load(spark, sf_dir, "embeddings").where(whole).select(
+        F.col("vec_id").alias("id"), terms.alias("terms"), weights.alias("weights")
+    )
+    return top_k.top_k(vectors.where(F.col("id") % 50 == 0), vectors, k=5)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(load(spark, sf_dir, "documents"), least=5, occurrences=3, every=97)
+    return spelling.variants(words, ratio=2)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(load(spark, sf_dir, "documents"), seed=7, rate=100, suffix_first=50)
+    return made.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )

@@ -270,3 +270,84 @@ SELECT docs.doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
   sha256(coalesce(unhex(kept.bytes), docs.bytes)) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
 """
+
+OP11_EXACT_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+OP12_SPELLING_VARIANTS = r"""
+WITH RECURSIVE table_of AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, run, count(*) AS times FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents) GROUP BY ALL
+), bytes AS (
+  SELECT run, times, hex(encode(doc || ':' || run)) AS x FROM runs
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i:
+      (strpos('0123456789ABCDEF', substr(x, i, 1)) - 1) * 16 + strpos('0123456789ABCDEF', substr(x, i + 1, 1)) - 1)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM bytes, table_of
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cut AS (
+  SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, y.word FROM cut x JOIN words y ON x.a || x.b = y.word
+  UNION SELECT y.word, x.word FROM cut x JOIN words y ON x.a || x.b = y.word
+), ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN words o ON o.word = other
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1
+), formed AS MATERIALIZED (
+  SELECT words.word, n, CASE WHEN other_n >= 2 * n THEN other END AS form, coalesce(n_near, 0) AS n_near,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN ranked USING (word)
+), chain AS (
+  SELECT word, word AS place, 0 AS step FROM formed
+  UNION ALL SELECT chain.word, formed.form, step + 1 FROM chain JOIN formed ON formed.word = chain.place AND formed.form IS NOT NULL
+)
+SELECT formed.word, n, form, root, n_near, form_n
+FROM formed JOIN (SELECT word, arg_max(place, step) AS root FROM chain GROUP BY word) USING (word)
+"""
+
+OP13_FILL_IN_MIDDLE = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), numbers AS (
+  SELECT *, len(lines) AS n, list_transform(range(0, 4), lambda k: CAST('0x' || substr(digest, k * 8 + 1, 8) AS BIGINT)) AS h FROM cut
+), parted AS (
+  SELECT doc_id, text, n,
+    array_to_string(lines[1:least(h[1] % (n + 1), h[2] % (n + 1))], '') AS prefix,
+    array_to_string(lines[least(h[1] % (n + 1), h[2] % (n + 1)) + 1:greatest(h[1] % (n + 1), h[2] % (n + 1))], '') AS middle,
+    array_to_string(lines[greatest(h[1] % (n + 1), h[2] % (n + 1)) + 1:], '') AS suffix,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+      WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parted
+"""
