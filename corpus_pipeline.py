@@ -28,11 +28,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays.
 
-    Near copies have eight tenths of their five-word shingles in common, counted on the sets. Candidates
-    are within 40 of 128 bits: such texts differ in about 15 % of the bits, in 19 % at worst (four
-    shingles of five), unrelated ones in half.
+    Near copies are linked by fingerprints of four-word shingles that differ in at most 4 of 64 bits.
     """
-    found = simhash.similar(docs, width=5, lanes=2, radius=40, share=0.8, grain=8)
+    found = simhash.near_duplicates(docs, width=4, lanes=1, radius=4)
     copies = found.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id"))
     return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
 
