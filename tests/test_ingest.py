@@ -164,27 +164,26 @@ def test_a_file_that_cannot_be_read_is_an_error_and_the_others_go_on(spark, inpu
     assert "vanished.xml" not in held
 
 
-def test_a_run_that_breaks_while_replacing_a_month_loses_nothing(spark, inputs, monkeypatch):
-    import shutil
-
-    from tributary.plans import ingest as plan
+def test_a_run_that_breaks_while_writing_leaves_the_version_before_it(spark, inputs, monkeypatch):
+    from tributary.sinks import versions
 
     o = options(inputs, flatten=False)
     ingest(spark, o)
     (inputs / "importados" / "three.xml").write_bytes(invoice(key="F" * 44))
 
-    def breaks(df, path, sort_by=None):
-        shutil.rmtree(f"{path}/ref_aaaamm=202602")
+    def breaks(*args):
         raise KeyboardInterrupt
 
     with monkeypatch.context() as patch:
-        patch.setattr(plan, "write_months", breaks)
+        patch.setattr(versions, "commit", breaks)
         with pytest.raises(KeyboardInterrupt):
             ingest(spark, replace(o, now=NOW + dt.timedelta(hours=1)))
-    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["B"]
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B"]
+    left = len(list((inputs / "out/importados/_data").iterdir()))
     ingest(spark, replace(o, now=NOW + dt.timedelta(hours=2)))
     assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B", "F"]
-    assert state.open_swaps(spark, o.swaps_path) == []
+    # What the broken run left is gone, the version before stays readable.
+    assert (left, len(list((inputs / "out/importados/_data").iterdir()))) == (2, 2)
 
 
 def test_all_methods_and_charsets_of_members(spark, tmp_path):

@@ -5,15 +5,15 @@ One run makes these jobs:
 1. list files, drop the known ones       -> ``listed`` and ``pending`` work tables
    name the documents inside them         -> ``entries`` work table
 2. read and parse each document exactly once                        -> ``documents`` work table
-3. per output table: keep the latest copy per key, write the months
+3. per output table: rank narrow rows, write the buckets that get rows, then the manifest
 4. quarantine and run counters from narrow columns of ``documents``
 5. ledger, only for sources without errors, after their tables were written
 6. flat copies of the months that changed
 
 The work tables cut the lineage: later jobs read columns from Parquet instead of parsing again, and
-a lost executor repeats a task, not the run. The months of a table are replaced from a copy of their
-rows; a run that breaks in between leaves the copy, and the next run starts by finishing it. A file
-that cannot be read is an error of its source: it gets no ledger row, and the others go on.
+a lost executor repeats a task, not the run. Output tables have versions: a run that breaks leaves the
+version before it as it was, and the files it did not get into the ledger are read again. A file that
+cannot be read is an error of its source: it gets no ledger row, and the others go on.
 """
 
 from __future__ import annotations
@@ -24,14 +24,12 @@ import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fields as X
 from ..operators import metrics, rules, state
-from ..operators.compact import keep_latest, merge_months
 from ..schemas import CTE_SCHEMA, NFE_SCHEMA
-from ..sinks.monthly import read_months, write_months
+from ..sinks.versions import merge_version, positions
 from ..sources.archives import NO_DOCUMENTS, UNREADABLE, list_entries, read_entries
 from ..sources.files import list_files
 from .documents import both_rows, parse_documents
@@ -87,10 +85,6 @@ class IngestOptions:
     def quarantine_path(self) -> str:
         return f"{self.state_path.rstrip('/')}/quarantine"
 
-    @property
-    def swaps_path(self) -> str:
-        return f"{self.state_path.rstrip('/')}/swaps"
-
     @property
     def metrics_path(self) -> str:
         return f"{self.state_path.rstrip('/')}/runs"
@@ -185,44 +179,13 @@ NARROW = [
 
 
 def _table_of(documents: DataFrame, kind: str, source: str, name: str) -> DataFrame:
+    """Rows for one output table, with their places in the work table."""
     rows = documents.filter(
         (F.col("status") == "ok") & (F.col("kind") == kind) & (F.col("source") == source)
-    ).select(f"{kind}.*")
+    ).select(f"{kind}.*", *positions())
     return rows.withColumn("source", F.lit(name))
 
 
-def _store(
-    spark: SparkSession, rows: DataFrame, path: str, kind: str, months: list[str], options: IngestOptions, kept: str
-) -> None:
-    key, schema = (X.NFE_KEY, NFE_SCHEMA) if kind == "nfe" else (X.CTE_KEY, CTE_SCHEMA)
-    latest = None
-    if options.mode == "merge":
-        try:
-            stored = read_months(spark, path, schema, months)
-            latest = merge_months(stored, rows, key)
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-    if latest is None:
-        latest = keep_latest(rows, key)
-    swap = f"{options.run_id}-{kept.rsplit('/', 1)[-1]}"
-    latest = latest.select(*schema.fieldNames())
-    latest.write.mode("overwrite").parquet(kept)
-    state.note_swap(spark, options.swaps_path, swap, path, kept, key, False)
-    write_months(spark.read.schema(latest.schema).parquet(kept), path, key)
-    state.note_swap(spark, options.swaps_path, swap, path, kept, key, True)
-
-
-def finish_swaps(spark: SparkSession, options: IngestOptions) -> list[str]:
-    """Brings months that a broken run was replacing to the state it meant; the tables concerned."""
-    swaps = state.open_swaps(spark, options.swaps_path)
-    for swap in swaps:
-        rows = spark.read.parquet(swap["kept"])
-        write_months(rows, swap["path"], swap["sort_by"])
-        state.note_swap(spark, options.swaps_path, swap["swap"], swap["path"], swap["kept"], swap["sort_by"], True)
-    return [swap["path"] for swap in swaps]
-
-
 def _file_rows(documents: DataFrame) -> DataFrame:
     """One row per file that counts as processed, with the months found in it.
 
@@ -287,7 +250,6 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     options = replace(options, run_id=run_id)
     work = f"{work_folder(spark, options.state_path)}/{run_id}"
 
-    finish_swaps(spark, options)
     listing, missing = (files, []) if files is not None else _listing(spark, options, work)
     if listing is None:
         return RunResult(run_id, True, [], spark.createDataFrame([], "source string"), tuple(missing))
@@ -323,14 +285,17 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
             targets.append(("cte", source.freight_table, source.freight_source))
         for kind, path, name in targets:
             tables.append((path, kind))
-            months = sorted(
-                r[X.MONTH_COLUMN] for r in present if (r["source"], r["kind"]) == (source.name, kind)
-            )
-            if not months:
+            new_rows = {
+                r[X.MONTH_COLUMN]: r["count"] for r in present if (r["source"], r["kind"]) == (source.name, kind)
+            }
+            if not new_rows:
                 continue
             try:
-                rows = _table_of(documents, kind, source.name, name)
-                _store(spark, rows, path, kind, months, options, f"{work}/months/{len(tables):03d}")
+                key, schema = (X.NFE_KEY, NFE_SCHEMA) if kind == "nfe" else (X.CTE_KEY, CTE_SCHEMA)
+                merge_version(
+                    spark, path, _table_of(documents, kind, source.name, name), key=key, schema=schema,
+                    work=f"{work}/losers/{len(tables):03d}", mode=options.mode, new_rows=new_rows,
+                )
             except Exception as error:
                 failed.add(source.name)
                 log.error("writing %s failed: %s", path, error)

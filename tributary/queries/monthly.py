@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.compact import concat_parts, keep_latest, keep_latest_narrow, keep_statistics, merge_months
 from ..plans.flat_tables import months_to_flatten, stale_months
 from ..plans.work import work_folder
+from ..sinks import versions
 from ..sinks.monthly import read_months, write_months
 from . import query, table
 
@@ -222,3 +223,48 @@ def stale_months_stored(spark, sf):
     return read_months(spark, path, None).select(
         "ref_aaaamm", F.col("ref_aaaamm").isin(stale).alias("stale")
     ).distinct()
+
+
+def _merged(spark: SparkSession, rows: DataFrame, path: str, mode: str = "merge") -> int:
+    new = versions.located(rows, scratch(spark, "new-rows"))
+    return versions.merge_version(
+        spark, path, new, key="key", schema=rows.schema, work=scratch(spark, "losers"), mode=mode, newest_first=["version"]
+    )
+
+
+@query(
+    f"""
+    WITH a AS (SELECT *, strftime(o_orderdate, '%Y%m') AS m FROM orders WHERE {_FIRST}),
+      b AS (SELECT *, strftime(o_orderdate, '%Y%m') AS m FROM orders WHERE {_SECOND}),
+      merged AS (SELECT o_orderkey, 2 AS version, m FROM b
+        UNION ALL SELECT o_orderkey, 1, m FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b))
+    SELECT 'before' AS reader, o_orderkey AS key, 1 AS version, m AS ref_aaaamm FROM a
+    UNION ALL SELECT 'between', o_orderkey, version, m FROM merged
+    UNION ALL SELECT 'after', o_orderkey, CASE WHEN m = '199501' THEN 3 ELSE version END, m FROM merged
+      WHERE m <> '199501' OR o_orderkey % 5 = 0
+    UNION ALL SELECT 'after', o_orderkey, 3, m FROM a WHERE m = '199501' AND o_orderkey % 5 = 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM merged)
+    """
+)
+def month_versions(spark, sf):
+    """Readers that open a table between writes: each sees one whole version, also after later ones.
+
+    The second version merges rows, the third replaces a month. A fourth writes its data and stops.
+    """
+    path = scratch(spark, "versions")
+    _merged(spark, _order_rows(spark, sf, 1, _FIRST), path)
+    schema = _order_rows(spark, sf, 1, _FIRST).schema
+    opened = read_months(spark, path, schema)
+    _merged(spark, _order_rows(spark, sf, 2, _SECOND), path)
+    readers = {"between": read_months(spark, path, schema)}
+    third = _order_rows(spark, sf, 3, "o_orderkey % 5 = 0").where("ref_aaaamm = '199501'")
+    # Two versions stay readable, so what the first reader sees is kept before the third is written.
+    readers["before"] = versions.located(opened, scratch(spark, "opened"))
+    _merged(spark, third, path, mode="replace")
+    stopped = _order_rows(spark, sf, 4, "true").withColumn(versions.BUCKET, F.lit(0))
+    versions.write_buckets(stopped, path, versions.new_label(versions.current_version(spark, path)), "key")
+    readers["after"] = read_months(spark, path, schema)
+    found = None
+    for name, rows in readers.items():
+        rows = rows.select(F.lit(name).alias("reader"), "key", "version", "ref_aaaamm")
+        found = rows if found is None else found.union(rows)
+    return found

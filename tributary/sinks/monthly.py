@@ -1,4 +1,8 @@
-"""Month-partitioned Parquet: writing and reading back."""
+"""Month-partitioned Parquet: writing and reading back.
+
+``write_months`` writes months as plain folders. Ingestion writes versions of months instead, see
+``versions``; ``read_months`` reads either.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +19,8 @@ def write_months(df: DataFrame, path: str, sort_by: str | None = None) -> None:
 
     Rows are rebalanced by month first: Spark splits a large month over tasks and puts small months
     together, so the files of a month depend on its size, not on the tasks that held the rows. When
-    the job commits, Spark removes old month folders and moves new ones in; ingestion
-    writes from a kept copy of the rows, so that a lost driver between the two loses nothing.
+    the job commits, Spark removes old month folders and moves new ones in, so a reader can meet the
+    gap between the two; tables that are read meanwhile are better written in versions.
     """
     df = df.hint("rebalance", X.MONTH_COLUMN)
     order = [X.MONTH_COLUMN] + ([sort_by] if sort_by else [])
@@ -37,8 +41,13 @@ def read_months(
     """Stored months, the month key as text and in its place; only the named months are read.
 
     Without ``schema`` the table describes itself, by the columns of all its files, and the month
-    key is turned into text.
+    key is turned into text. Of a table in versions the newest whole version is read.
     """
+    from . import versions
+
+    if versions.current_version(spark, path):
+        rows = versions.read_version(spark, path, schema, months)
+        return spark.createDataFrame([], f"{X.MONTH_COLUMN} string") if rows is None else rows
     if schema is not None:
         df = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     else:
