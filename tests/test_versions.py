@@ -65,7 +65,7 @@ def test_merges_equal_a_dictionary(spark, tmp_path, monkeypatch, seed):
         state = plainly(state, rows, mode)
         merge(spark, tmp_path, rows, path, mode)
         assert stored(spark, path) == sorted(((r[3], r[4], r[0], r[1], r[2]) for _, r in state.values()), key=str)
-    counts = V.manifest(spark, path).groupBy("ref_aaaamm").agg(F.sum("rows").alias("n"), F.max("buckets").alias("b")).collect()
+    counts = V.manifest(spark, path).groupBy("part").agg(F.sum("rows").alias("n"), F.max("buckets").alias("b")).collect()
     assert sum(r["n"] for r in counts) == len(state) and max(r["b"] for r in counts) > 1
 
 
@@ -74,9 +74,9 @@ def test_one_new_document_rewrites_its_bucket_and_nothing_else(spark, tmp_path,
     path = str(tmp_path / "table")
     rows = [(f"k{i}", 1, f"{i}", "s", m, "x") for i in range(100) for m in ("202601", "202602")]
     merge(spark, tmp_path, rows, path)
-    before = {(r["ref_aaaamm"], r["bucket"]): r["version"] for r in V.entries_of(spark, path)}
+    before = {(r["part"], r["bucket"]): r["version"] for r in V.entries_of(spark, path)}
     merge(spark, tmp_path, [("k7", 2, "new", "s", "202602", "y")], path)
-    after = {(r["ref_aaaamm"], r["bucket"]): r["version"] for r in V.entries_of(spark, path)}
+    after = {(r["part"], r["bucket"]): r["version"] for r in V.entries_of(spark, path)}
     changed = [k for k in after if after[k] != before.get(k)]
     assert len(before) > 10 and len(changed) == 1 and changed[0][0] == "202602" and set(after) == set(before)
     assert sum(r["rows"] for r in V.entries_of(spark, path)) == 200
@@ -87,10 +87,10 @@ def test_wide_rows_go_through_one_exchange(spark, tmp_path, monkeypatch):
     plans = []
     write = V.write_buckets
 
-    def watched(rows, path, label, sort_by):
+    def watched(rows, path, label, sort_by, column):
         shuffled = rows.hint("rebalance", "ref_aaaamm", V.BUCKET)
         plans.append(shuffled._jdf.queryExecution().executedPlan().toString())
-        return write(rows, path, label, sort_by)
+        return write(rows, path, label, sort_by, column)
 
     monkeypatch.setattr(V, "write_buckets", watched)
     path = str(tmp_path / "table")
@@ -159,7 +159,7 @@ def test_plain_months_become_part_of_the_first_version(spark, tmp_path):
     V.merge_version(spark, path, new, key="chNFe", schema=NFE_SCHEMA, work=str(tmp_path / "losers"))
     found = read_months(spark, path, NFE_SCHEMA).collect()
     assert len(found) == 6 and {r.chNFe: r.nNF for r in found}["202601-0"] == "new"
-    assert {e["ref_aaaamm"]: e["version"] == V.PLAIN for e in V.entries_of(spark, path)} == {"202601": False, "202602": True}
+    assert {e["part"]: e["version"] == V.PLAIN for e in V.entries_of(spark, path)} == {"202601": False, "202602": True}
     assert read_months(spark, path, None, ["202602"]).count() == 3 and not (tmp_path / "table/ref_aaaamm=202603").exists()
     assert [f.name for f in read_months(spark, path, NFE_SCHEMA).schema] == NFE_SCHEMA.fieldNames()
 
@@ -191,11 +191,11 @@ def test_flat_copy_follows_by_bucket(spark, tmp_path, monkeypatch):
     assert months_to_flatten(spark, path, window) == window
     assert flatten_tables(spark, [(path, "nfe")], window) is False and flat_equals_source()
     assert months_to_flatten(spark, path, window) == []
-    before = {(e["ref_aaaamm"], e["bucket"]): e["version"] for e in V.entries_of(spark, flat_path(path))}
+    before = {(e["part"], e["bucket"]): e["version"] for e in V.entries_of(spark, flat_path(path))}
     add({**rows[0], **sized(5, 1, 1, 0, key="k0"), "ref_aaaamm": "202601", "ingested_at": T1})
     assert months_to_flatten(spark, path, window) == ["202601"]
     assert flatten_changes(spark, path, "nfe", window) == 1 and flat_equals_source()
-    after = {(e["ref_aaaamm"], e["bucket"]): e["version"] for e in V.entries_of(spark, flat_path(path))}
+    after = {(e["part"], e["bucket"]): e["version"] for e in V.entries_of(spark, flat_path(path))}
     assert sum(after[k] != before[k] for k in after) == 1
     # A replaced month has fewer buckets; the flat ones without a source go.
     add({**sized(1, 1, 1, 0, key="only"), "ref_aaaamm": "202602"}, mode="replace")

@@ -2,12 +2,12 @@
 
 One run makes these jobs:
 
-1. list files, drop the known ones       -> ``listed`` and ``pending`` work tables
+1. list files, drop the known ones       -> ``listed``, ``folders`` and ``pending`` work tables
    name the documents inside them         -> ``entries`` work table
 2. read and parse each document exactly once                        -> ``documents`` work table
 3. per output table: rank narrow rows, write the buckets that get rows, then the manifest
 4. quarantine and run counters from narrow columns of ``documents``
-5. ledger, only for sources without errors, after their tables were written
+5. ledger, only for sources without errors, after their tables were written; folders without news
 6. flat copies of the months that changed
 
 The work tables cut the lineage: later jobs read columns from Parquet instead of parsing again, and
@@ -244,6 +244,28 @@ def _counts(documents: DataFrame, options: IngestOptions, scanned: DataFrame, pe
     )
 
 
+def _pending(
+    spark: SparkSession, options: IngestOptions, listing: DataFrame, folders: DataFrame | None, quarantine: DataFrame, work: str
+) -> DataFrame:
+    """Files to read. Where the listing is whole, only folders that it shows to have changed are looked up."""
+    parts = None
+    if folders is not None:
+        known = state.known_folders(spark, options.ledger_path)
+        changed = _kept(folders.join(known, folders.columns, "left_anti"), f"{work}/changed")
+        # At most one value per part of the ledger.
+        parts = [r[0] for r in changed.select(state.ledger_part(F.col("folder"))).distinct().collect()]
+        listing = state.in_changed_folders(listing, changed)
+    ledger = state.read_ledger(spark, options.ledger_path, parts)
+    return state.not_quarantined(state.not_processed(listing, ledger), quarantine)
+
+
+def _note_settled(spark: SparkSession, options: IngestOptions, folders: DataFrame, pending: DataFrame, done: DataFrame) -> None:
+    """Notes the folders of which no file is left that another run would read."""
+    left = pending.join(done, ["source", "source_file_path", "fingerprint"], "left_anti")
+    unsettled = left.select("source", state.folder_of().alias("folder")).distinct()
+    state.note_folders(spark, options.ledger_path, folders.join(unsettled, ["source", "folder"], "left_anti").select(*folders.columns))
+
+
 def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None = None) -> RunResult:
     """One run over all sources. ``files`` replaces the listing, as the stream does."""
     run_id = _run_id(options)
@@ -254,10 +276,10 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     if listing is None:
         return RunResult(run_id, True, [], spark.createDataFrame([], "source string"), tuple(missing))
 
-    ledger = state.read_ledger(spark, options.ledger_path)
     quarantine = state.read_quarantine(spark, options.quarantine_path)
     listing = _kept(listing, f"{work}/listed")
-    pending = _kept(state.not_quarantined(state.not_processed(listing, ledger), quarantine), f"{work}/pending")
+    folders = None if files is not None else _kept(state.folder_listing(listing), f"{work}/folders")
+    pending = _kept(_pending(spark, options, listing, folders, quarantine, work), f"{work}/pending")
 
     typed = typed_documents(documents_of(spark, pending, work), options)
     documents_path = f"{work}/documents"
@@ -311,6 +333,10 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
         state.ledger_rows(done, at, F.nullif("months", F.lit(""))), options.ledger_path, run_id
     )
 
+    if folders is not None:
+        _note_settled(spark, options, folders, pending, done)
+    state.compact_ledger(spark, options.ledger_path, f"{work}/ledger")
+
     flat_failed = flatten_tables(spark, tables, options.window) if options.flatten else False
     had_errors = bool(failed or erring or missing or flat_failed)
     summary = counts.drop("broken").withColumns(
@@ -337,3 +363,4 @@ def forget(spark: SparkSession, options: IngestOptions, months: list[str]) -> No
     ledger = state.read_ledger(spark, options.ledger_path)
     rows = state.forget_months(ledger, months, _stamp(options.now))
     state.append_state(rows, options.ledger_path, f"forget-{uuid.uuid4().hex[:8]}")
+    state.forget_folders(spark, options.ledger_path)

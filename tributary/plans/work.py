@@ -26,6 +26,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder, none if it is not there. For folders that are known to hold few."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+
+def newest_whole(spark: SparkSession, path: str) -> int:
+    """Largest number of a table in a folder of numbered ones, of those written to the end; 0 if none is."""
+    for number in sorted((int(name) for name in names_in(spark, path) if name.isdigit()), reverse=True):
+        if "_SUCCESS" in names_in(spark, f"{path}/{number:012d}"):
+            return number
+    return 0
+
+
 def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
     """Rows dealt out evenly, for work that costs far more per row than reading the row did.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import metrics, state
 from . import query, table
+from .monthly import scratch
 
 RUN_1, RUN_2 = "timestamp_ntz'2026-01-01 00:00:00'", "timestamp_ntz'2026-02-01 00:00:00'"
 
@@ -192,3 +193,61 @@ def run_summary(spark, sf):
 @query("SELECT count_if(event_id % 6 = 5) > 0 AS had_errors FROM events")
 def run_failed(spark, sf):
     return metrics.run_failed(metrics.outcome_counts(_statuses(spark, sf)), errors="corrupt")
+
+
+@query(
+    f"""
+    SELECT 'current' AS fact, source, {_path_sql()} AS source_file_path,
+      CASE WHEN doc_id % 10 = 9 THEN 'forgotten' WHEN doc_id % 10 < 5 THEN 'redone' ELSE 'ok' END AS status
+    FROM documents WHERE doc_id % 13 <> 0
+    UNION ALL SELECT 'pending', source, {_path_sql()}, NULL FROM documents WHERE doc_id % 13 = 0 OR doc_id % 10 = 9
+    """
+)
+def ledger_many_runs(spark, sf):
+    """A ledger of twelve runs, compacted after every four: its state, and the files it leaves to read.
+
+    Each run marks a tenth of the files, two runs mark half of them again, one month is forgotten.
+    """
+    path, work = scratch(spark, "ledger"), scratch(spark, "compaction")
+    number = F.regexp_extract("source_file_path", r"(\d+)", 1).cast("bigint")
+    files = _document_files(spark, sf)
+    known = files.where(number % 13 != 0)
+    for run in range(10):
+        at = F.expr(f"timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval({run})")
+        month = F.lit("202509" if run == 9 else "202601")
+        state.append_state(state.ledger_rows(known.where(number % 10 == run), at, month), path, f"run-{run:02d}")
+        state.compact_ledger(spark, path, f"{work}/{run}", after=4)
+    for run in (10, 11):
+        again = known.where((number % 10 < 5) & (number % 2 == run % 2))
+        state.append_state(state.ledger_rows(again, F.expr(RUN_2), F.lit("202602"), "redone"), path, f"run-{run:02d}")
+    state.append_state(state.forget_months(state.read_ledger(spark, path), ["202509"], F.expr(RUN_2)), path, "forget-1")
+    state.compact_ledger(spark, path, f"{work}/last", after=4)
+    ledger = state.read_ledger(spark, path)
+    current = state.upsert_ledger(ledger).select(F.lit("current").alias("fact"), "source", "source_file_path", "status")
+    pending = state.not_processed(files, ledger)
+    return current.union(pending.select(F.lit("pending"), "source", "source_file_path", F.lit(None).cast("string")))
+
+
+@query(
+    """
+    SELECT source, '/in/' || coalesce(lang, 'none') || '/' || CAST(doc_id AS VARCHAR) || '.xml' AS source_file_path FROM documents d
+    WHERE lang IS NULL OR EXISTS (SELECT 1 FROM documents c WHERE c.source = d.source AND c.lang = d.lang AND c.doc_id % 100 = 7)
+    """
+)
+def ledger_changed_folders(spark, sf):
+    """Files of the folders (one per source and language) in which a file has changed since all were known."""
+    def listed(changed: str) -> DataFrame:
+        files = table(spark, sf, "documents")
+        return files.select(
+            "source",
+            F.concat(F.lit("/in/"), F.coalesce("lang", F.lit("none")), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".xml")).alias("source_file_path"),
+            F.concat_ws("|", F.expr(f"if({changed}, n_chars + 1, n_chars)").cast("string"), F.lit("0")).alias("fingerprint"),
+        )
+
+    path = scratch(spark, "folders")
+    state.note_folders(spark, path, state.folder_listing(listed("lang is null")))
+    now = listed("doc_id % 100 = 7")
+    changed = state.folder_listing(now).join(state.known_folders(spark, path), ["source", "folder", "files", "one", "two"], "left_anti")
+    kept = scratch(spark, "changed")
+    changed.write.parquet(kept)
+    return state.in_changed_folders(now, spark.read.parquet(kept)).select("source", "source_file_path")

@@ -1,8 +1,8 @@
-"""Monthly tables in versions: buckets of keys, and manifests that name the files of a version.
+"""Tables in versions: parts (months), buckets of keys, and manifests that name the files of a version.
 
-A table has data in ``_data/_version=<v>/ref_aaaamm=<m>/_bucket=<b>`` and manifests in ``_manifest/<n>``. A
-month is split into buckets by a hash of the document key, as many as its rows need. A manifest has one
-row per month and bucket and names the version that holds its rows, so a version shares all buckets that
+A table has data in ``_data/_version=<v>/<column>=<part>/_bucket=<b>`` and manifests in ``_manifest/<n>``. The
+column is the month, unless a function is told another one. A part is split into buckets by a hash of the
+row's key, as many as its rows need. A manifest has one row per part and bucket and names the version that holds its rows, so a version shares all buckets that
 it did not change with the one before. Writing adds data first and the manifest last: the manifest is one
 small file, and it counts once its ``_SUCCESS`` mark is there, which Spark writes as the last step. A
 reader takes the newest manifest that counts and sees one whole version, whatever is written meanwhile.
@@ -13,8 +13,8 @@ is a list of positions; wide rows are read once more without these and go throug
 and bucket. Only the buckets that get new rows are read and written.
 
 One run at a time may write a table; a second one fails at the manifest, which it finds written, and leaves
-nothing but data that no manifest names. Months in plain folders (``ref_aaaamm=<m>``), as ``write_months``
-leaves them, become part of the first version as they are.
+nothing but data that no manifest names. Plain folders (``ref_aaaamm=<month>``), as ``write_months`` leaves
+them, become part of the first version as they are.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from .. import fields as X
 from ..operators.compact import SCOPE, TIE_BREAKERS, keep_latest
+from ..plans.work import names_in, newest_whole, remove_folder
 from .monthly import CODEC, LEVEL
 
-MANIFEST_DDL = "ref_aaaamm string, bucket int, buckets int, version string, rows bigint, built_from string"
-#: Rows per bucket that a month is split for; a month is split anew when its buckets hold twice as many.
+MANIFEST_DDL = "part string, bucket int, buckets int, version string, rows bigint, built_from string"
+#: Rows per bucket that a part is split for; a part is split anew when its buckets hold twice as many.
 ROWS_PER_BUCKET = 500_000
 #: Positions of losing rows that are broadcast; more of them are joined by a shuffle.
 BROADCAST_ROWS = 100_000
@@ -58,42 +59,27 @@ def located(rows: DataFrame, folder: str) -> DataFrame:
 # --------------------------------------------------------------------------- manifests
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    """Names right below a folder, none if it is not there. Only for folders of versions or of months."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def _manifest_path(path: str, number: int) -> str:
     return f"{path.rstrip('/')}/_manifest/{number:012d}"
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(name) for name in _names(spark, f"{path.rstrip('/')}/_manifest") if name.isdigit())
+    return sorted(int(name) for name in names_in(spark, f"{path.rstrip('/')}/_manifest") if name.isdigit())
 
 
 def current_version(spark: SparkSession, path: str) -> int:
     """Number of the newest version that counts; 0 if the table has none."""
-    for number in reversed(_numbers(spark, path)):
-        if "_SUCCESS" in _names(spark, _manifest_path(path, number)):
-            return number
-    return 0
+    return newest_whole(spark, f"{path.rstrip('/')}/_manifest")
 
 
-def manifest(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
-    """Rows of a manifest, of the newest one by default; those of the plain months if there is none."""
+def manifest(spark: SparkSession, path: str, number: int | None = None, column: str = X.MONTH_COLUMN) -> DataFrame:
+    """Rows of a manifest, of the newest one by default; those of the plain folders if there is none."""
     number = current_version(spark, path) if number is None else number
     if number:
         return spark.read.schema(MANIFEST_DDL).parquet(_manifest_path(path, number))
-    prefix = f"{X.MONTH_COLUMN}="
-    months = [name.removeprefix(prefix) for name in _names(spark, path) if name.startswith(prefix)]
-    return spark.createDataFrame([(m, 0, 1, PLAIN, None, None) for m in months], MANIFEST_DDL)
+    prefix = f"{column}="
+    parts = [name.removeprefix(prefix) for name in names_in(spark, path) if name.startswith(prefix)]
+    return spark.createDataFrame([(m, 0, 1, PLAIN, None, None) for m in parts], MANIFEST_DDL)
 
 
 def commit(spark: SparkSession, path: str, base: int, entries: DataFrame) -> int:
@@ -107,25 +93,25 @@ def new_label(base: int) -> str:
     return f"{base + 1:012d}-{uuid.uuid4().hex[:8]}"
 
 
-def expire(spark: SparkSession, path: str, keep: int = KEPT) -> None:
+def expire(spark: SparkSession, path: str, keep: int = KEPT, column: str = X.MONTH_COLUMN) -> None:
     """Removes manifests beyond the newest ``keep``, what only they name, and data of broken runs."""
     newest = current_version(spark, path)
     numbers = [n for n in _numbers(spark, path) if n <= newest]
     old, kept = numbers[:-keep], numbers[-keep:]
     if not kept:
         return
-    named = reduce(DataFrame.unionByName, [manifest(spark, path, n) for n in kept])
-    place = [X.MONTH_COLUMN, "bucket", "version"]
+    named = reduce(DataFrame.unionByName, [manifest(spark, path, n, column) for n in kept])
+    place = ["part", "bucket", "version"]
     for number in old:
-        dropped = manifest(spark, path, number).join(named, place, "left_anti").select(*place).distinct()
+        dropped = manifest(spark, path, number, column).join(named, place, "left_anti").select(*place).distinct()
         for entry in dropped.collect():  # the buckets that one run replaced
-            _remove(spark, _place(path, entry))
-        _remove(spark, _manifest_path(path, number))
+            remove_folder(spark, _place(path, entry, column))
+        remove_folder(spark, _manifest_path(path, number))
     used = {r[0] for r in named.select("version").distinct().collect()}
-    for name in _names(spark, f"{path.rstrip('/')}/_data"):
+    for name in names_in(spark, f"{path.rstrip('/')}/_data"):
         label = name.removeprefix(f"{VERSION}=")
         if label not in used and int(label.split("-")[0]) <= newest:
-            _remove(spark, f"{path.rstrip('/')}/_data/{name}")
+            remove_folder(spark, f"{path.rstrip('/')}/_data/{name}")
 
 
 # --------------------------------------------------------------------------- reading
@@ -135,27 +121,29 @@ def data_folder(path: str, label: str) -> str:
     return f"{path.rstrip('/')}/_data/{VERSION}={label}"
 
 
-def _place(path: str, entry: Row) -> str:
+def _place(path: str, entry: Row, column: str) -> str:
     if entry["version"] == PLAIN:
-        return f"{path.rstrip('/')}/{X.MONTH_COLUMN}={entry[X.MONTH_COLUMN]}"
-    return f"{data_folder(path, entry['version'])}/{X.MONTH_COLUMN}={entry[X.MONTH_COLUMN]}/{BUCKET}={entry['bucket']}"
+        return f"{path.rstrip('/')}/{column}={entry['part']}"
+    return f"{data_folder(path, entry['version'])}/{column}={entry['part']}/{BUCKET}={entry['bucket']}"
 
 
-def entries_of(spark: SparkSession, path: str, months: Iterable[str] | None = None, number: int | None = None) -> list[Row]:
-    """Manifest rows of some months, one per bucket: what a reader or writer of them has to know."""
-    rows = manifest(spark, path, number)
-    return (rows if months is None else rows.where(F.col(X.MONTH_COLUMN).isin(list(months)))).collect()
+def entries_of(
+    spark: SparkSession, path: str, parts: Iterable[str] | None = None, number: int | None = None, column: str = X.MONTH_COLUMN
+) -> list[Row]:
+    """Manifest rows of some parts, one per bucket: what a reader or writer of them has to know."""
+    rows = manifest(spark, path, number, column)
+    return (rows if parts is None else rows.where(F.col("part").isin(list(parts)))).collect()
 
 
 def read_entries(
-    spark: SparkSession, path: str, entries: list[Row], schema: T.StructType | None, more: tuple[str, ...] = ()
+    spark: SparkSession, path: str, entries: list[Row], schema: T.StructType | None, more: tuple[str, ...] = (), column: str = X.MONTH_COLUMN
 ) -> DataFrame | None:
     """Rows of the named buckets, with ``more`` of: file position columns, bucket column.
 
     Without ``schema`` the columns are those of all files read. None if there is nothing to read and no
     schema that would describe it.
     """
-    parts = []
+    found = []
     for plain in (True, False):
         some = [e for e in entries if (e["version"] == PLAIN) == plain]
         if not some:
@@ -163,13 +151,13 @@ def read_entries(
         base = path.rstrip("/") if plain else f"{path.rstrip('/')}/_data"
         reader = spark.read.option("basePath", base)
         reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
-        rows = reader.parquet(*[_place(path, e) for e in some])
+        rows = reader.parquet(*[_place(path, e, column) for e in some])
         names = [c for c in rows.columns if c not in (VERSION, BUCKET)] if schema is None else schema.fieldNames()
-        columns = [F.col(c).cast("string").alias(c) if c == X.MONTH_COLUMN else F.col(c) for c in names]
+        columns = [F.col(c).cast("string").alias(c) if c == column else F.col(c) for c in names]
         extra = {FILE: positions()[0], ROW: positions()[1], BUCKET: (F.lit(0) if plain else F.col(BUCKET).cast("int")).alias(BUCKET)}
-        parts.append(rows.select(*columns, *[extra[name] for name in more]))
-    if parts:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        found.append(rows.select(*columns, *[extra[name] for name in more]))
+    if found:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
     if schema is None:
         return None
     kinds = {FILE: "string", ROW: "bigint", BUCKET: "int"}
@@ -177,44 +165,52 @@ def read_entries(
 
 
 def read_version(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, months: list[str] | None = None, number: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    parts: list[str] | None = None,
+    number: int | None = None,
+    column: str = X.MONTH_COLUMN,
 ) -> DataFrame | None:
     """One whole version, the newest by default. Later writes do not change what the result holds."""
-    return read_entries(spark, path, entries_of(spark, path, months, number), schema)
+    return read_entries(spark, path, entries_of(spark, path, parts, number, column), schema, (), column)
 
 
 # --------------------------------------------------------------------------- writing
 
 
-def bucket_of(key: str, buckets: dict[str, int]) -> Column:
-    """Bucket of a row's key in its month."""
+def bucket_of(key: str, buckets: dict[str, int], column: str = X.MONTH_COLUMN) -> Column:
+    """Bucket of a row's key in its part."""
     counts = F.create_map(*[F.lit(x) for pair in buckets.items() for x in pair])
-    return F.pmod(F.xxhash64(key), F.element_at(counts, F.col(X.MONTH_COLUMN))).cast("int")
+    return F.pmod(F.xxhash64(key), F.element_at(counts, F.col(column))).cast("int")
 
 
 def bucket_counts(entries: list[Row], new_rows: dict[str, int]) -> dict[str, int]:
-    """Buckets for each month that gets rows: as stored, or the next power of two where they are too full."""
+    """Buckets for each part that gets rows: as stored, or the next power of two where they are too full."""
+    by_part: dict[str, list[Row]] = {}
+    for entry in entries:
+        by_part.setdefault(entry["part"], []).append(entry)
     counts = {}
-    for month, new in new_rows.items():
-        stored = [e for e in entries if e[X.MONTH_COLUMN] == month]
+    for part, new in new_rows.items():
+        stored = by_part.get(part, [])
         total = new + sum(e["rows"] or 0 for e in stored)
         has = stored[0]["buckets"] if stored and stored[0]["version"] != PLAIN else 0
         wanted = 1 << max(0, math.ceil(math.log2(max(1, total) / ROWS_PER_BUCKET)))
-        counts[month] = has if has and total <= 2 * ROWS_PER_BUCKET * has else max(has, wanted)
+        counts[part] = has if has and total <= 2 * ROWS_PER_BUCKET * has else max(has, wanted)
     return counts
 
 
-def write_buckets(rows: DataFrame, path: str, label: str, sort_by: str | None) -> str:
-    """Writes rows with a month and a bucket as data of a version that no manifest names yet.
+def write_buckets(rows: DataFrame, path: str, label: str, sort_by: str | None, column: str = X.MONTH_COLUMN) -> str:
+    """Writes rows with a part and a bucket as data of a version that no manifest names yet.
 
     The only exchange is the one that gathers buckets; Spark splits large ones and joins small ones.
     """
     folder = data_folder(path, label)
-    order = [X.MONTH_COLUMN, BUCKET] + ([sort_by] if sort_by else [])
+    order = [column, BUCKET] + ([sort_by] if sort_by else [])
     (
-        rows.hint("rebalance", X.MONTH_COLUMN, BUCKET)
+        rows.hint("rebalance", column, BUCKET)
         .sortWithinPartitions(*order)
-        .write.partitionBy(X.MONTH_COLUMN, BUCKET)
+        .write.partitionBy(column, BUCKET)
         .mode("overwrite")
         .option("compression", CODEC)
         .option("parquet.compression.codec.zstd.level", LEVEL)
@@ -223,13 +219,15 @@ def write_buckets(rows: DataFrame, path: str, label: str, sort_by: str | None) -
     return folder
 
 
-def written_entries(spark: SparkSession, folder: str, label: str, buckets: dict[str, int]) -> DataFrame:
+def written_entries(
+    spark: SparkSession, folder: str, label: str, buckets: dict[str, int], column: str = X.MONTH_COLUMN
+) -> DataFrame:
     """Manifest rows of data that was just written; counting reads file footers only."""
-    month = F.col(X.MONTH_COLUMN).cast("string")
-    counted = spark.read.parquet(folder).groupBy(month.alias(X.MONTH_COLUMN), F.col(BUCKET).cast("int").alias("bucket")).count()
+    part = F.col(column).cast("string").alias("part")
+    counted = spark.read.parquet(folder).groupBy(part, F.col(BUCKET).cast("int").alias("bucket")).count()
     counts = F.create_map(*[F.lit(x) for pair in buckets.items() for x in pair])
     return counted.select(
-        X.MONTH_COLUMN, "bucket", F.element_at(counts, F.col(X.MONTH_COLUMN)).alias("buckets"), F.lit(label).alias("version"),
+        "part", "bucket", F.element_at(counts, F.col("part")).alias("buckets"), F.lit(label).alias("version"),
         F.col("count").alias("rows"), F.lit(None).cast("string").alias("built_from"),
     )
 
@@ -256,36 +254,38 @@ def merge_version(
     scope: list[str] = SCOPE,
     newest_first: list[str] = TIE_BREAKERS,
     new_rows: dict[str, int] | None = None,
+    column: str = X.MONTH_COLUMN,
 ) -> int:
     """Adds rows to a table, one per key staying, and makes the result its next version.
 
     ``new`` has the columns of ``schema`` and the two of :func:`positions`. Where ``mode`` is "replace",
-    a month that gets rows keeps only these. ``new_rows`` says how many rows each month gets, where
-    that is known. Months that get no rows with a key stay as they are. ``work`` is a folder for the
+    a part that gets rows keeps only these. ``new_rows`` says how many rows each part gets, where
+    that is known. Parts that get no rows with a key stay as they are. ``work`` is a folder for the
     positions of losing rows. Returns the number of the version.
     """
     base = current_version(spark, path)
     if new_rows is None:
-        new_rows = {r[0]: r[1] for r in new.groupBy(X.MONTH_COLUMN).count().collect() if r[0] is not None}
+        new_rows = {r[0]: r[1] for r in new.groupBy(column).count().collect() if r[0] is not None}
     if not new_rows:
         return base
-    stored = entries_of(spark, path, list(new_rows), base) if mode == "merge" else []
+    stored = entries_of(spark, path, list(new_rows), base, column) if mode == "merge" else []
     buckets = bucket_counts(stored, new_rows)
-    new = new.where(F.col(X.MONTH_COLUMN).isNotNull()).withColumn(BUCKET, bucket_of(key, buckets))
-    touched = {tuple(r) for r in new.where(F.col(key).isNotNull()).select(X.MONTH_COLUMN, BUCKET).distinct().collect()}
+    new = new.where(F.col(column).isNotNull()).withColumn(BUCKET, bucket_of(key, buckets, column))
+    touched = {tuple(r) for r in new.where(F.col(key).isNotNull()).select(column, BUCKET).distinct().collect()}
     if not touched:
         return base
 
-    def met(entry: Row) -> bool:
-        month = entry[X.MONTH_COLUMN]
-        return (month, entry["bucket"]) in touched or buckets[month] != entry["buckets"] or entry["version"] == PLAIN
+    def split_anew(entry: Row) -> bool:
+        return buckets[entry["part"]] != entry["buckets"] or entry["version"] == PLAIN
 
-    months = {month for month, _ in touched}
-    old_entries = [e for e in stored if e[X.MONTH_COLUMN] in months and met(e)]
+    parts = {part for part, _ in touched}
+    stored = [e for e in stored if e["part"] in parts]
+    met = [e for e in stored if (e["part"], e["bucket"]) in touched or split_anew(e)]
     columns = [*schema.fieldNames(), FILE, ROW]
-    old = read_entries(spark, path, old_entries, schema, (FILE, ROW)).withColumn(BUCKET, bucket_of(key, buckets))
     both = new.select(*columns, BUCKET)
-    both = both.unionByName(old.select(*columns, BUCKET)) if old_entries else both
+    if met:
+        old = read_entries(spark, path, met, schema, (FILE, ROW), column).withColumn(BUCKET, bucket_of(key, buckets, column))
+        both = both.unionByName(old.select(*columns, BUCKET))
 
     narrow = both.select(*dict.fromkeys([*scope, key, *newest_first, FILE, ROW]))
     losing_positions(narrow, key, scope, newest_first).write.mode("overwrite").parquet(work)
@@ -294,12 +294,12 @@ def merge_version(
     if count:
         both = both.join(F.broadcast(losers) if count <= BROADCAST_ROWS else losers, [FILE, ROW], "left_anti")
     label = new_label(base)
-    folder = write_buckets(both.select(*schema.fieldNames(), BUCKET), path, label, key)
-
-    written = written_entries(spark, folder, label, buckets)
-    split_anew = {e[X.MONTH_COLUMN] for e in old_entries if e["buckets"] != buckets[e[X.MONTH_COLUMN]] or e["version"] == PLAIN}
-    gone = sorted(split_anew if mode == "merge" else months)
-    before = manifest(spark, path, base).where(~F.col(X.MONTH_COLUMN).isin(gone)) if gone else manifest(spark, path, base)
-    commit(spark, path, base, before.join(written, [X.MONTH_COLUMN, "bucket"], "left_anti").unionByName(written))
-    expire(spark, path)
+    folder = write_buckets(both.select(*schema.fieldNames(), BUCKET), path, label, key, column)
+
+    written = written_entries(spark, folder, label, buckets, column)
+    gone = sorted(parts if mode == "replace" else {e["part"] for e in met if split_anew(e)})
+    before = manifest(spark, path, base, column)
+    before = before.where(~F.col("part").isin(gone)) if gone else before
+    commit(spark, path, base, before.join(written, ["part", "bucket"], "left_anti").unionByName(written))
+    expire(spark, path, column=column)
     return base + 1
