@@ -1,32 +1,28 @@
 """SimHash near-dedup by tiled exact comparison.
 
 Fingerprints come from XXH64 hashes of word shingles, one lane of 64 bits per seed. Distinct
-fingerprints are dealt to cells by the population counts of their parts, and cells to tiles of a
-bounded number of rows. Two tiles are compared, every row with every row, by exclusive-or and bit
-counts in numpy, unless their population counts differ by more than the radius, in which case no pair
-can be within it. Documents with equal fingerprints enter as one row, named by their smallest id.
+fingerprints are dealt to cells by the population counts of their halves, and cells to tiles of a
+bounded number of rows. Tiles with one population count in all make blocks, again of a bounded number of
+rows. A task gets two blocks and compares them tile by tile, every row with every row, by exclusive-or and
+bit counts in numpy, unless the population counts of two tiles differ by more than the radius, in which
+case no pair can be within it. Blocks whose counts differ by more are not sent to one task at all.
 
-A comparison returns a spanning forest of the links it finds, at most one per row, so a group of near
+So a row is sent as often as there are blocks within the radius, a fraction of rows / ``block``, and not
+once for every tile. All comparisons together grow with the square of the number of distinct fingerprints,
+as the method has it; tiles only spread and prune them.
+
+A task returns a spanning forest of the links that it finds, at most one per row, so a group of near
 copies never becomes all of its pairs, and no link between classes is lost. Connected components of
-the forests are the groups. All comparisons together grow with the square of the number of distinct
-fingerprints, as the method has it; tiles only spread and prune them.
+the forests are the groups. Documents with equal fingerprints enter as one row, named by their smallest id.
 
 Defined results: a null or blank text has fingerprint zero and is linked like any other; fewer words
 than a shingle are one shingle; repeated rows share one group; rows without an id get a fingerprint
 and, if alone with it, no group; columns beyond those named are ignored.
-
-``similar`` takes the fingerprints, of distinct shingles, only as a search for candidates and decides
-by the Jaccard similarity of the shingle sets. A lower bound of what two sets differ in, from 512
-parities, drops most other pairs inside the comparison. It returns real pairs that span what it finds,
-these are verified, and a second comparison of the rows that had partners returns every pair that the
-verified ones leave apart. So no link is lost, and a group of near copies never becomes all of its pairs.
-Texts without words have no shingles and are alike among themselves only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +32,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import components, stored
 
 SEED = 42
-
-
-#: Longs of parities of a shingle set.
-PARITIES = 8
+#: Tasks that pairs of blocks are dealt to at most.
+MOST_TASKS = 20_000
 
 
 def _shingles(text: str | None, width: int) -> list[bytes]:
@@ -55,10 +49,7 @@ def _shingles(text: str | None, width: int) -> list[bytes]:
 
 def fingerprint(text: str | None, width: int, lanes: int) -> np.ndarray:
     """``lanes`` unsigned numbers; a bit is set if it is set in over half of the shingle hashes."""
-    return _majorities(_shingles(text, width), lanes)
-
-
-def _majorities(shingles: list[bytes], lanes: int) -> np.ndarray:
+    shingles = _shingles(text, width)
     if not shingles:
         return np.zeros(lanes, np.uint64)
     digest = xxhash.xxh64_intdigest
@@ -72,29 +63,10 @@ def _majorities(shingles: list[bytes], lanes: int) -> np.ndarray:
     return out
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles."""
-    return _hashes(set(_shingles(text, width)))
-
-
-def _hashes(shingles: set[bytes]) -> np.ndarray:
-    return np.unique(np.array([xxhash.xxh64_intdigest(shingle, SEED) for shingle in shingles], np.uint64))
-
-
-def profile(text: str | None, width: int, lanes: int) -> np.ndarray:
-    """Fingerprint of the distinct shingles, parities of their set, its size and its hash."""
-    shingles = set(_shingles(text, width))
-    own = _hashes(shingles)
-    odd = np.bincount((own % (64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
-    parities = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
-    facts = np.array([len(own), xxhash.xxh64_intdigest(own.tobytes(), SEED)], np.uint64)
-    return np.concatenate((_majorities(list(shingles), lanes), parities, facts))
-
-
-def _maker(width: int, lanes: int, schema: pa.Schema, what=fingerprint):
+def _maker(width: int, lanes: int, schema: pa.Schema):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [what(text.as_py(), width, lanes) for text in batch.column(1)]
+            made = [fingerprint(text.as_py(), width, lanes) for text in batch.column(1)]
             table = np.array(made, np.uint64).reshape(len(made), len(schema) - 1).view(np.int64)
             columns = [pa.array(np.ascontiguousarray(table[:, at])) for at in range(table.shape[1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
@@ -134,17 +106,10 @@ def _unite(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
             label[:] = nearer
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Links ``(row, row)`` that connect what pairs within the radius connect.
-
-    Rows are numbered through both arrays, each of shape (rows, lanes); without ``right``, pairs are
-    those inside ``left``.
-    """
-    other = left if right is None else right
-    shift = 0 if right is None else len(left)
-    label = np.arange(len(left) + (0 if right is None else len(right)))
-    step = max(1, block // max(1, len(other)))
-    columns = [np.ascontiguousarray(other[:, lane]) for lane in range(other.shape[1])]
+def _near(left: np.ndarray, right: np.ndarray, radius: int, size: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs within the radius; rows are of shape (rows, lanes)."""
+    step = max(1, size // max(1, len(right)))
+    columns = [np.ascontiguousarray(right[:, lane]) for lane in range(right.shape[1])]
     for start in range(0, len(left), step):
         rows = left[start : start + step]
         distance = np.bitwise_count(rows[:, 0][:, None] ^ columns[0])
@@ -152,156 +117,117 @@ def forest(left: np.ndarray, right: np.ndarray | None, radius: int, block: int =
             distance += np.bitwise_count(rows[:, lane][:, None] ^ columns[lane])
         near = np.flatnonzero(distance <= radius)
         if len(near):
-            a, b = np.divmod(near, len(other))
-            a += start
-            b += shift
-            differ = a != b
-            _unite(label, a[differ], b[differ])
+            a, b = np.divmod(near, len(right))
+            yield a + start, b
+
+
+Tile = tuple[int, int, np.ndarray]
+
+
+def forest(left: list[Tile], right: list[Tile] | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links ``(row, row)`` that connect what pairs within the radius connect.
+
+    A tile has the population counts of both halves and its rows. Rows are numbered through both lists;
+    without ``right``, pairs are those inside ``left``.
+    """
+    tiles = left + (right or [])
+    begins = np.concatenate(([0], np.cumsum([len(rows) for _, _, rows in tiles])))
+    label = np.arange(begins[-1])
+    for i, (c0, c1, rows) in enumerate(left):
+        for j in range(i, len(left)) if right is None else range(len(left), len(tiles)):
+            d0, d1, others = tiles[j]
+            if abs(c0 - d0) + abs(c1 - d1) > radius:
+                continue
+            for a, b in _near(rows, others, radius):
+                a, b = a + begins[i], b + begins[j]
+                differ = a != b
+                _unite(label, a[differ], b[differ])
     moved = np.flatnonzero(label != np.arange(len(label)))
     return moved, label[moved]
 
 
-def _span(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the pairs, earlier ones first, that join trees which ``label`` has apart; joins them."""
-    found = []
-    while True:
-        open = label[a] != label[b]
-        a, b = a[open], b[open]
-        if not len(a):
-            break
-        best = np.full(len(label), len(a))
-        np.minimum.at(best, label[a], np.arange(len(a)))
-        np.minimum.at(best, label[b], np.arange(len(a)))
-        chosen = np.unique(best[best < len(a)])
-        found.append((a[chosen], b[chosen]))
-        _unite(label, a[chosen], b[chosen])
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate(side) for side in zip((none, none), *found))
-
-
-def alike(
-    left: np.ndarray, right: np.ndarray | None, lanes: int, radius: int, share: float, spanning: bool, block: int = 1 << 20
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs within the radius whose sets may have the share in common, numbered as by ``forest``.
-
-    Rows hold lanes, parities, size and label. Pairs of equal labels are left out; with ``spanning``
-    only pairs that connect what all of them connect are given, the closest first.
-    """
-    other = left if right is None else right
-    shift = 0 if right is None else len(left)
-    rows = left if right is None else np.concatenate((left, right))
-    columns = [np.ascontiguousarray(other[:, lane]) for lane in range(lanes)]
-    parities = [np.ascontiguousarray(rows[:, lanes + at]) for at in range(PARITIES)]
-    sizes, label = (rows[:, lanes + PARITIES + at].astype(np.int64) for at in range(2))
-    if spanning:
-        label = np.arange(len(rows))
-    step = max(1, block // max(1, len(other)))
-    for start in range(0, len(left), step):
-        some = left[start : start + step]
-        distance = np.bitwise_count(some[:, 0][:, None] ^ columns[0])
-        for lane in range(1, lanes):
-            distance += np.bitwise_count(some[:, lane][:, None] ^ columns[lane])
-        a, b = np.divmod(np.flatnonzero(distance <= radius), len(other))
-        a, b = a + start, b + shift
-        open = label[a] != label[b]
-        if right is None:
-            open &= a < b
-        a, b = a[open], b[open]
-        # Sets of which the share is common differ in no more than this; odd counts differ in no less.
-        most = (sizes[a] + sizes[b]) * ((1 - share) / (1 + share)) + 1e-6
-        differ = np.zeros(len(a), np.int64)
-        for column in parities:
-            differ += np.bitwise_count(column[a] ^ column[b])
-        fit = np.maximum(differ, np.abs(sizes[a] - sizes[b])) <= most
-        a, b = a[fit], b[fit]
-        if spanning:
-            near = np.argsort(differ[fit], kind="stable")
-            a, b = _span(label, a[near], b[near])
-        if len(a):
-            yield a, b
-
-
-def _comparer(wide: int, find, schema: pa.Schema):
-    def rows_of(column: pa.ListArray, at: int) -> np.ndarray:
-        return column[at].values.to_numpy(zero_copy_only=False)
+def _comparer(lanes: int, radius: int):
+    """Tiles of a task come by pair of blocks, those of the first block before those of the second."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def found(sides: tuple[list, list]) -> Iterator[pa.RecordBatch]:
+        left, right = ([(c0, c1, rows) for c0, c1, _, rows in side] for side in sides)
+        names = [ids for side in sides for _, _, ids, _ in side]
+        child, parent = forest(left, right or None, radius)
+        if len(child):
+            names = np.concatenate(names)
+            yield pa.RecordBatch.from_arrays([pa.array(names[child]), pa.array(names[parent])], schema=schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, alone, sides = None, True, ([], [])
         for batch in batches:
-            ids, prints, other_ids, other_prints = batch.columns
-            for at in range(batch.num_rows):
-                left = rows_of(prints, at).view(np.uint64).reshape(-1, wide)
-                names, right = rows_of(ids, at), None
-                if other_ids[at].is_valid:
-                    right = rows_of(other_prints, at).view(np.uint64).reshape(-1, wide)
-                    names = np.concatenate((names, rows_of(other_ids, at)))
-                for child, parent in find(left, right):
-                    if len(child):
-                        yield pa.RecordBatch.from_arrays([pa.array(names[child]), pa.array(names[parent])], schema=schema)
+            numbers, seconds, selves, c0, c1 = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(5))
+            ids, prints = batch.columns[5:]
+            for row in range(batch.num_rows):
+                if numbers[row] != at:
+                    if sides[0] and (alone or sides[1]):
+                        yield from found(sides)
+                    at, alone, sides = numbers[row], bool(selves[row]), ([], [])
+                table = prints[row].values.to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, lanes)
+                name = ids[row].values.to_numpy(zero_copy_only=False)
+                sides[seconds[row]].append((int(c0[row]), int(c1[row]), name, table))
+        if sides[0] and (alone or sides[1]):
+            yield from found(sides)
 
     return compare
 
 
-def _offsets(parts: int, grain: int, radius: int, most: int) -> list[tuple[int, ...]]:
-    """Differences of cells that the radius does not rule out, each pair of cells from one side only."""
-
-    def least(step: int) -> int:
-        return 0 if step == 0 else (abs(step) - 1) * grain + 1
-
-    reach = min(most, radius // grain + 1)
-    steps = product(range(-reach, reach + 1), repeat=parts)
-    return [d for d in steps if d >= (0,) * parts and sum(map(least, d)) <= radius]
-
-
-def links(
-    prints: DataFrame, *, lanes: int, radius: int, tile: int = 8192, grain: int = 1, more: tuple[str, ...] = (), find=None
-) -> DataFrame:
+def links(prints: DataFrame, *, lanes: int, radius: int, tile: int = 8192, block: int = 500_000) -> DataFrame:
     """Forest links ``(a, b)`` between the rows of ``(node, lane0, ..)``, whose fingerprints differ.
 
-    A cell is given by the population count of either half of the fingerprint, in steps of ``grain``.
-    ``find`` takes two tiles, with the lanes and ``more`` as columns, and gives other links.
+    A tile has at most about ``tile`` rows with the same population counts of either half of the
+    fingerprint, a block at most about ``block`` rows with the same count in all (16 bytes a row and lane).
     """
-    names = lane_names(lanes)
-    find = find or (lambda left, right: [forest(left, right, radius)])
+    spark, names = prints.sparkSession, lane_names(lanes)
     if lanes == 1:
-        halves = [F.col("lane0").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("lane0", 32)]
-        counts = [F.bit_count(half) for half in halves]
+        counts = [F.bit_count(F.col("lane0").bitwiseAND(0xFFFFFFFF)), F.bit_count(F.shiftrightunsigned("lane0", 32))]
     else:
         counts = [sum(map(F.bit_count, names[: lanes // 2]), F.lit(0)), sum(map(F.bit_count, names[lanes // 2 :]), F.lit(0))]
-    cells = [F.floor(count / grain).cast("int").alias(f"c{k}") for k, count in enumerate(counts)]
-    rows = prints.select("node", *names, *more, *cells)
+    rows = prints.select("node", *names, *(count.cast("int").alias(f"c{k}") for k, count in enumerate(counts)))
     # At most one row per pair of population counts: small whatever the table.
-    sizes = rows.groupBy("c0", "c1").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    rows = rows.join(F.broadcast(sizes), ["c0", "c1"]).withColumn(
-        "t", F.pmod(F.xxhash64(*names), F.col("tiles")).cast("int")
-    )
-    key = ["c0", "c1", "t"]
+    sizes = rows.groupBy("c0", "c1").agg(F.count("*").alias("n"))
+    in_all: dict[int, int] = {}
+    for row in sizes.groupBy((F.col("c0") + F.col("c1")).alias("c")).agg(F.sum("n").alias("n")).collect():
+        in_all[row["c"]] = -(-row["n"] // block)
+    if not in_all:
+        return spark.createDataFrame([], "a long, b long")
+    tiling = sizes.select("c0", "c1", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    rows = rows.join(F.broadcast(tiling), ["c0", "c1"]).withColumn("t", F.pmod(F.xxhash64(*names), F.col("tiles")).cast("int"))
     tiles = stored(
-        rows.groupBy(*key).agg(
-            F.collect_list(F.struct("node", F.array(*names, *more).alias("print"))).alias("rows")
-        ).select(*key, F.col("rows.node").alias("ids"), F.flatten("rows.print").alias("prints")),
+        rows.groupBy("c0", "c1", "t").agg(F.collect_list(F.struct("node", F.array(*names).alias("print"))).alias("rows"))
+        .select("c0", "c1", "t", F.col("rows.node").alias("ids"), F.flatten("rows.print").alias("prints")),
         "tiles",
     )
-    steps = F.array(*(F.struct(F.lit(a).alias("d0"), F.lit(b).alias("d1")) for a, b in _offsets(2, grain, radius, 32 * lanes)))
-    near = tiles.select(*key, F.explode(steps).alias("d")).select(
-        *key, (F.col("c0") + F.col("d.d0")).alias("o0"), (F.col("c1") + F.col("d.d1")).alias("o1")
-    )
-    others = tiles.select(F.col("c0").alias("o0"), F.col("c1").alias("o1"), F.col("t").alias("u"))
-    same = (F.col("c0") == F.col("o0")) & (F.col("c1") == F.col("o1"))
-    pairs = near.join(others, ["o0", "o1"]).where(~same | (F.col("t") <= F.col("u")))
-    pair = [*key, "o0", "o1", "u"]
-    lefts = pairs.join(tiles, key).select(*pair, "ids", "prints")
-    alone = same & (F.col("t") == F.col("u"))
-    rights = (
-        pairs.where(~alone)
-        .join(tiles.select(*(F.col(a).alias(b) for a, b in zip(key, ("o0", "o1", "u"))), "ids", "prints"), ["o0", "o1", "u"])
-        .select(*pair, F.col("ids").alias("other_ids"), F.col("prints").alias("other_prints"))
-    )
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return (
-        lefts.join(rights, pair, "left")
-        .select("ids", "prints", "other_ids", "other_prints")
-        .mapInArrow(_comparer(lanes + len(more), find, schema), "a long, b long")
-    )
+    # Blocks u of count c meet blocks v of count d; pairs are numbered through all (c, d).
+    meetings, pairs = [], 0
+    for c, blocks in sorted(in_all.items()):
+        for d in range(c, c + radius + 1):
+            if d in in_all:
+                meetings += [(c, d, False, blocks, in_all[d], pairs)] + ([(d, c, True, in_all[d], blocks, pairs)] if d > c else [])
+                pairs += blocks * in_all[d]
+    tasks = min(pairs, MOST_TASKS)
+    meeting = spark.createDataFrame(meetings, "c int, d int, second boolean, own int, others int, first long")
+    u = F.pmod(F.xxhash64("c0", "c1", "t"), F.col("own"))
+    # Two bounded tables: at most (radius + 1) meetings of each population count.
+    met = (
+        tiles.withColumn("c", F.col("c0") + F.col("c1")).join(F.broadcast(meeting), "c").withColumn("u", u)
+        .withColumn("v", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    )
+    # Within one count a block is the first of a pair with itself and later ones, the second with earlier ones.
+    same = F.col("c") == F.col("d")
+    second = F.when(same, F.col("v") < F.col("u")).otherwise(F.col("second"))
+    one, two, width = F.when(second, F.col("v")).otherwise(F.col("u")), F.when(second, F.col("u")).otherwise(F.col("v")), F.when(second, F.col("own")).otherwise(F.col("others"))
+    dealt = met.select(
+        (F.col("first") + one * width + two).alias("pair"), second.cast("int").alias("second"),
+        (same & (F.col("u") == F.col("v"))).alias("alone"), "c0", "c1", "ids", "prints",
+    )
+    dealt = dealt.repartitionById(tasks, F.pmod("pair", F.lit(tasks)).cast("int")).sortWithinPartitions("pair", "second")
+    return dealt.mapInArrow(_comparer(lanes, radius), "a long, b long")
 
 
 def near_duplicates(
@@ -313,74 +239,13 @@ def near_duplicates(
     lanes: int = 1,
     radius: int = 4,
     tile: int = 8192,
-    grain: int = 1,
+    block: int = 500_000,
 ) -> DataFrame:
     """Per document ``(id, lane0, .., component)``, the component named by its smallest id."""
     names = lane_names(lanes)
     prints = stored(fingerprints(documents, id=id, text=text, width=width, lanes=lanes), "fingerprints")
     classes = stored(prints.groupBy(*names).agg(F.min("id").alias("node")), "classes")
-    found = links(classes.where(F.col("node").isNotNull()), lanes=lanes, radius=radius, tile=tile, grain=grain)
+    found = links(classes.where(F.col("node").isNotNull()), lanes=lanes, radius=radius, tile=tile, block=block)
     roots = components(found)
     named = classes.join(roots, "node", "left").select(*names, F.coalesce("root", "node").alias("component"))
     return prints.join(named, names).select("id", *names, "component")
-
-
-def _set_maker(width: int, schema: pa.Schema):
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [shingle_set(text.as_py(), width).view(np.int64) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], schema=schema)
-
-    return make
-
-
-def similar(
-    documents: DataFrame,
-    *,
-    id: str = "doc_id",
-    text: str = "text",
-    width: int = 5,
-    lanes: int = 2,
-    radius: int = 40,
-    share: float = 0.8,
-    tile: int = 8192,
-    grain: int = 8,
-) -> DataFrame:
-    """Per document ``(id, component)``; links have at least the share of all shingles of both in common."""
-    names = lane_names(lanes)
-    odd = [f"odd{number}" for number in range(PARITIES)]
-    facts = [*names, *odd, "size", "mark"]
-    schema = pa.schema([("id", pa.int64()), *((name, pa.int64()) for name in facts)])
-    rows = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    profiles = stored(
-        rows.mapInArrow(_maker(width, lanes, schema, profile), "id long, " + ", ".join(f"{name} long" for name in facts)), "profiles"
-    )
-    classes = stored(profiles.groupBy(*facts).agg(F.min("id").alias("node")), "classes")
-    filled = classes.where(F.col("node").isNotNull() & (F.col("size") > 0))
-
-    def found(some: DataFrame, spanning: bool) -> DataFrame:
-        def find(left: np.ndarray, right: np.ndarray | None):
-            return alike(left, right, lanes, radius, share, spanning)
-
-        return links(some, lanes=lanes, radius=radius, tile=tile, grain=grain, more=(*odd, "size", "label"), find=find)
-
-    first = stored(found(filled.withColumn("label", F.col("node")), True), "spans")
-    nodes = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
-    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-    sets = stored(
-        rows.join(nodes, F.col("id") == F.col("node"), "left_semi").mapInArrow(_set_maker(width, schema), "id long, shingles array<long>").distinct(),
-        "sets",
-    )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        one, two = (sets.select(F.col("id").alias(side), F.col("shingles").alias(f"of_{side}")) for side in "ab")
-        common = F.size(F.array_intersect("of_a", "of_b"))
-        jaccard = common / (F.size("of_a") + F.size("of_b") - common)
-        return pairs.join(one, "a").join(two, "b").where(jaccard >= share).select("a", "b")
-
-    roots = stored(components(verified(first)), "roots")
-    apart = filled.join(nodes, "node").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
-    second = verified(stored(found(apart, False), "apart"))
-    roots = components(second.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    named = classes.join(roots, "node", "left").select(*names, "mark", F.coalesce("root", "node").alias("component"))
-    return profiles.join(named, [*names, "mark"]).select("id", "component")
