@@ -43,7 +43,9 @@ _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 _PLACE_BITS = np.uint64(32)
 
 PHRASES = "part int, trigger array<int>, phrase array<bigint>, doc array<bigint>, start array<int>, run array<smallint>"
-SPANS = "doc bigint, start int, run smallint, open boolean, key bigint"
+SPANS = "doc bigint, start int, run smallint, open boolean, key bigint, hot boolean"
+#: Strings of one trigger that one task compares; those of a trigger with more are dealt by their own bytes.
+HOT_STRINGS = 1 << 16
 
 
 def _word_hashes(data: bytes, count: int) -> np.ndarray:
@@ -162,14 +164,15 @@ def _parser(length: int, parts: int):
     return parse
 
 
-def _spans(doc, start, run, open: bool, key=None) -> pa.RecordBatch:
+def _spans(doc, start, run, open: bool, key=None, hot=None) -> pa.RecordBatch:
     size = len(doc)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(run, pa.int16()),
             pa.array(np.full(size, open)), pa.array(np.zeros(size, np.int64) if key is None else key, pa.int64()),
+            pa.array(np.zeros(size, bool) if hot is None else hot),
         ],
-        names=["doc", "start", "run", "open", "key"],
+        names=["doc", "start", "run", "open", "key", "hot"],
     )
 
 
@@ -204,27 +207,83 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group = np.cumsum(new_key) - 1
     several = (np.bincount(group, new) > 1)[group] if len(key) else new
     compare = several & ~repeated
-    yield _spans(doc[compare], start[compare], run[compare], True, key[compare])
+    hot = np.bincount(group, run * compare)[group] > HOT_STRINGS if len(key) else compare
+    yield _spans(doc[compare], start[compare], run[compare], True, key[compare], hot[compare])
+
+
+def _columns_of(whole: bytes, place: np.ndarray, length: int) -> list[np.ndarray]:
+    """The ``length`` bytes from each place as unsigned numbers, most telling ones first."""
+    big = np.ndarray((len(whole) - 7,), ">u8", buffer=whole, strides=(1,))
+    return [big[place + step].astype(np.uint64) for step in (*range(0, length - 8, 8), length - 8)]
+
+
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    mixed = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        mixed = (mixed ^ column) * _M1
+        mixed ^= mixed >> np.uint64(31)
+    return mixed
+
+
+CUT = "key bigint, doc bigint, start int, run smallint, data binary"
+
+
+def _single_strings(data: list[bytes], doc: np.ndarray, start: np.ndarray, run: np.ndarray, length: int) -> pa.RecordBatch:
+    """Strings of hot triggers by themselves, dealt by their own bytes.
+
+    Of equal strings that come together only one of the first document stays to be compared; the others
+    are repeats already, and pass through without data.
+    """
+    whole = b"".join(data) + bytes(8)
+    sizes = np.fromiter(map(len, data), np.int64, len(data))
+    owner = np.repeat(np.arange(len(data)), run)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(run) - run, run)
+    place = (np.cumsum(sizes) - sizes)[owner] + offset
+    columns = _columns_of(whole, place, length)
+    key = _mixed(columns).view(np.int64)
+    order = np.lexsort((doc[owner], *columns[::-1]))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([column[order][1:] != column[order][:-1] for column in columns], axis=0)
+    first = np.empty(len(order), np.int64)
+    first[order] = doc[owner][order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    repeated = doc[owner] > first
+    key = np.where(repeated, doc[owner] + start[owner] + offset, key)
+    strings = [None if gone else whole[at : at + length] for gone, at in zip(repeated.tolist(), place.tolist())]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(key), pa.array(doc[owner]), pa.array((start[owner] + offset).astype(np.int32)),
+            pa.array(np.ones(len(owner), np.int16)), pa.array(strings, pa.binary()),
+        ],
+        names=["key", "doc", "start", "run", "data"],
+    )
 
 
 def _cutter(length: int):
-    """Bytes of the phrases that must be compared."""
-    schema = pa.schema(
-        [("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("run", pa.int16()), ("data", pa.binary())]
-    )
+    """Bytes of the phrases that must be compared, those of hot triggers as single strings."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, doc, start, run, data = [], [], [], [], []
-            for at in range(batch.num_rows):
-                text = (batch.column(1)[at].as_py() or "").encode("utf-8", "replace")
-                for span in batch.column(2)[at].as_py():
-                    key.append(span["key"])
-                    doc.append(batch.column(0)[at].as_py())
-                    start.append(span["start"])
-                    run.append(span["run"])
-                    data.append(text[span["start"] : span["start"] + span["run"] + length - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((key, doc, start, run, data), schema.types)], schema=schema)
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                spans = rows.column(2)
+                docs = np.repeat(rows.column(0).to_numpy(), spans.value_lengths().to_numpy())
+                fields = spans.flatten()
+                start, run, key, hot = (fields.field(name).to_numpy(zero_copy_only=False) for name in ("start", "run", "key", "hot"))
+                texts = [(text or "").encode("utf-8", "replace") for text in rows.column(1).field(0).to_pylist()]
+                owner = np.repeat(np.arange(rows.num_rows), spans.value_lengths().to_numpy())
+                ends = start + run.astype(np.int64) + length - 1
+                data = [texts[o][a:b] for o, a, b in zip(owner.tolist(), start.tolist(), ends.tolist())]
+                plain = ~hot
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key[plain]), pa.array(docs[plain]), pa.array(start[plain]), pa.array(run[plain]),
+                        pa.array([data[k] for k in np.flatnonzero(plain)], pa.binary()),
+                    ],
+                    names=["key", "doc", "start", "run", "data"],
+                )
+                if hot.any():
+                    chosen = [data[k] for k in np.flatnonzero(hot)]
+                    yield _single_strings(chosen, docs[hot], start[hot], run[hot].astype(np.int64), length)
 
     return cut
 
@@ -241,14 +300,9 @@ def first_documents(data: list[bytes], doc: np.ndarray, run: np.ndarray, length:
     before = np.concatenate(([0], np.cumsum(run)[:-1]))
     offset = np.arange(len(owner)) - before[owner]
     place = begins[owner] + offset
-    big = np.ndarray((len(whole) - 7,), ">u8", buffer=whole, strides=(1,))
-    columns = [big[place + step].astype(np.uint64) for step in (*range(0, length - 8, 8), length - 8)]
+    columns = _columns_of(whole, place, length)
     if of > 1:
-        mixed = np.zeros(len(place), np.uint64)
-        for column in columns:
-            mixed = (mixed ^ column) * _M1
-            mixed ^= mixed >> np.uint64(31)
-        keep = mixed % np.uint64(of) == chosen
+        keep = _mixed(columns) % np.uint64(of) == chosen
         owner, offset, columns = owner[keep], offset[keep], [column[keep] for column in columns]
     order = np.lexsort(columns[::-1])
     differ = np.zeros(max(0, len(order) - 1), bool)
@@ -263,7 +317,13 @@ def first_documents(data: list[bytes], doc: np.ndarray, run: np.ndarray, length:
 
 def _comparer(length: int, most: int = 1 << 20):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
+        kept = []
+        for batch in batches:
+            settled = batch.filter(batch.column(4).is_null())
+            if settled.num_rows:
+                yield _spans(*(settled.column(n).to_numpy() for n in (1, 2, 3)), False)
+            kept.append(batch.filter(batch.column(4).is_valid()))
+        rows = pa.Table.from_batches(kept) if kept else None
         if rows is None or not rows.num_rows:
             return
         key = rows.column(0).to_numpy()
@@ -293,18 +353,36 @@ def _comparer(length: int, most: int = 1 << 20):
     return compare
 
 
-def repeated_spans(documents: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = 50, bytes_per_task: int = 16 << 20) -> DataFrame:
+def _rows(documents: DataFrame, id: str, text: str, keep: tuple[str, ...]) -> DataFrame:
+    """``(doc, row)``, the text and what is kept in one struct.
+
+    Both joins with the texts ask for the same two columns, so that Spark shuffles the texts once for both.
+    """
+    fields = [F.col(name).alias(f"_{at}") for at, name in enumerate((text, *keep))]
+    return documents.select(F.col(id).cast("long").alias("doc"), F.struct(*fields).alias("row"))
+
+
+def repeated_spans(
+    documents: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    length: int = 50,
+    bytes_per_task: int = 16 << 20,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """``(doc, spans)``: per document the repeated strings as structs ``(start, run)``.
 
     ``run`` strings of ``length`` bytes from byte ``start`` on are repeats.
     """
-    texts = documents.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
-    usable = texts.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
+    rows = _rows(documents, id, text, keep).where(F.col("doc").isNotNull())
+    usable = documents.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
+    usable = usable.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
     size = usable.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     tasks = max(documents.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_per_task))
     parsed = usable.mapInArrow(_parser(length, 4 * tasks), PHRASES)
     found = parsed.repartition(tasks, "part").mapInArrow(_sorter, SPANS)
-    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("start", "run", "open", "key")).alias("spans"))
+    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("start", "run", "open", "key", "hot")).alias("spans"))
     by_doc = stored(
         by_doc.select(
             "doc",
@@ -316,11 +394,7 @@ def repeated_spans(documents: DataFrame, *, id: str = "doc_id", text: str = "tex
         ),
         "spans",
     )
-    cut = (
-        texts.join(by_doc.where(F.size("open") > 0), "doc")
-        .select("doc", "text", "open")
-        .mapInArrow(_cutter(length), "key bigint, doc bigint, start int, run smallint, data binary")
-    )
+    cut = rows.join(by_doc.where(F.size("open") > 0), "doc").select("doc", "row", "open").mapInArrow(_cutter(length), CUT)
     compared = cut.repartition(tasks, "key").mapInArrow(_comparer(length), SPANS)
     again = compared.groupBy("doc").agg(F.collect_list(F.struct("start", "run")).alias("settled"))
     return (
@@ -345,14 +419,15 @@ def removed_bytes(size: int, starts: np.ndarray, runs: np.ndarray, length: int)
 RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
 
-def _remover(length: int, with_kept: bool, schema: pa.Schema):
+def _remover(length: int, with_kept: bool, keep: tuple[str, ...], schema: pa.Schema):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, texts = [], batch.column(1).field(0)
+            others = [batch.column(1).field(at) for at in range(1, len(keep) + 1)]
             for at in range(batch.num_rows):
-                data = (batch.column(1)[at].as_py() or "").encode("utf-8", "replace")
+                data = (texts[at].as_py() or "").encode("utf-8", "replace")
                 spans = batch.column(2)[at]
                 kept, removed, count = data, 0, 0
                 if spans.is_valid and len(data) >= length:
@@ -365,7 +440,7 @@ def _remover(length: int, with_kept: bool, schema: pa.Schema):
                 rows.append((len(data), removed, count, hashlib.sha256(kept).hexdigest(), kept if with_kept else None))
             columns = list(zip(*rows)) if rows else [()] * len(kinds)
             made = [pa.array(list(values), kind) for values, kind in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made, *batch.columns[3:]], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, *others], schema=schema)
 
     return remove
 
@@ -383,14 +458,15 @@ def remove_repeats(
 
     ``kept`` holds the remaining bytes if ``with_kept`` asks for them; a cut may part a character.
     """
-    spans = repeated_spans(documents, id=id, text=text, length=length).withColumnsRenamed({"doc": "_doc", "spans": "_spans"})
-    texts = documents.select(F.col(id).cast("long").alias("_doc"), F.col(text).alias("_text"), *keep)
-    rows = texts.join(spans, "_doc", "left").select(F.col("_doc").alias("doc"), "_text", "_spans", *keep)
+    spans = repeated_spans(documents, id=id, text=text, length=length, keep=keep)
+    rows = _rows(documents, id, text, keep)
+    named = rows.where(F.col("doc").isNotNull()).join(spans, "doc", "left").select("doc", "row", "spans")
+    unnamed = rows.where(F.col("doc").isNull()).select("doc", "row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     schema = pa.schema(
         [
             ("doc", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-            ("kept_sha256", pa.string()), ("kept", pa.binary()), *arrow_fields(rows, keep),
+            ("kept_sha256", pa.string()), ("kept", pa.binary()), *arrow_fields(documents, keep),
         ]
     )
-    result = ", ".join(filter(None, ("doc bigint", RESULT, described(rows, keep))))
-    return rows.mapInArrow(_remover(length, with_kept, schema), result)
+    result = ", ".join(filter(None, ("doc bigint", RESULT, described(documents, keep))))
+    return named.unionByName(unnamed).mapInArrow(_remover(length, with_kept, keep, schema), result)
