@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tributary.llm import fingerprints, licences, quality, sharding, simhash, toxicity, url_filters
+from tributary.llm import fill_in_middle as fim, fingerprints, licences, quality, sharding, simhash, spelling, suffix_dedup, top_k, toxicity, url_filters
 from tributary.llm.common import components
 from tributary.llm.decontamination import decontaminate
 from tributary.llm.pieces import Encoder, Model, decode, decode_tokens, encode
@@ -87,8 +87,8 @@ def test_spark_hash_is_the_fingerprint_hash(spark):
     assert row["h"] % 2**64 == xxhash.xxh64_intdigest("grüße an alle".encode(), 42)
 
 
-@pytest.mark.parametrize("lanes, radius, grain, tile", [(1, 4, 1, 3), (2, 25, 8, 4), (1, 0, 2, 8192)])
-def test_links_of_small_tiles_equal_all_pairs(spark, lanes, radius, grain, tile):
+@pytest.mark.parametrize("lanes, radius, tile, block", [(1, 4, 3, 2), (1, 4, 8192, 500_000), (2, 25, 4, 3), (1, 0, 8192, 1)])
+def test_links_of_small_tiles_equal_all_pairs(spark, lanes, radius, tile, block):
     rng = random.Random(lanes * 100 + radius)
     prints = {}
     for i in range(60):
@@ -99,7 +99,7 @@ def test_links_of_small_tiles_equal_all_pairs(spark, lanes, radius, grain, tile)
     names = simhash.lane_names(lanes)
     signed = [(i, *(int(np.uint64(v).astype(np.int64)) for v in p)) for p, i in distinct.items()]
     rows = spark.createDataFrame(signed, "node long, " + ", ".join(f"{n} long" for n in names))
-    found = components(simhash.links(rows, lanes=lanes, radius=radius, tile=tile, grain=grain))
+    found = components(simhash.links(rows, lanes=lanes, radius=radius, tile=tile, block=block))
     roots = {r["node"]: r["root"] for r in found.collect()}
     expected = plain_groups({i: p for p, i in distinct.items()}, radius)
     assert {i: roots.get(i, i) for i in expected} == expected
@@ -479,3 +479,217 @@ def test_round_trip_on_awkward_tables(spark, model):
     assert len(back) == 14 and all(r["decoded"] == (r["text"] or "") for r in back)
     assert decode(encode(empty(spark), model), model).count() == 0
     assert decode_tokens(model.form, None) == "" and decode_tokens(model.form, [1, 2]) == ""
+
+
+# -- 3, hot triggers -------------------------------------------------------------------------------------
+
+
+def test_one_trigger_in_all_documents(spark, monkeypatch):
+    """A phrase in ever other surroundings: its strings are dealt by their own bytes."""
+    rng = random.Random(5)
+    core = "the lantern of the harbour is lit at dusk by one"
+    texts = []
+    for i in range(400):
+        before, after = ("".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(2))
+        texts.append((i, before + core + (after if i % 3 else " tail that some of them share with each other")))
+    texts += [(400, None), (401, ""), (402, texts[7][1]), (402, texts[7][1]), (None, core * 3)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    found = []
+    for most in (1 << 16, 20, 0):
+        # Task functions of the package carry their module's values only if it is sent by value.
+        monkeypatch.setattr(suffix_dedup, "HOT_STRINGS", most)
+        monkeypatch.setattr(suffix_dedup, "_sorter", sorter_with(most))
+        got = remove_repeats(rows, with_kept=True).collect()
+        found.append(sorted((str(r["doc"]), r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(texts)
+    plain = plain_removal([(i, t) for i, t in texts[:403]])
+    assert {d: r for d, r, _, _ in found[0] if d != "None"} == {str(i): plain[i][1] for i, _ in texts[:403]}
+
+
+def sorter_with(most, sort=suffix_dedup._sorter):
+    def sorter(batches):
+        from tributary.llm import suffix_dedup as module
+
+        before, module.HOT_STRINGS = module.HOT_STRINGS, most
+        try:
+            yield from sort(batches)
+        finally:
+            module.HOT_STRINGS = before
+
+    return sorter
+
+
+# -- 11 --------------------------------------------------------------------------------------------------
+
+
+def plain_top(rows, queries, k):
+    out = set()
+    for q, own in queries.items():
+        best = sorted((-sum(w * own.get(t, 0) for t, w in v.items()), i) for i, v in rows if i != q)[:k]
+        out |= {(q, n, i, -s) for n, (s, i) in enumerate(best, 1)}
+    return out
+
+
+@pytest.mark.parametrize("postings", [10, 8_000_000])
+def test_top_k_of_sparse_rows_equals_brute_force(spark, postings):
+    rng = random.Random(11)
+    vectors = [(i, {t: rng.randrange(-9, 10) for t in rng.sample(range(40), rng.randrange(0, 12))}) for i in range(120)]
+    vectors += [(500 + i, {1: 3, 2: -1}) for i in range(30)] + [(600, {7: 5}), (600, {7: 5})]  # ties and a repeated row
+    rows = [(i, list(v), list(v.values()), "clash") for i, v in vectors]
+    rows += [(None, [1], [1], "x"), (700, None, [1], "x"), (701, [1], None, "x"), (702, [None], [1], "x"), (703, [1], [None], "x"), (704, [1], [1, 2], "x")]
+    df = spark.createDataFrame(rows, "id long, terms array<int>, weights array<long>, block string").repartition(5)
+    asked = df.where("id % 10 = 0")
+    found = {tuple(r) for r in top_k.top_k(asked, df, k=5, postings=postings).collect()}
+    assert found == plain_top(vectors, {i: v for i, v in vectors if i % 10 == 0}, 5)
+    assert {len(q) for q in [[r for r in found if r[0] == 600]]} == {5}
+
+
+def test_top_k_with_repeated_terms_few_rows_large_weights_and_no_rows(spark):
+    ddl = "id long, terms array<int>, weights array<long>"
+    df = spark.createDataFrame([(1, [3, 3, 4], [1, 2, 5]), (2, [3], [10]), (2**63 - 1, [4], [1 << 40])], ddl)
+    found = {tuple(r) for r in top_k.top_k(df, df, k=5).collect()}
+    large = top_k.LARGEST
+    assert found == {
+        (1, 1, 2**63 - 1, 5 * large), (1, 2, 2, 30), (2, 1, 1, 30), (2, 2, 2**63 - 1, 0),
+        (2**63 - 1, 1, 1, 5 * large), (2**63 - 1, 2, 2, 0),
+    }
+    assert top_k.top_k(df, df.limit(0), k=5).count() == 0 and top_k.top_k(df.limit(0), df, k=5).count() == 0
+    assert top_k.top_k(df.where("id = 1"), df.where("id = 1"), k=5).count() == 0
+
+
+def test_weights_of_dense_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.5, -0.001, 0.0]), (2, None), (3, [1.0, None]), (4, [nan]), (5, [inf]), (6, [-inf, 1.0]), (7, [])]
+    terms, weights, whole = top_k.whole_weights(F.col("v"), 256)
+    df = spark.createDataFrame(rows, "id long, v array<float>").select("id", terms.alias("t"), weights.alias("w"), whole.alias("whole"))
+    found = {r["id"]: (r["t"], r["w"]) for r in df.where("whole").collect()}
+    assert found == {1: ([0, 1], [128, -1]), 7: ([], [])}
+
+
+# -- 12 --------------------------------------------------------------------------------------------------
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+@pytest.mark.parametrize("common", [20_000, 3, 0])
+def test_near_words_equal_all_pairs(spark, common):
+    """Words of one to many letters, many with a common start or end, also where every chunk is common."""
+    rng = random.Random(12)
+    words = {"a", "b", "é", "ab", "ba", "aa", "aaa", "aaaa", "aaaaa", "aaaaaa", "z" * 300, "z" * 299 + "y", "z" * 301}
+    for _ in range(150):
+        words.add("inter" + "".join(rng.choice("abé") for _ in range(rng.randrange(1, 5))))
+        words.add("".join(rng.choice("abé") for _ in range(rng.randrange(1, 5))) + "ational")
+        words.add("".join(rng.choice("ab×") for _ in range(rng.randrange(1, 7))))
+    df = spark.createDataFrame([(w,) for w in sorted(words)], "word string").repartition(3)
+    found = [(r["a"], r["b"]) for r in spelling.near_pairs(df, common=common).collect()]
+    expected = {(a, b) for a in words for b in words if a < b and one_edit(a, b)}
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert spelling.near_pairs(df.limit(0)).count() == 0
+
+
+def test_forms_and_roots(spark):
+    counts = {"harbour": 40, "harbor": 20, "harbr": 10, "harbou": 5, "lamp": 9, "lump": 9, "limp": 3, "alone": 7, "bamp": 18, "camp": 18}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    found = {r["word"]: (r["form"], r["root"], r["n_near"], r["form_n"]) for r in spelling.variants(df).collect()}
+    assert found["harbr"] == ("harbor", "harbour", 1, 20) and found["harbou"] == ("harbour", "harbour", 2, 40)
+    assert found["harbor"] == ("harbour", "harbour", 3, 40) and found["harbour"] == (None, "harbour", 2, None)
+    assert found["lump"] == (None, "lump", 2, None) and found["alone"] == (None, "alone", 0, None)
+    assert found["lamp"] == ("bamp", "bamp", 4, 18) and found["limp"] == ("lamp", "bamp", 2, 9)
+    assert spelling.variants(df.limit(0)).count() == 0
+
+
+def test_words_of_awkward_tables(spark, monkeypatch):
+    rows = awkward(spark)
+    found = {r["word"]: r["n"] for r in spelling.count_words(rows, least=1, occurrences=1, every=97).collect()}
+    expected = Counter()
+    for r in rows.collect():
+        lower = (r["text"] or "").translate({c: c + 32 for c in range(65, 91)})
+        run = ""
+        for letter in lower + " ":
+            if "a" <= letter <= "z" or "\u00c0" <= letter <= "\u00ff":
+                run += letter
+                continue
+            if run:
+                h = crc32(f"{'' if r['doc_id'] is None else r['doc_id']}:{run}".encode())
+                expected[run if h % 97 else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+            run = ""
+    expected.pop("", None)
+    assert found == dict(expected) and "grüße" in found
+    assert spelling.count_words(empty(spark)).count() == 0
+
+
+def test_runs_do_not_depend_on_slices(monkeypatch):
+    text = "one, two " + "é" * 30 + " x" * 40 + "end"
+    whole = [run for runs in spelling.runs_of(text) for run in runs]
+    for size in (1, 2, 7, 20):
+        monkeypatch.setattr(spelling, "SLICE", size)
+        assert [run for runs in spelling.runs_of(text) for run in runs] == whole
+
+
+# -- 13 --------------------------------------------------------------------------------------------------
+
+
+def plain_middle(name, text, rate=100, suffix_first=50):
+    lines = (text or "").splitlines(keepends=True) if not set(text or "") & set("\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029") else None
+    if lines is None:
+        parts = text.split("\n")
+        lines = [p + "\n" for p in parts[:-1]] + ([parts[-1]] if parts[-1] else [])
+    digest = hashlib.sha256(f"7:{'' if name is None else name}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    a, b = sorted((h[0] % (len(lines) + 1), h[1] % (len(lines) + 1)))
+    prefix, middle, suffix = "".join(lines[:a]), "".join(lines[a:b]), "".join(lines[b:])
+    if not text or any(m in text for m in fim.MARKS) or h[2] % 100 >= rate:
+        return len(lines), "plain", None, None, text or ""
+    if h[3] % 100 < suffix_first:
+        return len(lines), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(lines), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def middle_texts():
+    rng = random.Random(13)
+    texts = ["", None, "\n", "\n\n\n", "no end", "an end\n", "a\r\nb\x0bc\u2028d\n\ne", "has <P> inside\nx", "<S>", "<M>\n", "<\nP>\n<P", "ends with <S\n<", "日本\n語\n😀é\n" * 5]
+    for _ in range(150):
+        texts.append("".join(rng.choice(["\n", "ab", "é", "日", "😀", "\x8a", "\n\n", " "]) for _ in range(rng.randrange(1, 60))))
+    return texts + ["line\n" * 50_000 + "last", "x" * 200_000]
+
+
+def test_fill_in_middle_equals_a_plain_version(spark, monkeypatch):
+    rows = [(i if i % 40 else None, t, "clash", "kept") for i, t in enumerate(middle_texts())] + [(3, "\n\n\n", "clash", "kept")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, output string, lang string").repartition(4)
+    made = fim.fill_in_middle(df, keep=("lang",))
+    back = made.withColumn("back", fim.restored(F.col("output"), F.col("form"))).collect()
+    found = Counter((r["id"], r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"]) for r in back)
+    assert found == Counter((i, *plain_middle(i, t)) for i, t, _, _ in rows)
+    assert Counter(r["back"] for r in back) == Counter(t or "" for _, t, _, _ in rows) and {r["lang"] for r in back} == {"kept"}
+    some = fim.fill_in_middle(df, rate=40, suffix_first=10).collect()
+    assert Counter((r["id"], r["form"]) for r in some) == Counter((i, plain_middle(i, t, 40, 10)[1]) for i, t, _, _ in rows)
+    assert fim.fill_in_middle(df.limit(0)).count() == 0
+
+
+def test_marks_that_could_be_taken_for_others_are_refused(spark):
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    for marks in (("<P>", "<P>", "<M>"), ("aba", "<S>", "<M>"), ("<P>", "P>x", "<M>"), ("<P>", "P", "<M>"), ("", "<S>", "<M>")):
+        with pytest.raises(ValueError):
+            fim.fill_in_middle(df, marks=marks)
+    made = fim.fill_in_middle(df, marks=("[pre]", "[suf]", "[mid]")).select(fim.restored(F.col("output"), F.col("form"), ("[pre]", "[suf]", "[mid]")))
+    assert made.first()[0] == "x"
+
+
+def test_places_of_marked_bytes():
+    rng = random.Random(14)
+    data = np.array([rng.choice([0, 9, 10, 11, 0x8A, 0x0A ^ 0x80, 255, 0xC3]) for _ in range(1000)], np.uint8)
+    words = np.zeros(126, np.uint64)
+    words.view(np.uint8)[:1000] = data
+    ends, starts = fim.Places(fim.line_ends(words)), fim.Places(fim.character_starts(words))
+    places = np.flatnonzero(data == 10)
+    assert ends.select(np.arange(len(places))).tolist() == places.tolist()
+    at = np.arange(1001)
+    assert ends.rank(at).tolist() == np.concatenate(([0], np.cumsum(data == 10))).tolist()
+    assert starts.rank(at).tolist() == np.concatenate(([0], np.cumsum(data & 0xC0 != 0x80))).tolist()

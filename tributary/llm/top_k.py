@@ -84,7 +84,7 @@ class Block:
                 np.add(scores, self.product, out=scores)
             elif b > a:
                 scores[self.docs[a:b]] += self.weights[a:b] * weight
-        first, last = np.searchsorted(self.ids, [query, query + 1]) if query < np.iinfo(np.int64).max else (0, 0)
+        first, last = (int(np.searchsorted(self.ids, query, side=side)) for side in ("left", "right"))
         if last == first:
             best = _best(scores, k)
         else:  # the query's own rows are cut out; places before and after keep the order of ids
