@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import fields as X
-from ..functions import literal
+from ..functions import bound, literal
 from ..functions.dates import iso_date, iso_instant, month_key
 from ..functions.numbers import decimal_warning, exact_decimal
 from ..functions.text import (
@@ -68,17 +68,56 @@ def _ends_with_root(text: str, tag: str) -> str:
     )
 
 
-def _element_pattern(name: str) -> str:
-    return rf"(?s)<((?:[^\s<>/:]+:)?){name}(?=[\s/>])(?:[^>]*/>|.*?</\1{name}\s*>)"
+_TAG_REST = r"""(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>"""
+
+
+def without_sections(text: str) -> str:
+    """The text without comments and instructions, and with CDATA sections as escaped text.
+
+    What stands inside a section is no markup, so it must not be taken for an element; its text stays.
+    """
+    kept = f"regexp_replace({text}, {literal(r'(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->|<\?.*?\?>')}, '$1')"
+    parts = f"split({kept}, {literal(r'<!\[CDATA\[')})"
+    inside = "substring_index(part, ']]>', 1)"
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        inside = f"replace({inside}, '{char}', '{entity}')"
+    after = "substring(part, instr(part, ']]>') + 3)"
+    joined = f"array_join(transform({parts}, (part, at) -> if(at = 0, part, concat({inside}, {after}))), '')"
+    return f"if(contains({text}, '<![CDATA['), {joined}, {kept})"
+
+
+def element_at_depth(text: str, name: str) -> str:
+    """The first element with a local name, at whatever depth, up to its own closing tag; '' if there is none.
+
+    ``text`` has no sections left. From the first opening tag on, tags with the name are counted up and
+    down; the element ends where the count is back at zero.
+    """
+    opening = literal(rf"<(?:[^\s<>/:]+:)?{name}{_TAG_REST}")
+    tag = literal(rf"</?(?:[^\s<>/:]+:)?{name}{_TAG_REST}")
+    step = "case when startswith(tag, '</') then -1 when endswith(tag, '/>') then 0 else 1 end"
+
+    def up_to_end(tags: str, between: str) -> str:
+        count = (
+            f"aggregate({tags}, named_struct('depth', 0, 'n', 0, 'ended', false), (s, tag) -> if(s.ended, s, "
+            f"named_struct('depth', s.depth + {step}, 'n', s.n + 1, 'ended', s.depth + {step} = 0)), s -> s.n)"
+        )
+        return f"array_join(transform(slice({tags}, 1, {count}), (tag, at) -> concat(get({between}, at), tag)), '')"
+
+    def element(rest: str) -> str:
+        tags, between = f"regexp_extract_all({rest}, {tag}, 0)", f"split({rest}, {tag})"
+        return bound(tags, lambda t: bound(between, lambda b: up_to_end(t, b), "between"), "tags")
+
+    found = f"regexp_instr({text}, {opening})"
+    return f"if({found} = 0, '', {bound(f'substring({text}, {found})', element, 'rest')})"
 
 
 def _lifted(text: str, wrapper: str, body: str, protocol: str) -> str:
     """Small document made of the first body and first protocol element found at any depth."""
-    bare = f"regexp_replace({text}, {literal('(?s)<!--.*?-->')}, '')"
-    return (
-        f"concat('<{wrapper}>', regexp_extract({bare}, {literal(_element_pattern(body))}, 0), "
-        f"regexp_extract({bare}, {literal(_element_pattern(protocol))}, 0), '</{wrapper}>')"
-    )
+
+    def made(bare: str) -> str:
+        return f"concat('<{wrapper}>', {element_at_depth(bare, body)}, {element_at_depth(bare, protocol)}, '</{wrapper}>')"
+
+    return bound(without_sections(text), made, "bare")
 
 
 def _sql(df: DataFrame, keep: list[str], **columns: str) -> DataFrame:

@@ -31,7 +31,7 @@ from ..operators import metrics, rules, state
 from ..schemas import CTE_SCHEMA, NFE_SCHEMA
 from ..sinks.versions import merge_version, positions
 from ..sources.archives import NO_DOCUMENTS, UNREADABLE, list_entries, read_entries
-from ..sources.files import list_files
+from ..sources.files import list_files, unlisted_folders
 from .documents import both_rows, parse_documents
 from .flat_tables import flatten_tables
 from .work import remove_folder, work_folder
@@ -116,17 +116,21 @@ def _run_id(options: IngestOptions) -> str:
     return options.run_id or f"{_utc(options.now):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
-def _listing(spark: SparkSession, options: IngestOptions, work: str) -> tuple[DataFrame | None, list[str]]:
-    found, missing = None, []
+def _listing(spark: SparkSession, options: IngestOptions, work: str) -> tuple[DataFrame | None, DataFrame | None, list[str]]:
+    """Files of all sources, folders that could not be listed, and sources that are not there."""
+    found, closed, missing = None, None, []
     for source in options.sources:
+        folder = f"{work}/listing/{source.name}"
         try:
-            files = list_files(spark, source.root, source.name, f"{work}/listing/{source.name}")
+            files = list_files(spark, source.root, source.name, folder)
         except OSError as error:
             log.error("%s", error)
             missing.append(source.name)
             continue
+        errors = unlisted_folders(spark, source.name, folder)
         found = files if found is None else found.unionByName(files)
-    return found, missing
+        closed = errors if closed is None else closed.unionByName(errors)
+    return found, closed, missing
 
 
 def documents_of(spark: SparkSession, files: DataFrame, work: str) -> DataFrame:
@@ -223,8 +227,13 @@ def _kept(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _counts(documents: DataFrame, options: IngestOptions, scanned: DataFrame, pending: DataFrame) -> DataFrame:
-    """Counters per source: files scanned and skipped, documents per outcome, errors, months written."""
+def _counts(
+    documents: DataFrame, options: IngestOptions, scanned: DataFrame, pending: DataFrame, closed: DataFrame | None
+) -> DataFrame:
+    """Counters per source: files scanned and skipped, documents per outcome, errors, months written.
+
+    A folder that could not be listed is an error of its source.
+    """
     broken_archive = (F.col("source_file_type") == "zip") & (F.col("status") == "corrupt")
     errors = documents.groupBy("source").agg(
         F.count_if(
@@ -232,6 +241,10 @@ def _counts(documents: DataFrame, options: IngestOptions, scanned: DataFrame, pe
         ).alias("errors"),
         F.count_if(broken_archive & F.lit(options.strict_archives)).alias("broken"),
     )
+    if closed is not None:
+        folders = closed.groupBy("source").agg(F.count(F.lit(1)).alias("closed"))
+        errors = errors.join(folders, "source", "full").na.fill(0).withColumn("errors", F.col("errors") + F.col("closed")).drop("closed")
+        scanned = scanned.join(folders.select("source"), "source", "full").na.fill(0)
     return (
         scanned.join(metrics.outcome_counts(documents).drop("skipped"), "source", "left")
         .join(errors, "source", "left")
@@ -272,7 +285,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     options = replace(options, run_id=run_id)
     work = f"{work_folder(spark, options.state_path)}/{run_id}"
 
-    listing, missing = (files, []) if files is not None else _listing(spark, options, work)
+    listing, closed, missing = (files, None, []) if files is not None else _listing(spark, options, work)
     if listing is None:
         return RunResult(run_id, True, [], spark.createDataFrame([], "source string"), tuple(missing))
 
@@ -296,7 +309,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
         .collect()
     )
     # One row per source.
-    counts = _kept(_counts(documents, options, metrics.scan_counts(listing), pending), f"{work}/counts")
+    counts = _kept(_counts(documents, options, metrics.scan_counts(listing), pending, closed), f"{work}/counts")
     erring = counts.filter("errors > 0").select("source", "broken").collect()
     failed = {r["source"] for r in erring if r["broken"]}
 

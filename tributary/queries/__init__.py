@@ -27,4 +27,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-from . import documents, files, margins, monthly, states, unnest  # noqa: E402,F401
+from . import documents, files, margins, monthly, records, states, unnest  # noqa: E402,F401
