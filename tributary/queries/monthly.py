@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.compact import concat_parts, keep_latest, keep_latest_narrow, keep_statistics, merge_months
 from ..plans.flat_tables import months_to_flatten, stale_months
@@ -268,3 +268,43 @@ def month_versions(spark, sf):
         rows = rows.select(F.lit(name).alias("reader"), "key", "version", "ref_aaaamm")
         found = rows if found is None else found.union(rows)
     return found
+
+
+@query("SELECT strftime(o_orderdate, '%Y%m') AS ref_aaaamm, count(*) AS n, 0 AS unsorted FROM orders GROUP BY 1")
+def month_sorted(spark, sf):
+    """Rows of each stored file follow one another by key, in plain months and in versions."""
+    plain, versioned = scratch(spark, "sorted"), scratch(spark, "sorted-versions")
+    rows = _order_rows(spark, sf, 1, "true")
+    write_months(rows.where("key % 2 = 0"), plain, sort_by="key")
+    _merged(spark, rows.where("key % 2 = 1"), versioned)
+    entries = versions.entries_of(spark, versioned)
+    stored = spark.read.option("basePath", plain).parquet(plain).select("key", F.col("ref_aaaamm").cast("string").alias("ref_aaaamm"), *versions.positions())
+    stored = stored.unionByName(
+        versions.read_entries(spark, versioned, entries, rows.schema, (versions.FILE, versions.ROW)).select(*stored.columns)
+    )
+    before = F.lag("key").over(Window.partitionBy(versions.FILE).orderBy(versions.ROW))
+    marked = stored.withColumn("falls", F.coalesce(before > F.col("key"), F.lit(False)))
+    return marked.groupBy("ref_aaaamm").agg(F.count(F.lit(1)).alias("n"), F.count_if("falls").cast("int").alias("unsorted"))
+
+
+@query(
+    """
+    SELECT strftime(o_orderdate, '%Y%m') AS ref_aaaamm, o_orderkey AS key,
+      CASE WHEN year(o_orderdate) >= 1997 THEN o_custkey END AS client, CASE WHEN year(o_orderdate) < 1997 THEN o_orderpriority END AS priority,
+      CASE WHEN year(o_orderdate) < 1997 THEN 'plain' ELSE 'version' END AS kind
+    FROM orders
+    """
+)
+def months_of_different_columns(spark, sf):
+    """Months written with other columns than later ones: a table that describes itself has those of all.
+
+    The early months are plain folders, which became part of the first version of the table.
+    """
+    path = scratch(spark, "columns")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("client"), F.col("o_orderpriority").alias("priority"),
+        F.lit(1).alias("version"), F.lit("orders").alias("source"), F.date_format("o_orderdate", "yyyyMM").alias("ref_aaaamm"),
+    )
+    write_months(orders.where("ref_aaaamm < '1997'").drop("client").withColumn("kind", F.lit("plain")), path, sort_by="key")
+    _merged(spark, orders.where("ref_aaaamm >= '1997'").drop("priority").withColumn("kind", F.lit("version")), path)
+    return read_months(spark, path, None).select("ref_aaaamm", "key", "client", "priority", "kind")

@@ -251,3 +251,18 @@ def ledger_changed_folders(spark, sf):
     kept = scratch(spark, "changed")
     changed.write.parquet(kept)
     return state.in_changed_folders(now, spark.read.parquet(kept)).select("source", "source_file_path")
+
+
+@query("SELECT 'opened' AS reader, count(*) AS n FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT 'later', count(*) FROM documents")
+def ledger_snapshot(spark, sf):
+    """A reader of the ledger sees what was there when it opened it, also after a run and a compaction."""
+    path, number = scratch(spark, "snapshot"), F.regexp_extract("source_file_path", r"(\d+)", 1).cast("bigint")
+    files = _document_files(spark, sf)
+    state.append_state(state.ledger_rows(files.where(number % 2 == 0), F.expr(RUN_1)), path, "run-1")
+    opened = state.read_ledger(spark, path)
+    state.append_state(state.ledger_rows(files.where(number % 2 == 1), F.expr(RUN_2)), path, "run-2")
+    state.compact_ledger(spark, path, scratch(spark, "compaction"), after=2)
+    later = state.read_ledger(spark, path)
+    return opened.agg(F.lit("opened").alias("reader"), F.count(F.lit(1)).alias("n")).union(
+        later.agg(F.lit("later").alias("reader"), F.count(F.lit(1)).alias("n"))
+    )
