@@ -32,7 +32,7 @@ FROM folded LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
-def _op7(rounds: int = 20, damping: float = 0.85) -> str:
+def _op7(rounds: int = 60, damping: float = 0.85) -> str:
     """Rules by a window over those that fit; the walks as one step of SQL for each round."""
     steps = "".join(
         f""", walk{n} AS (

@@ -2,8 +2,9 @@
 
 Trust flows from the hosts that rules allow along the links between hosts; distrust flows from the
 hosts that rules block against the direction of the links, to those that point at them. Both are
-personalised PageRanks, iterated together on pre-aggregated host edges. A host is blocked if its
-distrust exceeds its trust by more than the threshold.
+personalised PageRanks, iterated together on pre-aggregated host edges until they stand still and no
+host is reached any more, however long the chain of links. A host is blocked if its distrust exceeds its
+trust by more than the threshold.
 
 Defined results: host and path are empty where the url is null or has no ``://``; such pages, and
 hosts that no seed reaches, have neither trust nor distrust and are allowed; links to a page's own
@@ -54,11 +55,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, rounds: int = 20, close: float = 1e-9) -> DataFrame:
+def propagate(
+    edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, close: float = 1e-9, every: int = 5, patience: int = 10_000
+) -> DataFrame:
     """Scores ``(kind, host, score)`` of random walks that restart at the seeds ``(kind, host, weight)``.
 
     Walks of kind "trust" follow the edges, those of kind "distrust" follow them backwards. The mass
     of a host without onward links goes back to the seeds, by leaving it out and scaling at the end.
+    Every few rounds the scores are written and compared with those before: they are done when less than
+    ``close`` of all mass has moved and no new host has a score. Scores that do not settle raise an error.
     """
     steps = edges.select(F.lit("trust").alias("kind"), F.col("source").alias("host"), F.col("target").alias("onto"), "links").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("target").alias("host"), F.col("source").alias("onto"), "links")
@@ -73,22 +78,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, roun
     )
     restart = start.select("kind", "host", (F.col("start") * (1 - damping)).alias("score"))
     scores = start.select("kind", "host", F.col("start").alias("score"))
-    for number in range(1, rounds + 1):
-        moved = scores.join(steps, ["kind", "host"]).select(
-            "kind", F.col("onto").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")
-        )
-        after = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if number % 5:
-            scores = after
-            continue
-        after = stored(after, "scores")
-        change = (
-            after.unionByName(scores.select("kind", "host", (-F.col("score")).alias("score")))
-            .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("score")).agg(F.sum("score")).first()[0]
-        )
-        scores = after
-        if (change or 0.0) < close:
+    hosts = 0
+    for _ in range(0, patience, every):
+        for _ in range(every):
+            before = scores
+            moved = scores.join(steps, ["kind", "host"]).select(
+                "kind", F.col("onto").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")
+            )
+            scores = moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        both = scores.withColumn("was", F.lit(0.0)).unionByName(before.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("was")))
+        scores = stored(both.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("was").alias("was")), "scores")
+        seen = scores.agg(F.sum(F.abs(F.col("score") - F.col("was"))).alias("change"), F.count("*").alias("hosts")).first()
+        scores = scores.select("kind", "host", "score")
+        if (seen["change"] or 0.0) < close and seen["hosts"] == hosts:
             break
+        hosts = seen["hosts"]
+    else:
+        raise RuntimeError(f"scores did not settle in {patience} rounds")
     mass = scores.groupBy("kind").agg(F.sum("score").alias("all"))
     return scores.join(mass, "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
 
@@ -103,12 +109,11 @@ def judge(
     seed_share: float = 0.5,
     threshold: float = 0.0,
     damping: float = 0.85,
-    rounds: int = 20,
 ) -> DataFrame:
     """Per page ``(id, host, path, rule, verdict, trust, distrust)``.
 
-    A host is a seed of what the rules say of at least ``seed_share`` of its pages; its weight is the
-    number of those pages. Scores are shares of all trust and all distrust.
+    A host is a seed of what the rules say of at least ``seed_share`` of its pages (so that a rule for a
+    small part of a large host does not speak for all of it); its weight is the number of those pages. Scores are shares of all trust and all distrust.
     """
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), F.col(html).alias("html"))
     rows = rows.select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
@@ -135,7 +140,7 @@ def judge(
         )
         .select("seed.kind", "host", "seed.weight")
     )
-    scores = propagate(host_edges(rows), seeds, damping=damping, rounds=rounds)
+    scores = propagate(host_edges(rows), seeds, damping=damping)
     hosts = scores.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
