@@ -2,7 +2,9 @@
 
 Documents with equal texts form one group that is never cut. Groups stand in the order of their
 smallest id, and every shard takes a contiguous run of them. The capacity, the size of the largest
-shard, is the smallest one for which the greedy fill needs no more shards than there are.
+shard, is the smallest one for which the greedy fill needs no more shards than there are. The greedy fill
+leaves all slack to the last shards, so the cuts are then moved within the capacity: of the ends of groups
+next to even cuts, those that make the smallest shard as large as possible are taken.
 
 The search runs on a stored table of running totals. One aggregate answers a step of the greedy fill
 for many capacities at once; when the rows that can still decide are few, they are finished exactly
@@ -16,7 +18,8 @@ from __future__ import annotations
 
 from bisect import bisect_right
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import numbered, stored
 
@@ -102,6 +105,71 @@ def smallest_cuts(totals: DataFrame, shards: int, *, candidates: int = 64, few:
     return upper
 
 
+def _even_places(totals: DataFrame, shards: int, total: int) -> list[int]:
+    """Where even cuts would be. A group above the even share fills a shard, and the rest is shared anew."""
+    giants: list = []
+    while True:
+        rest, parts = total - sum(g["size"] for g in giants), shards - len(giants)
+        if rest <= 0 or parts <= 0:
+            break
+        # Fewer than there are shards: each is above the mean of what is left.
+        more = totals.where(F.col("size") * parts > rest).select("size", "upto").collect()
+        if len(more) == len(giants):
+            break
+        giants = more
+    places = {end for g in giants for end in (g["upto"] - g["size"], g["upto"])}
+    for number in range(1, max(1, parts)):
+        place = rest * number // parts
+        for g in sorted(giants, key=lambda giant: giant["upto"]):
+            if g["upto"] - g["size"] <= place:
+                place += g["size"]
+        places.add(place)
+    return sorted(places)
+
+
+def _closest_ends(totals: DataFrame, places: list[int], nearest: int) -> set[int]:
+    """The ends of groups closest to the places on either side."""
+    stretch = _below(places, F.col("upto"))
+    found: set[int] = set()
+    for order in (F.desc("upto"), F.asc("upto")):
+        window = Window.partitionBy("stretch").orderBy(order)
+        ranked = totals.select("upto", stretch.alias("stretch")).withColumn("rank", F.row_number().over(window))
+        found |= {row["upto"] for row in ranked.where(F.col("rank") <= nearest).collect()}
+    return found
+
+
+def largest_floor(ends: np.ndarray, shards: int, capacity: int) -> list[int]:
+    """Cuts out of ``ends`` (ascending, the last one is the total) with the largest smallest shard."""
+    points = np.concatenate(([0], ends))
+    size = points[None, :] - points[:, None]
+    allowed = (size >= 0) & (size <= capacity)
+    floor = np.where(points == 0, points[-1], -1)
+    chosen = []
+    for _ in range(shards):
+        value = np.where(allowed, np.minimum(floor[:, None], size), -1)
+        chosen.append(value.argmax(axis=0))
+        floor = value.max(axis=0)
+    at, cuts = len(points) - 1, []
+    for before in reversed(chosen):
+        cuts.append(int(points[at]))
+        at = before[at]
+    return cuts[::-1]
+
+
+def even_cuts(totals: DataFrame, shards: int, cuts: list[int], *, nearest: int = 32) -> list[int]:
+    """The cuts of the greedy fill moved next to even ones, without a shard beyond the largest it has.
+
+    The driver chooses among at most ``2 * nearest`` ends next to each even place. The greedy cuts are
+    among them, so there is always a choice.
+    """
+    if not cuts:
+        return cuts
+    total, capacity = cuts[-1], max(b - a for a, b in zip([0, *cuts], cuts))
+    places = _even_places(totals, shards, total)
+    ends = _closest_ends(totals, places, nearest) if places else set()
+    return largest_floor(np.array(sorted(ends | set(cuts)), np.int64), shards, capacity)
+
+
 def shard(
     documents: DataFrame,
     *,
@@ -126,7 +194,7 @@ def shard(
     tasks = max(context.defaultParallelism, -(-rows.count() // rows_per_task))
     groups = rows.groupBy("group").agg(F.sum("size").alias("size"), F.min("id").alias("first"))
     totals = stored(numbered(groups, ["first", "group"], {"upto": "size"}, tasks), "totals")
-    cuts = smallest_cuts(totals, shards)
+    cuts = even_cuts(totals, shards, smallest_cuts(totals, shards))
     placed = totals.select("group", "first", _below(cuts or [0], F.col("upto")).alias("shard"))
     ranked = stored(
         numbered(
