@@ -282,6 +282,21 @@ def plain_capacity(sizes, shards):
     return low
 
 
+def plain_floor(sizes, shards, capacity):
+    """Largest smallest part over all contiguous partitions within the capacity."""
+    totals = np.concatenate(([0], np.cumsum(sizes)))
+    best = {0: totals[-1]}
+    for left in range(shards, 0, -1):
+        after = {}
+        for at, floor in best.items():
+            for end in range(at, len(totals)):
+                part = totals[end] - totals[at]
+                if part <= capacity and (left > 1 or end == len(sizes)):
+                    after[end] = max(after.get(end, -1), min(floor, part))
+        best = after
+    return best[len(sizes)]
+
+
 @pytest.mark.parametrize("few", [200_000, 0])
 def test_sharding_is_smallest_and_whole(spark, monkeypatch, few):
     monkeypatch.setattr(sharding.smallest_cuts, "__kwdefaults__", {"candidates": 5, "few": few})
@@ -297,7 +312,8 @@ def test_sharding_is_smallest_and_whole(spark, monkeypatch, few):
     load = [0] * 7
     for r in found:
         load[r["shard"]] += r["size"]
-    assert max(load) == plain_capacity([size for _, size in sorted(groups.values())], 7)
+    sizes = [size for _, size in sorted(groups.values())]
+    assert max(load) == plain_capacity(sizes, 7) and min(load) == plain_floor(sizes, 7, max(load))
     by_text: dict = {}
     for r in found:
         by_text.setdefault(texts[r["id"]] or "", set()).add(r["shard"])
@@ -317,43 +333,74 @@ def test_sharding_on_awkward_tables(spark):
 # -- 6 ---------------------------------------------------------------------------------------------------
 
 
-def plain_sketch(text, width=5, fraction=0.125):
+def plain_hashes(text, width=5):
     fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = text.translate(fold).encode().split()
     shingles = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
-    hashes = {(xxhash.xxh64_intdigest(s, 42) + 2**63) % 2**64 - 2**63 for s in shingles}
-    bound = -(2**63) + fraction * 2**64
-    return {h for h in hashes if h < bound} | ({min(hashes)} if hashes else set())
+    return {(xxhash.xxh64_intdigest(s, 42) + 2**63) % 2**64 - 2**63 for s in shingles}
+
+
+def plain_sketch(hashes, least):
+    halvings = max(k for k in range(4) if k == 0 or len(hashes) >= least << k)
+    return halvings, {h for h in hashes if halvings == 0 or h < -(2**63) + 2 ** (64 - halvings)}
 
 
 def alike(a, b):
     return len(a & b) / len(a) if a else float(not b)
 
 
-@pytest.mark.parametrize("block", [4 << 20, 3000])
-def test_fingerprints_equal_plain_sketches(spark, sf, block):
+@pytest.mark.parametrize("block, least", [(4 << 20, 256), (3000, 8)])
+def test_fingerprints_equal_plain_sketches(spark, sf, block, least):
     documents = texts_of(spark, sf, 60) + [(1000, None), (1001, ""), (1002, "kürzer")]
     rows = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
-    found = {r["id"]: r for r in fingerprints.edited_fingerprints(rows, bytes_per_block=block).collect()}
+    found = {r["id"]: r for r in fingerprints.edited_fingerprints(rows, bytes_per_block=block, least=least).collect()}
     order = sorted(documents, reverse=True)
     for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
         text, after, r = text or "", after or "", found[i]
         third = len(text) // 3
         edited = text[: len(text) - third] + after[:third]
-        own, other, follower = plain_sketch(text), plain_sketch(edited), plain_sketch(after)
+        (level, own), (other_level, other) = (plain_sketch(plain_hashes(t), least) for t in (text, edited))
         assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        assert r["fingerprint"] == "".join(f"{h % 2**64:016x}" for h in sorted(own))
-        assert r["edited_fingerprint"] == "".join(f"{h % 2**64:016x}" for h in sorted(other))
-        assert (r["near_edited"], r["near_next"]) == (alike(own, other), alike(own, follower))
+        assert r["fingerprint"] == f"{level}:" + "".join(f"{h % 2**64:016x}" for h in sorted(own))
+        assert r["edited_fingerprint"] == f"{other_level}:" + "".join(f"{h % 2**64:016x}" for h in sorted(other))
+        assert (r["near_edited"], r["near_next"]) == (alike(own, plain_hashes(edited)), alike(own, plain_hashes(after)))
+
+
+def test_likeness_is_close_to_true_containment(spark, sf):
+    folder = sf.replace("sf0.001", "sf0.01")
+    documents = texts_of(spark, folder)
+    found = {r["doc_id"]: r for r in QUERIES["op6_document_fingerprints"](spark, folder).collect()}
+    order, errors = sorted(documents, reverse=True), []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        text, after = text or "", after or ""
+        third = len(text) // 3
+        own = plain_hashes(text)
+        errors.append(abs(found[i]["near_edited"] - alike(own, plain_hashes(text[: len(text) - third] + after[:third]))))
+        errors.append(abs(found[i]["near_next"] - alike(own, plain_hashes(after))))
+    assert np.mean(errors) < 0.01 and max(errors) < 0.15
+
+
+def test_a_short_text_inside_a_long_one(spark):
+    long = " ".join(f"word{k}" for k in range(20_000))
+    rows = spark.createDataFrame([(2, "word77 word78 word79 word80 word81 word82"), (1, long)], "doc_id long, text string")
+    found = {r["id"]: r for r in fingerprints.edited_fingerprints(rows).collect()}
+    assert found[2]["near_next"] == 1.0 and found[1]["near_next"] < 0.01
+    assert found[1]["fingerprint"].startswith("3:") and found[2]["fingerprint"].startswith("0:")
+    whole = rows.select("doc_id", fingerprints.sketch(F.col("text")).alias("s"))
+    pair = whole.where("doc_id = 2").select(F.col("s").alias("a")).crossJoin(whole.where("doc_id = 1").select(F.col("s").alias("b")))
+    told = pair.select(fingerprints.containment(F.col("a"), F.col("b")).alias("x"), fingerprints.containment(F.col("b"), F.col("a")).alias("y")).first()
+    assert told["x"] in (None, 1.0) and told["y"] < 0.01
 
 
 def test_sketches_merge(spark, sf):
-    documents = spark.createDataFrame([(i % 2, t) for i, t in texts_of(spark, sf, 10)], "part int, text string")
-    single = documents.select("part", fingerprints.sketch(F.col("text"), fraction=0.5).alias("sketch"))
+    documents = spark.createDataFrame([(i % 2, t) for i, t in texts_of(spark, sf, 10)] + [(2, None)], "part int, text string")
+    single = documents.select("part", fingerprints.sketch(F.coalesce("text", F.lit("")), least=16).alias("sketch"))
     merged = {r["part"]: r["sketch"] for r in fingerprints.merged(single, ["part"]).collect()}
-    for part in (0, 1):
-        own = [set(r["sketch"]) for r in single.where(F.col("part") == part).collect()]
-        assert merged[part] == sorted(set().union(*own))
+    for part in (0, 1, 2):
+        texts = [r["text"] or "" for r in documents.where(F.col("part") == part).collect()]
+        level = max(plain_sketch(plain_hashes(t), 16)[0] for t in texts)
+        union = set().union(*map(plain_hashes, texts))
+        assert (merged[part]["halvings"], merged[part]["hashes"]) == (level, sorted(h for h in union if level == 0 or h < -(2**63) + 2 ** (64 - level)))
 
 
 def test_fingerprints_on_awkward_tables(spark):
@@ -369,6 +416,14 @@ def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, host string, trust int")
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    """Thirty hosts in a row, the last of which points at a blocked one: however far, all are blocked."""
+    rows = [(k, f"https://h{k}.com/x", f'<a href="https://h{k - 1}.com/x">l</a>', "", 0) for k in range(1, 31)]
+    rows += [(0, "https://h0.com/x", '<a href="http://spam.net/">s</a>', "", 0), (99, "http://spam.net/", "", "", 0), (98, "https://calm.com/", "", "", 0)]
+    found = {r["id"]: r["verdict"] for r in url_filters.judge(pages(spark, rows)).collect()}
+    assert {i for i, verdict in found.items() if verdict == "allow"} == {98}
+
+
 def test_trust_and_distrust_flow(spark):
     good, bad = "https://www.france.org/fr/1", "http://spam.net/x"
     rows = [
