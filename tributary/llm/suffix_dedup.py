@@ -101,7 +101,7 @@ def phrases(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return owner[at], begin - begins[owner[at]], run, hashes[triggers[at]], made
 
 
-def _in_slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+def _in_slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
     ids: list[int] = []
     texts: list[bytes] = []
     size = 0
@@ -423,7 +423,7 @@ def _remover(length: int, with_kept: bool, keep: tuple[str, ...], schema: pa.Sch
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             rows, texts = [], batch.column(1).field(0)
             others = [batch.column(1).field(at) for at in range(1, len(keep) + 1)]
             for at in range(batch.num_rows):
