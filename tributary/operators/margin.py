@@ -84,6 +84,31 @@ def share(clients: DataFrame, dimension: str) -> DataFrame:
     )
 
 
+def by_dimensions(clients: DataFrame, dimensions: list[str]) -> DataFrame:
+    """Totals, weighted margin and share in revenue of every entry of several dimensions, in one pass.
+
+    Rows ``(dimensao, entrada, receita, custo, clientes, margem, participacao)``. The clients are read and
+    partially summed once for all dimensions.
+    """
+    summed = clients.groupingSets([[F.col(d)] for d in dimensions], *dimensions).agg(
+        F.sum("receita").alias("receita"),
+        F.sum("custo").alias("custo"),
+        F.count(F.lit(1)).alias("clientes"),
+        *[F.grouping(d).alias(f"_{d}") for d in dimensions],
+    )
+    dimension, entry = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name in dimensions:
+        own = F.col(f"_{name}") == 0
+        dimension = F.when(own, name).otherwise(dimension)
+        entry = F.when(own, F.col(name).cast("string")).otherwise(entry)
+    named = summed.select(dimension.alias("dimensao"), entry.alias("entrada"), "receita", "custo", "clientes")
+    # One row per entry is left, so that the totals over all of them are small work.
+    total = F.sum("receita").over(Window.partitionBy("dimensao")).cast("double")
+    return named.withColumn("margem", margin(F.col("receita"), F.col("custo"))).withColumn(
+        "participacao", F.when(total != 0, F.col("receita").cast("double") / total * 100).otherwise(F.lit(0.0))
+    )
+
+
 def dimension_values(clients: DataFrame, dimension: str) -> DataFrame:
     """Distinct entries offered by a selector."""
     return clients.select(dimension).distinct()

@@ -150,6 +150,25 @@ def group_share(spark, sf):
     return rows.withColumn("receita", F.col("receita").cast(SUMS))
 
 
+_DIMENSIONS = ["regiao", "uf", "grupo"]
+
+
+@query(
+    f"WITH {CLIENTS_SQL} "
+    + " UNION ALL ".join(
+        f"""SELECT '{d}' AS dimensao, {d} AS entrada, CAST(sum(receita) AS DECIMAL(38,4)) AS receita, CAST(sum(custo) AS DECIMAL(38,4)) AS custo,
+        count(*) AS clientes, round((CAST(sum(receita) AS DOUBLE) - CAST(sum(custo) AS DOUBLE)) / CAST(sum(receita) AS DOUBLE) * 100, 4) AS margem,
+        round(CAST(sum(receita) AS DOUBLE) / (SELECT CAST(sum(receita) AS DOUBLE) FROM clients) * 100, 4) AS participacao
+        FROM clients GROUP BY {d}"""
+        for d in _DIMENSIONS
+    )
+)
+def margin_by_all(spark, sf):
+    """Region, state and group in one pass over the clients, each entry with its margin and share."""
+    rows = _rounded(margin.by_dimensions(clients(spark, sf), _DIMENSIONS), "margem", "participacao")
+    return rows.withColumns({c: F.col(c).cast(SUMS) for c in ("receita", "custo")})
+
+
 _BAND_SQL = (
     "CASE WHEN margem > 10 THEN 'high' WHEN margem >= 5 THEN 'fair' WHEN margem >= 0 THEN 'low' ELSE 'negative' END"
 )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.flatten import expansion, flatten, flatten_freight, flatten_invoices
+from ..operators.flatten import expansion, flatten, flatten_balanced, flatten_freight, flatten_invoices
 from . import query, table
 
 
@@ -141,3 +141,26 @@ def flatten_empty(spark, sf):
     )
     flat = flatten(nested.filter("o_orderkey < 0"), {"a": ["a"]}, sequence_group="a")
     return flat.agg(F.count(F.lit(1)).alias("n"), F.lit(len(flat.columns)).alias("n_columns"))
+
+
+@query(
+    """
+    SELECT o.o_orderkey, CAST(i AS SMALLINT) AS item_seq, 'P' || CAST(o_custkey + i AS VARCHAR) AS item,
+      CASE WHEN i % 2 = 1 AND i <= 5 THEN CAST(i AS INTEGER) END AS amount, CAST(d AS INTEGER) AS due, CAST(p AS VARCHAR) AS pay
+    FROM orders o
+      LEFT JOIN (SELECT o_orderkey, unnest(generate_series(1, o_orderkey % 23)) AS i FROM orders) a ON a.o_orderkey = o.o_orderkey
+      LEFT JOIN (SELECT o_orderkey, unnest(generate_series(1, o_custkey % 5)) AS d FROM orders) b ON b.o_orderkey = o.o_orderkey
+      LEFT JOIN (SELECT o_orderkey, unnest(generate_series(1, o_orderkey % 3)) AS p FROM orders) c ON c.o_orderkey = o.o_orderkey
+    """
+)
+def flatten_shared(spark, sf):
+    """Products of lists, those of more than twenty rows cut along their widest list and shared by tasks."""
+    nested = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.expr(_sequence("o_orderkey % 23", "concat('P', o_custkey + i)", "string")).alias("item"),
+        F.expr(_sequence("least(o_orderkey % 23, 5)", "if(i % 2 = 1, i, null)", "int")).alias("amount"),
+        F.expr(f"if(o_custkey % 5 = 0, null, {_sequence('o_custkey % 5', 'i', 'int')})").alias("due"),
+        F.expr(_sequence("o_orderkey % 3", "i", "string")).alias("pay"),
+    )
+    groups = {"items": ["item", "amount"], "dues": ["due"], "pays": ["pay"]}
+    return flatten_balanced(nested, groups, sequence_group="items", most=20)
