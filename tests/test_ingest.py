@@ -251,6 +251,94 @@ def test_a_large_archive_is_read_by_many_tasks(spark, tmp_path):
     assert len({r.p for r in rows}) > 4
 
 
+@pytest.mark.parametrize("portion", [1, 3, 20_000])
+@pytest.mark.parametrize("in_front", [b"", b"#!/bin/sh\n"])
+def test_directories_are_cut_and_equal_the_librarys(spark, tmp_path, monkeypatch, portion, in_front):
+    """Any cut of a directory gives the members that the library lists: repeated names, folders, long comments."""
+    import tributary.sources.archives as A
+
+    monkeypatch.setattr(A, "ENTRIES_PER_PORTION", portion)
+    monkeypatch.setattr(A, "DIRECTORY_BUFFER", 70)
+    members = [(f"d{i % 3}/./{i % 7}.xml", b"<a>%d</a>" % i) for i in range(23)] + [("ü.xml", b"<u/>"), ("folder/", b""), ("n.txt", b"n")]
+    with pytest.warns(UserWarning):
+        zip_of(tmp_path / "a.zip", members)
+    with zipfile.ZipFile(tmp_path / "a.zip", "a") as archive:
+        archive.comment = b"PK\x05 a comment " * 200
+    zip_of(tmp_path / "none.zip", [(f"{i}.txt", b"") for i in range(5)])
+    zip_of(tmp_path / "evil.zip", [("a.xml", b"<a/>"), ("b.xml", b"<b/>"), ("../e.xml", b"<e/>"), ("c.xml", b"<c/>"), ("d.txt", b"")])
+    (tmp_path / "broken.zip").write_bytes(b"PK\x05\x06" + b"\xff" * 30)
+    (tmp_path / "void.zip").write_bytes(b"PK\x05\x06" + bytes(18))
+    if in_front:
+        (tmp_path / "a.zip").write_bytes(in_front + (tmp_path / "a.zip").read_bytes())
+    with zipfile.ZipFile(tmp_path / "a.zip") as archive:
+        expected = {n.replace("/./", "/"): archive.read(n) for n in archive.namelist() if n.endswith(".xml")}
+    files = list_files(spark, str(tmp_path), "s")
+    for work in (None, str(tmp_path / "work")):
+        rows = read_entries(list_entries(files, 2, work), 2).collect()
+        found = {}
+        for r in rows:
+            found.setdefault(r.source_file_path.rsplit("/", 1)[1], []).append(r)
+        assert {r.source_entry_path: bytes(r.content) for r in found["a.zip"]} == expected and len(found["a.zip"]) == len(expected)
+        assert [(r.method, r.error_type) for n in ("none.zip", "void.zip") for r in list_entries(files, 2, work).where(
+            F.col("source_file_path").endswith(n)).collect()] == [(A.NO_DOCUMENTS, None)] * 2
+        assert [r.error_type for r in found["evil.zip"]] == ["ValueError"] and [r.error_type for r in found["broken.zip"]] == ["BadZipFile"]
+
+
+def test_archives_with_more_members_than_the_format_first_had_room_for(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "many.zip", "w") as archive:
+        for i in range(66_000):
+            archive.writestr(f"{i}.xml" if i % 600 == 0 else f"{i}.txt", b"")
+    entries = list_entries(list_files(spark, str(tmp_path), "s"), 1, str(tmp_path / "work"))
+    assert sorted(int(r[0][:-4]) for r in entries.select("source_entry_path").collect()) == list(range(0, 66_000, 600))
+    portions = spark.read.parquet(str(tmp_path / "work/portions"))
+    assert portions.count() == 4
+
+
+def test_a_closed_folder_is_an_error_of_its_source_and_the_rest_goes_on(spark, inputs, monkeypatch):
+    """Root may look into any folder, so the listing itself is made to fail for one."""
+    from tributary.sources import files as sources
+
+    inside = sources._inside
+
+    def closed(folder):
+        if folder.endswith("/sub"):
+            raise PermissionError(13, "closed", folder)
+        return inside(folder)
+
+    monkeypatch.setattr(sources, "_inside", closed)
+    o = options(inputs, flatten=False)
+    result = ingest(spark, o)
+    assert result.had_errors and counts(result)["importados"]["errors"] == 1 and counts(result)["processados"]["errors"] == 0
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A"]
+    monkeypatch.setattr(sources, "_inside", inside)
+    ingest(spark, replace(o, now=NOW + dt.timedelta(hours=1)))
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B"]
+
+
+def test_the_ledger_is_compacted_and_unchanged_folders_are_not_looked_up(spark, inputs, monkeypatch):
+    monkeypatch.setattr(state, "RUNS_BEFORE_COMPACTION", 2)
+    monkeypatch.setattr(state.compact_ledger, "__defaults__", (2,))
+    o = options(inputs, flatten=False)
+    asked = []
+    read = state.read_ledger
+
+    def watched(spark, path, parts=None):
+        asked.append(parts)
+        return read(spark, path, parts)
+
+    monkeypatch.setattr(state, "read_ledger", watched)
+    for run in range(5):
+        if run == 3:
+            (inputs / "importados" / "sub" / "three.xml").write_bytes(invoice(key="F" * 44))
+        ingest(spark, replace(o, now=NOW + dt.timedelta(hours=run)))
+    # Folders with retried archives and with files that stay empty are looked up each time, settled ones are not.
+    assert len(asked) == 5 and len(asked[3]) >= len(asked[4])
+    names = sorted(r[0].rsplit("/", 1)[1] for r in read(spark, o.ledger_path).select("source_file_path").distinct().collect())
+    assert names == ["old.xml", "one.xml", "three.xml", "two.xml", "way.xml", "z.zip"]
+    assert (inputs / "state/ledger/_base/_manifest").exists()
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B", "F"]
+
+
 def test_damaged_member_does_not_lose_the_archive(spark, tmp_path):
     zip_of(tmp_path / "z.zip", [("a.xml", b"<a>" + bytes(range(32, 127)) * 20 + b"</a>"), ("b.xml", b"<b/>")])
     data = bytearray((tmp_path / "z.zip").read_bytes())

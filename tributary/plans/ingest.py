@@ -137,9 +137,8 @@ def documents_of(spark: SparkSession, files: DataFrame, work: str) -> DataFrame:
     """Documents of listed files with their bytes; the listing is fixed in a work table first."""
     entries_path = f"{work}/entries"
     archives = files.filter(F.col("source_file_type") == "zip").count()
-    list_entries(files, max(1, math.ceil(archives / ARCHIVES_PER_TASK))).write.mode(
-        "overwrite"
-    ).parquet(entries_path)
+    listed = list_entries(files, max(1, math.ceil(archives / ARCHIVES_PER_TASK)), f"{work}/directories")
+    listed.write.mode("overwrite").parquet(entries_path)
     entries = spark.read.parquet(entries_path).filter(
         F.col("method").isNull() | (F.col("method") != NO_DOCUMENTS)
     )
