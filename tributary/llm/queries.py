@@ -94,7 +94,7 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.crc32(F.col("id").cast("string")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string")) % 4 == 2, F.lit(False))
     scores = quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), training=~held_out)
     return scores.select(
         F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
