@@ -748,3 +748,73 @@ def test_places_of_marked_bytes():
     at = np.arange(1001)
     assert ends.rank(at).tolist() == np.concatenate(([0], np.cumsum(data == 10))).tolist()
     assert starts.rank(at).tolist() == np.concatenate(([0], np.cumsum(data & 0xC0 != 0x80))).tolist()
+
+
+# -- 2, 4 and 8 against plain fits and weights -------------------------------------------------------------
+
+
+def test_licence_query_equals_sql_with_ordinary_words(spark, tmp_path):
+    """Headers in the words of ordinary files: their weights need document frequencies of all terms."""
+    from compare import expected, rows_of
+
+    from tributary.llm.queries import ORACLES
+
+    rng = random.Random(4)
+    words = [f"word{k}" for k in range(60)]
+    header = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    texts = []
+    for i in range(300):
+        body = " ".join(rng.choice(words) for _ in range(30))
+        extra = " ".join(rng.choice(words) for _ in range(rng.randrange(8)))
+        texts.append((i, f"{body}\n{header} {extra}\n{body}" if i % 4 == 0 else f"{body}\nReleased under the MIT License." if i % 7 == 0 else body, "en", "s", 1))
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    found = rows_of(QUERIES["op4_license_scans"](spark, str(tmp_path)).toArrow())
+    assert found == expected(None, ORACLES["op4_license_scans"], documents=df.toArrow())
+
+
+def test_ordinal_fit_is_a_maximum_of_the_likelihood():
+    """No step in any direction raises the penalised likelihood that the fit maximises, as differences show."""
+    rng = np.random.default_rng(2)
+    rows = [sorted(set(rng.integers(0, 5, 3).tolist())) for _ in range(400)]
+    margin = np.array([np.array([1.5, 0.5, 0.0, -0.5, -1.5])[r].sum() for r in rows]) + rng.logistic(size=400)
+    grades = np.digitize(margin, [-1.0, 1.0])
+    weights, cuts = toxicity.fit_ordinal(rows, grades, np.ones(400), 5)
+
+    def likelihood(w, c):
+        bounds = np.concatenate(([-np.inf], c, [np.inf]))
+        eta = np.array([w[r].sum() for r in rows])
+        upper, lower = 1 / (1 + np.exp(-(bounds[grades + 1] - eta))), 1 / (1 + np.exp(-(bounds[grades] - eta)))
+        return np.log(upper - lower).mean()
+
+    best = likelihood(weights, cuts)
+    for size in (0.3, 0.6):
+        for k in range(5):
+            for sign in (-1, 1):
+                moved = weights.copy()
+                moved[k] += sign * size
+                assert likelihood(moved, cuts) < best + 1e-3
+        assert likelihood(weights, cuts + size) < best + 1e-3 and likelihood(weights, cuts - size) < best + 1e-3
+
+
+def test_discriminant_fit_equals_a_plain_one(spark):
+    """Means and shrunk covariances out of sums that Spark adds up, against numpy over all rows at once."""
+    rng = np.random.default_rng(8)
+    width = len(quality.STATISTICS)
+    x = rng.normal(size=(500, width)) @ rng.normal(size=(width, width))
+    label = (rng.random(500) < 0.3).astype(int)
+    rows = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, label)], "x array<double>, label int").repartition(7)
+    sums = quality.class_sums(rows)
+    for k in (0, 1):
+        own = x[label == k]
+        assert sums[k][0] == len(own) and np.allclose(sums[k][1], own.sum(axis=0)) and np.allclose(sums[k][2], own.T @ own)
+    model = quality.fit(rows)
+    for k in (0, 1):
+        assert np.allclose(model.means[k], x[label == k].mean(axis=0))
+    # Scores are the log-density differences of the two normal distributions that the fit describes.
+    covariances = [factor @ factor.T for factor in model.factors]
+    odds = np.full(len(x), model.prior)
+    for sign, mean, covariance in zip((-1, 1), model.means, covariances):
+        gap = x - mean
+        odds += sign * -0.5 * (np.einsum("ij,jk,ik->i", gap, np.linalg.inv(covariance), gap) + np.linalg.slogdet(covariance)[1])
+    assert np.allclose(model.scores(x), 1 / (1 + np.exp(-np.clip(odds, -40, 40))))

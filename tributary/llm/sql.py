@@ -88,7 +88,10 @@ _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 
 
 def _op4(threshold: float = 0.6) -> str:
-    """All lines against all templates; the telling terms of the operator only save work."""
+    """All lines against all templates, weighted by document frequencies of all terms.
+
+    The telling terms of the operator only save work.
+    """
     from .licences import TEMPLATES
 
     values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
@@ -106,11 +109,11 @@ files AS (
 ), wanted AS (
   SELECT template, name, term, count(*) AS tf FROM (SELECT template, name, unnest({terms('statement')}) AS term FROM templates) GROUP BY ALL
 ), having_term AS (
-  SELECT term, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({terms('text')}) AS term FROM files)
-  WHERE term IN (SELECT term FROM wanted) GROUP BY term
+  SELECT term, count(*) AS n FROM (SELECT DISTINCT path, unnest({terms('text')}) AS term FROM files) GROUP BY term
 ), total AS (SELECT count(*) AS files FROM files
 ), scales AS (
-  SELECT DISTINCT term, ln((1 + files) / (1.0::DOUBLE + coalesce(n, 0))) + 1 AS idf FROM wanted LEFT JOIN having_term USING (term), total
+  SELECT term, ln((1 + files) / (1.0::DOUBLE + coalesce(n, 0))) + 1 AS idf
+  FROM (SELECT term FROM wanted UNION SELECT term FROM having_term) LEFT JOIN having_term USING (term), total
 ), weights AS (
   SELECT template, name, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY template)) AS weight FROM wanted JOIN scales USING (term)
 ), blocks AS (
@@ -119,8 +122,7 @@ files AS (
 ), counted AS (
   SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({terms('block')}) AS term FROM blocks) GROUP BY ALL
 ), norms AS (
-  SELECT path, line, sqrt(sum(CASE WHEN idf IS NULL THEN tf * (ln(1.0::DOUBLE + files) + 1) ** 2 ELSE (tf * idf) ** 2 END)) AS norm
-  FROM counted LEFT JOIN scales USING (term), total GROUP BY path, line
+  SELECT path, line, sqrt(sum((tf * idf) ** 2)) AS norm FROM counted JOIN scales USING (term) GROUP BY path, line
 ), close AS (
   SELECT path, name, round(sum(tf * idf * weight) / any_value(norm), 4) AS cosine
   FROM counted JOIN scales USING (term) JOIN weights USING (term) JOIN norms USING (path, line) GROUP BY path, line, template, name
@@ -187,7 +189,10 @@ _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 
 
 def _op4(threshold: float = 0.6) -> str:
-    """All lines against all templates; the telling terms of the operator only save work."""
+    """All lines against all templates, weighted by document frequencies of all terms.
+
+    The telling terms of the operator only save work.
+    """
     from .licences import TEMPLATES
 
     values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
@@ -205,11 +210,11 @@ files AS (
 ), wanted AS (
   SELECT template, name, term, count(*) AS tf FROM (SELECT template, name, unnest({terms('statement')}) AS term FROM templates) GROUP BY ALL
 ), having_term AS (
-  SELECT term, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({terms('text')}) AS term FROM files)
-  WHERE term IN (SELECT term FROM wanted) GROUP BY term
+  SELECT term, count(*) AS n FROM (SELECT DISTINCT path, unnest({terms('text')}) AS term FROM files) GROUP BY term
 ), total AS (SELECT count(*) AS files FROM files
 ), scales AS (
-  SELECT DISTINCT term, ln((1 + files) / (1.0::DOUBLE + coalesce(n, 0))) + 1 AS idf FROM wanted LEFT JOIN having_term USING (term), total
+  SELECT term, ln((1 + files) / (1.0::DOUBLE + coalesce(n, 0))) + 1 AS idf
+  FROM (SELECT term FROM wanted UNION SELECT term FROM having_term) LEFT JOIN having_term USING (term), total
 ), weights AS (
   SELECT template, name, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY template)) AS weight FROM wanted JOIN scales USING (term)
 ), blocks AS (
@@ -218,8 +223,7 @@ files AS (
 ), counted AS (
   SELECT path, line, term, count(*) AS tf FROM (SELECT path, line, unnest({terms('block')}) AS term FROM blocks) GROUP BY ALL
 ), norms AS (
-  SELECT path, line, sqrt(sum(CASE WHEN idf IS NULL THEN tf * (ln(1.0::DOUBLE + files) + 1) ** 2 ELSE (tf * idf) ** 2 END)) AS norm
-  FROM counted LEFT JOIN scales USING (term), total GROUP BY path, line
+  SELECT path, line, sqrt(sum((tf * idf) ** 2)) AS norm FROM counted JOIN scales USING (term) GROUP BY path, line
 ), close AS (
   SELECT path, name, round(sum(tf * idf * weight) / any_value(norm), 4) AS cosine
   FROM counted JOIN scales USING (term) JOIN weights USING (term) JOIN norms USING (path, line) GROUP BY path, line, template, name
