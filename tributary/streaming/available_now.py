@@ -1,20 +1,51 @@
-"""Ingestion driven by a file stream that drains what is there and stops.
+"""Ingestion driven by a stream of listed files that drains what is there and stops.
 
-The stream's own checkpoint remembers delivered files; each micro-batch runs the same job as a
-batch run, over the files of that batch, so the ledger, the rules and the tables are the same.
+The stream reads a queue: tables of listed files, each small enough for one micro-batch. Listing itself is
+done by tasks, as in a batch run, so every name counts, hidden ones too, and what is new is found by a
+join with the queue. The stream's own checkpoint remembers tables of the queue, a few names for each call,
+and no names of documents. Each micro-batch runs the same job as a batch run over the files of its table,
+so the ledger, the rules and the results are the same.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..plans.ingest import IngestOptions, ingest
-from ..sources.files import stream_files
+from ..plans.work import names_in, remove_folder, work_folder
+from ..sources.files import list_files
 
 FILES_PER_BATCH = 1_000_000
+BYTES_PER_BATCH = 256 << 30
+KEY = ["source", "source_file_path", "fingerprint"]
+
+
+def queue_files(
+    spark: SparkSession,
+    files: DataFrame,
+    queue: str,
+    files_per_batch: int = FILES_PER_BATCH,
+    bytes_per_batch: int = BYTES_PER_BATCH,
+) -> int:
+    """Adds files that the queue does not hold yet, dealt to as many tables as their number and bytes ask for."""
+    if names_in(spark, queue):
+        files = files.join(spark.read.schema(files.schema).parquet(queue), KEY, "left_anti").select(*files.columns)
+    size = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    if size["n"]:
+        batches = max(math.ceil(size["n"] / files_per_batch), math.ceil(size["bytes"] / bytes_per_batch))
+        # Dealt round robin: tables of one queue call have nearly as many files.
+        files.repartition(batches).write.mode("append").parquet(queue)
+    return size["n"]
+
+
+def queued_files(spark: SparkSession, queue: str, schema: T.StructType) -> DataFrame:
+    """The queue as a stream, a table at a time."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(queue)
 
 
 def ingest_stream(
@@ -22,16 +53,22 @@ def ingest_stream(
     options: IngestOptions,
     checkpoint_path: str,
     files_per_batch: int = FILES_PER_BATCH,
+    bytes_per_batch: int = BYTES_PER_BATCH,
 ) -> None:
     """Processes all files not delivered before and returns.
 
-    A micro-batch that is repeated after a failure is a run of its own: files that the first attempt
-    got into the ledger are skipped, the others are read again and absorbed by keep-latest.
+    A call that broke leaves its tables in the queue, and the next one goes on with them. A micro-batch that
+    is repeated after a failure is a run of its own: files that the first attempt got into the ledger are
+    skipped, the others are read again and absorbed by keep-latest.
     """
-    files = None
-    for source in options.sources:
-        listed = stream_files(spark, source.root, source.name, files_per_batch)
-        files = listed if files is None else files.union(listed)
+    queue = f"{checkpoint_path.rstrip('/')}/queue"
+    work = f"{work_folder(spark, options.state_path)}/listing-{uuid.uuid4().hex}"
+    listed = [list_files(spark, s.root, s.name, f"{work}/{s.name}") for s in options.sources]
+    files = reduce(DataFrame.unionByName, listed)
+    queue_files(spark, files, queue, files_per_batch, bytes_per_batch)
+    remove_folder(spark, work)
+    if not names_in(spark, queue):
+        return
 
     def run(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{batch_id:08d}-{uuid.uuid4().hex[:8]}"
@@ -40,9 +77,9 @@ def ingest_stream(
             raise RuntimeError(f"micro-batch {batch_id} had errors; it will be repeated")
 
     query = (
-        files.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint_path)
+        queued_files(spark, queue, files.schema).writeStream.foreachBatch(run)
+        .option("checkpointLocation", f"{checkpoint_path.rstrip('/')}/stream")
         .trigger(availableNow=True)
         .start()
-    )
+    )
     query.awaitTermination()
