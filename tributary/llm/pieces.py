@@ -296,7 +296,7 @@ def _encoder_of(key: str, shared) -> Encoder:
     return _ENCODERS[key]
 
 
-def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Stretches of rows with a bounded number of bytes, or a single row."""
     start, size = 0, 0
     for at, length in enumerate(texts.cast(pa.large_binary()).fill_null(b"")):
