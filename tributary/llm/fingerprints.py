@@ -50,7 +50,7 @@ def bound_of(halvings: Column) -> Column:
 
 
 def distinct_hashes(text: Column, width: int = 5) -> Column:
-    return F.array_sort(F.array_distinct(shingle_hashes(text, width)))
+    return F.array_distinct(shingle_hashes(text, width))
 
 
 def halvings_of(hashes: Column, least: int = LEAST) -> Column:
@@ -62,8 +62,9 @@ def halvings_of(hashes: Column, least: int = LEAST) -> Column:
 
 
 def below(hashes: Column, halvings: Column) -> Column:
-    """The hashes that a sketch with this fraction holds."""
-    return F.transform(F.array(bound_of(halvings)), lambda bound: F.filter(hashes, lambda hash: (hash < bound) | (halvings == 0)))[0]
+    """The hashes that a sketch with this fraction holds, sorted. Only these are sorted, never all of a text."""
+    kept = F.transform(F.array(bound_of(halvings)), lambda bound: F.filter(hashes, lambda hash: (hash < bound) | (halvings == 0)))
+    return F.array_sort(kept[0])
 
 
 def sketch(text: Column, *, width: int = 5, least: int = LEAST) -> Column:
