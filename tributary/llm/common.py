@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..plans.work import work_folder
+from ..plans.work import CHECKPOINT_SETTING, remove_folder, work_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_BLANKS = r"[\x20\x09-\x0D]+"
@@ -33,9 +34,26 @@ def described(df: DataFrame, names: tuple[str, ...]) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the cluster, else one in the warehouse; both are shared by all executors."""
+    """The folder named by the cluster, else one in the warehouse.
+
+    A warehouse in a local folder is one of the driver alone, so on a cluster it is refused.
+    """
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    return work_folder(spark, warehouse)
+    folder = work_folder(spark, warehouse)
+    local = folder.startswith(warehouse.rstrip("/")) and urlparse(warehouse).scheme in ("", "file")
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share, {folder} is local")
+    return folder
+
+
+#: Tables written by this session.
+_STORED: list[str] = []
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Removes all tables that operators of this session wrote between steps; results not yet written are lost."""
+    while _STORED:
+        remove_folder(spark, _STORED.pop())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -43,6 +61,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
