@@ -6,7 +6,7 @@ One run makes these jobs:
    name the documents inside them         -> ``entries`` work table
 2. read and parse each document exactly once                        -> ``documents`` work table
 3. per output table: rank narrow rows, write the buckets that get rows, then the manifest
-4. quarantine and run counters from narrow columns of ``documents``
+4. quarantine from narrow columns of ``documents``; run counters were observed while it was written
 5. ledger, only for sources without errors, after their tables were written; folders without news
 6. flat copies of the months that changed
 
@@ -24,7 +24,7 @@ import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import fields as X
 from ..operators import metrics, rules, state
@@ -227,33 +227,37 @@ def _kept(rows: DataFrame, path: str) -> DataFrame:
 
 
 def _counts(
-    documents: DataFrame, options: IngestOptions, scanned: DataFrame, pending: DataFrame, closed: DataFrame | None
-) -> DataFrame:
-    """Counters per source: files scanned and skipped, documents per outcome, errors, months written.
+    spark: SparkSession, options: IngestOptions, observed: dict[str, int], scanned: DataFrame, pending: DataFrame, closed: DataFrame | None
+) -> list[dict]:
+    """Counters per source that was scanned: files, documents per outcome, errors, months written.
 
-    A folder that could not be listed is an error of its source.
+    A folder that could not be listed is an error of its source. Each of the inputs has a row per source.
     """
-    broken_archive = (F.col("source_file_type") == "zip") & (F.col("status") == "corrupt")
-    errors = documents.groupBy("source").agg(
-        F.count_if(
-            (F.col("status") == "unreadable") | (broken_archive & F.lit(options.strict_archives))
-        ).alias("errors"),
-        F.count_if(broken_archive & F.lit(options.strict_archives)).alias("broken"),
-    )
-    if closed is not None:
-        folders = closed.groupBy("source").agg(F.count(F.lit(1)).alias("closed"))
-        errors = errors.join(folders, "source", "full").na.fill(0).withColumn("errors", F.col("errors") + F.col("closed")).drop("closed")
-        scanned = scanned.join(folders.select("source"), "source", "full").na.fill(0)
-    return (
-        scanned.join(metrics.outcome_counts(documents).drop("skipped"), "source", "left")
-        .join(errors, "source", "left")
-        .join(pending.groupBy("source").agg(F.count(F.lit(1)).alias("pending")), "source", "left")
-        .na.fill(0)
+    files = {r["source"]: r.asDict() for r in scanned.collect()}
+    waiting = {r["source"]: r["count"] for r in pending.groupBy("source").count().collect()}
+    shut = {r["source"]: r["count"] for r in closed.groupBy("source").count().collect()} if closed is not None else {}
+    names = [s.name for s in options.sources]
+    months = metrics.observed_months(observed, names)
+    rows = []
+    for at, name in enumerate(names):
+        if name not in files and name not in shut:
+            continue
+        row = {"source": name, "total": 0, "xml": 0, "zip": 0} | files.get(name, {})
+        row |= {status: observed.get(f"{at}|{status}", 0) for status in metrics.STATUSES}
+        broken = observed.get(f"{at}|broken", 0) if options.strict_archives else 0
+        row["months"] = sorted({month for kind in KINDS for month in months.get((name, kind), {})})
+        row |= {"errors": observed.get(f"{at}|unreadable", 0) + broken + shut.get(name, 0), "broken": broken}
         # Known by the ledger or held in quarantine.
-        .withColumn("skipped", F.col("total") - F.col("pending"))
-        .drop("pending")
-        .withColumn("months", F.coalesce("months", F.array().cast("array<string>")))
-    )
+        row["skipped"] = row["total"] - waiting.get(name, 0)
+        rows.append(row)
+    return rows
+
+
+COUNTS_DDL = (
+    "source string, total bigint, xml bigint, zip bigint, ok bigint, filtered bigint, empty bigint, no_body bigint, corrupt bigint, "
+    "months array<string>, errors bigint, skipped bigint"
+)
+KINDS = ("nfe", "cte")
 
 
 def _pending(
@@ -295,22 +299,18 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
 
     typed = typed_documents(documents_of(spark, pending, work), options)
     documents_path = f"{work}/documents"
+    names = [source.name for source in options.sources]
+    counters = Observation("documents")
     rows = both_rows(typed, "status = 'ok'", NARROW)
+    rows = rows.observe(counters, *metrics.observed_counters(names, list(KINDS), options.window))
     # Each output table reads the folder of its source and kind, and no other.
     rows.write.partitionBy("source", "kind").mode("overwrite").parquet(documents_path)
     documents = spark.read.schema(rows.schema).parquet(documents_path)
-
-    # One row per source and month: bounded by the window, whatever the number of documents.
-    present = (
-        documents.filter(F.col("status") == "ok")
-        .groupBy("source", "kind", X.MONTH_COLUMN)
-        .count()
-        .collect()
-    )
-    # One row per source.
-    counts = _kept(_counts(documents, options, metrics.scan_counts(listing), pending, closed), f"{work}/counts")
-    erring = counts.filter("errors > 0").select("source", "broken").collect()
-    failed = {r["source"] for r in erring if r["broken"]}
+    observed = counters.get
+    present = metrics.observed_months(observed, names)
+    counts = _counts(spark, options, observed, metrics.scan_counts(listing), pending, closed)
+    erring = [row["source"] for row in counts if row["errors"]]
+    failed = {row["source"] for row in counts if row["broken"]}
 
     tables = []
     for source in options.sources:
@@ -319,9 +319,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
             targets.append(("cte", source.freight_table, source.freight_source))
         for kind, path, name in targets:
             tables.append((path, kind))
-            new_rows = {
-                r[X.MONTH_COLUMN]: r["count"] for r in present if (r["source"], r["kind"]) == (source.name, kind)
-            }
+            new_rows = present.get((source.name, kind))
             if not new_rows:
                 continue
             try:
@@ -351,7 +349,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
 
     flat_failed = flatten_tables(spark, tables, options.window) if options.flatten else False
     had_errors = bool(failed or erring or missing or flat_failed)
-    summary = counts.drop("broken").withColumns(
+    summary = spark.createDataFrame([{k: v for k, v in row.items() if k != "broken"} for row in counts], COUNTS_DDL).coalesce(1).withColumns(
         {
             "run_id": F.lit(run_id),
             "ran_at": at,
@@ -364,7 +362,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     return RunResult(
         run_id,
         had_errors,
-        sorted({r[X.MONTH_COLUMN] for r in present}),
+        sorted({month for months in present.values() for month in months}),
         spark.read.parquet(f"{options.metrics_path}/run_id={run_id}"),
         tuple(missing),
     )
