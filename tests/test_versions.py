@@ -201,3 +201,25 @@ def test_flat_copy_follows_by_bucket(spark, tmp_path, monkeypatch):
     add({**sized(1, 1, 1, 0, key="only"), "ref_aaaamm": "202602"}, mode="replace")
     flatten_changes(spark, path, "nfe", window)
     assert flat_equals_source() and flatten_changes(spark, path, "nfe", window) == 0
+
+
+def test_positions_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Files of positions are small for their number: going by bytes, Spark sent millions through the driver."""
+    rows = [(f"k{i % 20}", i, f"{i}", "s", "202601", "wide") for i in range(60)]
+    new = V.located(spark.createDataFrame(rows, SCHEMA).repartition(3), f"{tmp_path}/new")
+    losing = V.losing_positions(new, "key", ["source", "ref_aaaamm"], ["stamp", "tie"])
+    plan = losing._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and losing.count() == 40
+
+    plans = []
+    write = V.write_buckets
+
+    def watched(rows, path, label, sort_by, column):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows, path, label, sort_by, column)
+
+    monkeypatch.setattr(V, "write_buckets", watched)
+    monkeypatch.setattr(V, "BROADCAST_ROWS", 10)
+    merge(spark, tmp_path, rows, str(tmp_path / "table"))
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+    assert len(stored(spark, str(tmp_path / "table"))) == 20

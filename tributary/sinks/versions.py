@@ -239,7 +239,13 @@ def losing_positions(narrow: DataFrame, key: str, scope: list[str], newest_first
     different, so a key that holds a large part of the rows gathers nowhere.
     """
     newest = keep_latest(narrow, key, scope, [*newest_first, FILE, ROW]).select(FILE, ROW)
-    return narrow.select(FILE, ROW).join(newest, [FILE, ROW], "left_anti")
+    return narrow.select(FILE, ROW).join(_shuffled(newest), [FILE, ROW], "left_anti")
+
+
+def _shuffled(places: DataFrame) -> DataFrame:
+    """Positions to be joined by a shuffle. Their files are small for their number, as names and row numbers
+    compress well, so Spark, which goes by bytes, would broadcast millions of them through the driver."""
+    return places.hint("merge")
 
 
 def merge_version(
@@ -292,7 +298,7 @@ def merge_version(
     losers = spark.read.schema(f"{FILE} string, {ROW} bigint").parquet(work)
     count = losers.count()
     if count:
-        both = both.join(F.broadcast(losers) if count <= BROADCAST_ROWS else losers, [FILE, ROW], "left_anti")
+        both = both.join(F.broadcast(losers) if count <= BROADCAST_ROWS else _shuffled(losers), [FILE, ROW], "left_anti")
     label = new_label(base)
     folder = write_buckets(both.select(*schema.fieldNames(), BUCKET), path, label, key, column)
 
