@@ -400,3 +400,24 @@ def test_quarantine_counts_attempts_and_cuts_messages(spark):
         files(spark, ("a", "/f", None, "x" * 40, "xml"), ("a", "/f", None, "x" * 40, "zip"), ("a", "/h", None, "x" * 40, "xml")),
         state.upsert_quarantine(old))
     assert sorted((r.source_file_path, r.source_file_type) for r in held.collect()) == [("/f", "zip"), ("/h", "xml")]
+
+
+def test_files_of_equal_texts_take_one_place_on_disk(spark, tmp_path, monkeypatch):
+    """Nine million files of four bytes took a block of the disk each."""
+    from tributary.queries import packing
+    from tributary.sources.files import list_files
+
+    def write(rows, folder, shared):
+        df = spark.createDataFrame(rows, "entry string, text string")
+        return packing.write_files(df, str(tmp_path / folder), 1, shared=shared)
+
+    rows = [(f"{n % 3}/{n}.xml", "<a/>" if n < 40 else f"<b>{n}</b>") for n in range(42)] + [("0/0.xml", "<a/>")]
+    for attempt in range(2):  # a repeated task finds the names of the first attempt
+        assert write(rows, "shared", True) == write(rows, "single", False) == 43
+    places = {name: {f.stat().st_ino for f in (tmp_path / name).rglob("*.xml")} for name in ("shared", "single")}
+    assert len(places["single"]) == 42 and len(places["shared"]) <= 5
+    texts = {name: {str(f.relative_to(tmp_path / name)): f.read_text() for f in (tmp_path / name).rglob("*.xml")} for name in ("shared", "single")}
+    assert texts["shared"] == texts["single"] == dict(rows)
+    listed = [list_files(spark, str(tmp_path / name), "s", str(tmp_path / f"work-{name}")) for name in ("shared", "single")]
+    assert [sorted(r["length"] for r in files.collect()) for files in listed][0] == sorted(len(t) for t in dict(rows).values())
+    assert listed[0].count() == listed[1].count() == 42
