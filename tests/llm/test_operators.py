@@ -207,6 +207,24 @@ def test_suffix_dedup_of_a_trigger_beyond_the_bound():
     assert set().union(*shares) == whole and sum(map(len, shares)) == len(whole) == run.sum()
 
 
+def test_suffix_dedup_sends_few_bytes_a_phrase():
+    """Places of phrases, in byte planes, compress to about their telling bytes (14 bytes a phrase plain)."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(300)]
+    ids = [rng.randrange(50_000) for _ in texts]
+    batch = pa.RecordBatch.from_pydict({"doc": ids, "text": texts})
+    rows = list(suffix_dedup._parser(50, 16)(iter([batch])))
+    columns = ["doc", "start", "run"]
+    count = sum(len(data) for row in rows for data in row.column("run").to_pylist()) // 2
+    packed = sum(len(pa.compress(data, "lz4", asbytes=True)) for row in rows for name in columns for data in row.column(name).to_pylist())
+    assert packed < 9 * count
+    for kind, values in ((np.int64, [-(1 << 63), -1, 0, 7, (1 << 63) - 1]), (np.int32, [5, 1 << 30]), (np.int16, [49])):
+        values = np.array(values, kind)
+        assert (suffix_dedup._from_planes(suffix_dedup._planes(values), kind) == values).all()
+
+
 def test_suffix_dedup_on_awkward_tables(spark):
     rows = remove_repeats(awkward(spark), keep=("text", "start")).collect()
     found = {(r["doc"], r["n_bytes"]): r["n_removed"] for r in rows}

@@ -42,7 +42,7 @@ WORD = 20
 _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _PLACE_BITS = np.uint64(32)
 
-PHRASES = "part int, trigger array<int>, phrase array<bigint>, doc array<bigint>, start array<int>, run array<smallint>"
+PHRASES = "part int, trigger array<int>, phrase array<bigint>, doc binary, start binary, run binary"
 SPANS = "doc bigint, start int, run smallint, open boolean, key bigint, hot boolean"
 #: Strings of one trigger that one task compares; those of a trigger with more are dealt by their own bytes.
 HOT_STRINGS = 1 << 16
@@ -118,11 +118,20 @@ def _in_slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterat
         yield ids, texts
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The lowest bytes of all values, then the next ones: high bytes are alike and compress to nothing."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 def _parser(length: int, parts: int):
     schema = pa.schema(
         [
             ("part", pa.int32()), ("trigger", pa.list_(pa.int32())), ("phrase", pa.list_(pa.int64())),
-            ("doc", pa.list_(pa.int64())), ("start", pa.list_(pa.int32())), ("run", pa.list_(pa.int16())),
+            ("doc", pa.binary()), ("start", pa.binary()), ("run", pa.binary()),
         ]
     )
 
@@ -152,11 +161,11 @@ def _parser(length: int, parts: int):
                     for name, v in (
                         ("trigger", np.zeros(0, np.int32) if side else (trigger[where] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         ("phrase", np.zeros(0, np.int64) if side else phrase[where].view(np.int64)),
-                        ("doc", doc[where]),
-                        ("start", start[where].astype(np.int32)),
-                        ("run", run[where].astype(np.int16)),
                     )
                 ]
+                cuts = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+                for values in (doc[where], start[where].astype(np.int32), run[where].astype(np.int16)):
+                    lists.append(pa.array([_planes(values[a:b]) for a, b in cuts], pa.binary()))
                 made = pa.RecordBatch.from_arrays([pa.array(part[places[:-1]], pa.int32()), *lists], schema=schema)
                 sizes = np.diff(offsets)
                 yield made if sizes.all() else made.filter(pa.array(sizes > 0))
@@ -185,8 +194,11 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: list[list[np.ndarray]] = []
     for batch in batches:
         keyed = np.array([len(row) for row in batch.column(1)], np.int64)
-        sizes = np.array([len(row) for row in batch.column(3)], np.int64)
-        values = [_flat(batch, number) for number in (3, 4, 5)]
+        values = [
+            np.concatenate([np.zeros(0, kind), *(_from_planes(data, kind) for data in batch.column(number).to_pylist())])
+            for number, kind in ((3, np.int64), (4, np.int32), (5, np.int16))
+        ]
+        sizes = np.array([len(row.as_buffer()) // 8 for row in batch.column(3)], np.int64)
         passing = np.repeat(keyed == 0, sizes)
         if passing.any():
             yield _spans(*(v[passing] for v in values), False)
