@@ -225,6 +225,30 @@ def test_suffix_dedup_sends_few_bytes_a_phrase():
         assert (suffix_dedup._from_planes(suffix_dedup._planes(values), kind) == values).all()
 
 
+def test_suffix_dedup_shuffles_packed_texts_once(spark):
+    """Texts go through the shuffle compressed, spans as one number each."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(300)) for _ in range(40)] + [None, "", "é\u0000x"]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(len(texts))), "text": texts})
+    sent = [data for row in suffix_dedup._packer(iter([batch])) for data in row.column(1).to_pylist()]
+    assert [suffix_dedup.unpacked(data, pa.Codec("zstd")).decode() for data in sent] == [text or "" for text in texts]
+    assert sum(map(len, sent)) < 0.6 * sum(len(text or "") for text in texts)
+    start, run, hot = np.array([0, 7, (1 << 31) - 1]), np.array([1, 31, (1 << 15) - 1]), np.array([False, True, True])
+    assert [v.tolist() for v in suffix_dedup._parts_of(suffix_dedup._place(start, run, hot))] == [v.tolist() for v in (start, run, hot)]
+    texts += [texts[0][50:900] + texts[1][7:300], texts[1][40:200] + texts[0][300:700]]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = remove_repeats(made, keep=("text",))
+        assert len(result.collect()) == len(texts)
+        assert "ReusedExchange" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_suffix_dedup_on_awkward_tables(spark):
     rows = remove_repeats(awkward(spark), keep=("text", "start")).collect()
     found = {(r["doc"], r["n_bytes"]): r["n_removed"] for r in rows}

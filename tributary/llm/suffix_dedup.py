@@ -43,7 +43,8 @@ _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 _PLACE_BITS = np.uint64(32)
 
 PHRASES = "part int, trigger array<int>, phrase array<bigint>, doc binary, start binary, run binary"
-SPANS = "doc bigint, start int, run smallint, open boolean, key bigint, hot boolean"
+#: ``settled`` and ``open`` are places, see ``_place``; one of them is null.
+SPANS = "doc bigint, settled bigint, open struct<place: bigint, key: bigint>"
 #: Strings of one trigger that one task compares; those of a trigger with more are dealt by their own bytes.
 HOT_STRINGS = 1 << 16
 
@@ -173,16 +174,22 @@ def _parser(length: int, parts: int):
     return parse
 
 
-def _spans(doc, start, run, open: bool, key=None, hot=None) -> pa.RecordBatch:
-    size = len(doc)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(run, pa.int16()),
-            pa.array(np.full(size, open)), pa.array(np.zeros(size, np.int64) if key is None else key, pa.int64()),
-            pa.array(np.zeros(size, bool) if hot is None else hot),
-        ],
-        names=["doc", "start", "run", "open", "key", "hot"],
-    )
+def _place(start, run, hot=0) -> np.ndarray:
+    """Start and run of a span, and whether its trigger is hot, in one number: few bytes to shuffle."""
+    return np.asarray(start, np.int64) << 17 | np.asarray(run, np.int64) << 1 | np.asarray(hot, np.int64)
+
+
+def _parts_of(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 17, place >> 1 & 0xFFFF, (place & 1).astype(bool)
+
+
+def _spans(doc, place, key=None) -> pa.RecordBatch:
+    """Settled spans, or with the keys of their triggers open ones."""
+    size, place = len(doc), pa.array(place, pa.int64())
+    kind = pa.struct([("place", pa.int64()), ("key", pa.int64())])
+    open = pa.nulls(size, kind) if key is None else pa.StructArray.from_arrays([place, pa.array(key, pa.int64())], fields=list(kind))
+    settled = place if key is None else pa.nulls(size, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), settled, open], names=["doc", "settled", "open"])
 
 
 def _flat(batch: pa.RecordBatch, number: int) -> np.ndarray:
@@ -201,7 +208,8 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(row.as_buffer()) // 8 for row in batch.column(3)], np.int64)
         passing = np.repeat(keyed == 0, sizes)
         if passing.any():
-            yield _spans(*(v[passing] for v in values), False)
+            doc, start, run = (v[passing] for v in values)
+            yield _spans(doc, _place(start, run))
         part = np.repeat(batch.column(0).to_numpy(), keyed).astype(np.int64)
         key = part << 32 | _flat(batch, 1).view(np.uint32).astype(np.int64)
         kept.append([key, _flat(batch, 2), *(v[~passing] for v in values)])
@@ -215,12 +223,12 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     new = new_key | np.concatenate(([True], np.diff(phrase) != 0)) if len(key) else new_key
     first = doc[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(key) else doc
     repeated = doc > first
-    yield _spans(doc[repeated], start[repeated], run[repeated], False)
+    yield _spans(doc[repeated], _place(start[repeated], run[repeated]))
     group = np.cumsum(new_key) - 1
     several = (np.bincount(group, new) > 1)[group] if len(key) else new
     compare = several & ~repeated
     hot = np.bincount(group, run * compare)[group] > HOT_STRINGS if len(key) else compare
-    yield _spans(doc[compare], start[compare], run[compare], True, key[compare], hot[compare])
+    yield _spans(doc[compare], _place(start[compare], run[compare], hot[compare]), key[compare])
 
 
 def _columns_of(whole: bytes, place: np.ndarray, length: int) -> list[np.ndarray]:
@@ -274,28 +282,30 @@ def _cutter(length: int):
     """Bytes of the phrases that must be compared, those of hot triggers as single strings."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 spans = rows.column(2)
                 docs = np.repeat(rows.column(0).to_numpy(), spans.value_lengths().to_numpy())
                 fields = spans.flatten()
-                start, run, key, hot = (fields.field(name).to_numpy(zero_copy_only=False) for name in ("start", "run", "key", "hot"))
-                texts = [(text or "").encode("utf-8", "replace") for text in rows.column(1).field(0).to_pylist()]
+                place, key = (fields.field(name).to_numpy(zero_copy_only=False) for name in ("place", "key"))
+                start, run, hot = _parts_of(place)
+                texts = [unpacked(data, codec) for data in rows.column(1).field(0).to_pylist()]
                 owner = np.repeat(np.arange(rows.num_rows), spans.value_lengths().to_numpy())
-                ends = start + run.astype(np.int64) + length - 1
+                ends = start + run + length - 1
                 data = [texts[o][a:b] for o, a, b in zip(owner.tolist(), start.tolist(), ends.tolist())]
                 plain = ~hot
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key[plain]), pa.array(docs[plain]), pa.array(start[plain]), pa.array(run[plain]),
+                        pa.array(key[plain]), pa.array(docs[plain]), pa.array(start[plain].astype(np.int32)), pa.array(run[plain].astype(np.int16)),
                         pa.array([data[k] for k in np.flatnonzero(plain)], pa.binary()),
                     ],
                     names=["key", "doc", "start", "run", "data"],
                 )
                 if hot.any():
                     chosen = [data[k] for k in np.flatnonzero(hot)]
-                    yield _single_strings(chosen, docs[hot], start[hot], run[hot].astype(np.int64), length)
+                    yield _single_strings(chosen, docs[hot], start[hot], run[hot], length)
 
     return cut
 
@@ -333,7 +343,8 @@ def _comparer(length: int, most: int = 1 << 20):
         for batch in batches:
             settled = batch.filter(batch.column(4).is_null())
             if settled.num_rows:
-                yield _spans(*(settled.column(n).to_numpy() for n in (1, 2, 3)), False)
+                doc, start, run = (settled.column(n).to_numpy() for n in (1, 2, 3))
+                yield _spans(doc, _place(start, run))
             kept.append(batch.filter(batch.column(4).is_valid()))
         rows = pa.Table.from_batches(kept) if kept else None
         if rows is None or not rows.num_rows:
@@ -359,19 +370,53 @@ def _comparer(length: int, most: int = 1 << 20):
                 owner, offset, lowest = first_documents(texts, doc[part], run[part], length, share, shares)
                 repeated = doc[part][owner] > lowest
                 owner, offset = owner[repeated], offset[repeated]
-                yield _spans(doc[part][owner], start[part][owner] + offset, np.ones(len(owner), np.int16), False)
+                yield _spans(doc[part][owner], _place(start[part][owner] + offset, np.ones(len(owner), np.int16)))
             at = end
 
     return compare
 
 
+#: In front of bytes that are not compressed, in place of their length.
+PLAIN = b"\xff" * 8
+
+
+def packed(data: bytes, codec: pa.Codec) -> bytes:
+    """Compressed, with its length in front: a shuffle's own compression leaves half as much again of a text."""
+    return len(data).to_bytes(8, "little") + codec.compress(data, asbytes=True) if data else b""
+
+
+def unpacked(data: bytes | None, codec: pa.Codec) -> bytes:
+    if not data or data.startswith(PLAIN):
+        return (data or b"")[8:]
+    return codec.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
+def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec = pa.Codec("zstd")
+    for rows in (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256)):
+        texts = [packed((text.as_py() or "").encode("utf-8", "replace"), codec) for text in rows.column(1)]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.binary()), *rows.columns[2:]], names=rows.schema.names)
+
+
+def _given(documents: DataFrame, id: str, text: str, keep: tuple[str, ...]) -> DataFrame:
+    kept = [F.col(name).alias(f"_{at}") for at, name in enumerate(keep, 1)]
+    return documents.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("string").alias("_0"), *kept)
+
+
+def _row(rows: DataFrame) -> DataFrame:
+    return rows.select("doc", F.struct(*rows.columns[1:]).alias("row"))
+
+
 def _rows(documents: DataFrame, id: str, text: str, keep: tuple[str, ...]) -> DataFrame:
-    """``(doc, row)``, the text and what is kept in one struct.
+    """``(doc, row)`` of rows with an id, the packed text and what is kept in one struct.
 
     Both joins with the texts ask for the same two columns, so that Spark shuffles the texts once for both.
     """
-    fields = [F.col(name).alias(f"_{at}") for at, name in enumerate((text, *keep))]
-    return documents.select(F.col(id).cast("long").alias("doc"), F.struct(*fields).alias("row"))
+    named = F.col("doc").isNotNull()
+    given = _given(documents, id, text, keep).where(named)
+    kinds = [f"_{at} {documents.schema[name].dataType.simpleString()}" for at, name in enumerate(keep, 1)]
+    # The condition again, behind the packing: a join adds it on one side, and the shuffles must be alike.
+    return _row(given.mapInArrow(_packer, ", ".join(("doc bigint", "_0 binary", *kinds))).where(named))
 
 
 def repeated_spans(
@@ -387,28 +432,22 @@ def repeated_spans(
 
     ``run`` strings of ``length`` bytes from byte ``start`` on are repeats.
     """
-    rows = _rows(documents, id, text, keep).where(F.col("doc").isNotNull())
+    found = _repeated(documents, _rows(documents, id, text, keep), id, text, length, bytes_per_task)
+    span = "struct(cast(shiftright(place, 17) as int) as start, cast(shiftright(place, 1) & 65535 as smallint) as run)"
+    return found.select("doc", F.expr(f"transform(spans, place -> {span})").alias("spans"))
+
+
+def _repeated(documents: DataFrame, rows: DataFrame, id: str, text: str, length: int, bytes_per_task: int = 16 << 20) -> DataFrame:
     usable = documents.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
     usable = usable.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
     size = usable.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     tasks = max(documents.sparkSession.sparkContext.defaultParallelism, -(-size // bytes_per_task))
     parsed = usable.mapInArrow(_parser(length, 4 * tasks), PHRASES)
     found = parsed.repartition(tasks, "part").mapInArrow(_sorter, SPANS)
-    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("start", "run", "open", "key", "hot")).alias("spans"))
-    by_doc = stored(
-        by_doc.select(
-            "doc",
-            F.transform(
-                F.filter("spans", lambda span: ~span["open"]),
-                lambda span: F.struct(span["start"].alias("start"), span["run"].alias("run")),
-            ).alias("settled"),
-            F.filter("spans", lambda span: span["open"]).alias("open"),
-        ),
-        "spans",
-    )
+    by_doc = stored(found.groupBy("doc").agg(*(F.collect_list(name).alias(name) for name in ("settled", "open"))), "spans")
     cut = rows.join(by_doc.where(F.size("open") > 0), "doc").select("doc", "row", "open").mapInArrow(_cutter(length), CUT)
     compared = cut.repartition(tasks, "key").mapInArrow(_comparer(length), SPANS)
-    again = compared.groupBy("doc").agg(F.collect_list(F.struct("start", "run")).alias("settled"))
+    again = compared.groupBy("doc").agg(F.collect_list("settled").alias("settled"))
     return (
         by_doc.select("doc", "settled")
         .unionByName(again)
@@ -435,16 +474,16 @@ def _remover(length: int, with_kept: bool, keep: tuple[str, ...], schema: pa.Sch
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             rows, texts = [], batch.column(1).field(0)
             others = [batch.column(1).field(at) for at in range(1, len(keep) + 1)]
             for at in range(batch.num_rows):
-                data = (texts[at].as_py() or "").encode("utf-8", "replace")
+                data = unpacked(texts[at].as_py(), codec)
                 spans = batch.column(2)[at]
                 kept, removed, count = data, 0, 0
                 if spans.is_valid and len(data) >= length:
-                    places = spans.values.flatten()
-                    starts, runs = (v.to_numpy(zero_copy_only=False).astype(np.int64) for v in places)
+                    starts, runs, _ = _parts_of(spans.values.to_numpy(zero_copy_only=False))
                     first, end = removed_bytes(len(data), starts, runs, length)
                     edges = [0, *np.stack((first, end), axis=1).ravel().tolist(), len(data)]
                     kept = b"".join([data[a:b] for a, b in zip(edges[0::2], edges[1::2])])
@@ -470,10 +509,12 @@ def remove_repeats(
 
     ``kept`` holds the remaining bytes if ``with_kept`` asks for them; a cut may part a character.
     """
-    spans = repeated_spans(documents, id=id, text=text, length=length, keep=keep)
     rows = _rows(documents, id, text, keep)
-    named = rows.where(F.col("doc").isNotNull()).join(spans, "doc", "left").select("doc", "row", "spans")
-    unnamed = rows.where(F.col("doc").isNull()).select("doc", "row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    spans = _repeated(documents, rows, id, text, length)
+    named = rows.join(spans, "doc", "left").select("doc", "row", "spans")
+    plain = F.concat(F.lit(PLAIN), F.col("_0").cast("binary"))
+    others = _row(_given(documents, id, text, keep).where(F.col("doc").isNull()).withColumn("_0", plain))
+    unnamed = others.select("doc", "row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     schema = pa.schema(
         [
             ("doc", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
