@@ -242,9 +242,11 @@ def test_suffix_dedup_shuffles_packed_texts_once(spark):
     made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        result = remove_repeats(made, keep=("text",))
-        assert len(result.collect()) == len(texts)
-        assert "ReusedExchange" in result._jdf.queryExecution().executedPlan().toString()
+        for keep in ((), ("text",)):
+            result = remove_repeats(made, keep=keep)
+            assert len(result.collect()) == len(texts)
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            assert "ReusedExchange" in plan and ("_packer" in plan) == (not keep)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

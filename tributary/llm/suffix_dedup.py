@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import arrow_fields, described, stored
 
@@ -403,6 +403,10 @@ def _given(documents: DataFrame, id: str, text: str, keep: tuple[str, ...]) -> D
     return documents.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("string").alias("_0"), *kept)
 
 
+def _plain() -> Column:
+    return F.concat(F.lit(PLAIN), F.col("_0").cast("binary"))
+
+
 def _row(rows: DataFrame) -> DataFrame:
     return rows.select("doc", F.struct(*rows.columns[1:]).alias("row"))
 
@@ -410,10 +414,14 @@ def _row(rows: DataFrame) -> DataFrame:
 def _rows(documents: DataFrame, id: str, text: str, keep: tuple[str, ...]) -> DataFrame:
     """``(doc, row)`` of rows with an id, the packed text and what is kept in one struct.
 
+    A text that is kept too is not packed: the shuffle's compression finds its second copy, but not next to a packed one.
+
     Both joins with the texts ask for the same two columns, so that Spark shuffles the texts once for both.
     """
     named = F.col("doc").isNotNull()
     given = _given(documents, id, text, keep).where(named)
+    if text in keep:
+        return _row(given.withColumn("_0", _plain()))
     kinds = [f"_{at} {documents.schema[name].dataType.simpleString()}" for at, name in enumerate(keep, 1)]
     # The condition again, behind the packing: a join adds it on one side, and the shuffles must be alike.
     return _row(given.mapInArrow(_packer, ", ".join(("doc bigint", "_0 binary", *kinds))).where(named))
@@ -512,8 +520,7 @@ def remove_repeats(
     rows = _rows(documents, id, text, keep)
     spans = _repeated(documents, rows, id, text, length)
     named = rows.join(spans, "doc", "left").select("doc", "row", "spans")
-    plain = F.concat(F.lit(PLAIN), F.col("_0").cast("binary"))
-    others = _row(_given(documents, id, text, keep).where(F.col("doc").isNull()).withColumn("_0", plain))
+    others = _row(_given(documents, id, text, keep).where(F.col("doc").isNull()).withColumn("_0", _plain()))
     unnamed = others.select("doc", "row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     schema = pa.schema(
         [
