@@ -217,6 +217,39 @@ def test_stream_gives_the_same_tables(spark, inputs):
     assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B", "F"]
 
 
+@pytest.mark.parametrize("broken", [False, True])
+def test_a_stream_call_flattens_once_after_its_batches(spark, inputs, monkeypatch, broken):
+    from types import SimpleNamespace
+
+    from tributary.streaming import available_now
+
+    done = []
+
+    def batch(session, made, files):
+        done.append(("batch", made.flatten))
+        if broken:
+            raise OSError("lost")
+        return SimpleNamespace(had_errors=False)
+
+    def flatten(session, tables, window):
+        done.append(("flat", [kind for _, kind in tables]))
+        return False
+
+    monkeypatch.setattr(available_now, "ingest", batch)
+    monkeypatch.setattr(available_now, "flatten_tables", flatten)
+    checkpoint = inputs / "checkpoint"
+    files = list_files(spark, str(inputs / "importados"), "importados")
+    for name in ("one", "two"):  # a table of the queue each
+        available_now.queue_files(spark, files.where(f"source_file_path like '%/{name}.xml'"), str(checkpoint / "queue"))
+    o = replace(options(inputs), sources=(Source("importados", str(inputs / "importados" / "sub"), "t"),))
+    if broken:
+        with pytest.raises(Exception, match="lost"):
+            ingest_stream(spark, o, str(checkpoint))
+    else:
+        ingest_stream(spark, o, str(checkpoint))
+    assert done == [("batch", False)] * (1 if broken else 2) + [("flat", ["nfe"])]
+
+
 # ------------------------------------------------------------------ files and archives
 
 

@@ -58,6 +58,17 @@ class Source:
         return self.freight_name or f"{self.name}_cte"
 
 
+def targets_of(source: Source) -> list[tuple[str, str, str]]:
+    """Kind, table and source name of what a source gives."""
+    invoices = [("nfe", source.invoice_table, source.name)]
+    return invoices + ([("cte", source.freight_table, source.freight_source)] if source.freight_table else [])
+
+
+def output_tables(sources: tuple[Source, ...]) -> list[tuple[str, str]]:
+    """Path and kind of the tables of all sources."""
+    return [(path, kind) for source in sources for kind, path, _ in targets_of(source)]
+
+
 @dataclass(frozen=True)
 class IngestOptions:
     sources: tuple[Source, ...]
@@ -312,13 +323,10 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
     erring = [row["source"] for row in counts if row["errors"]]
     failed = {row["source"] for row in counts if row["broken"]}
 
-    tables = []
+    at_table = 0
     for source in options.sources:
-        targets = [("nfe", source.invoice_table, source.name)]
-        if source.freight_table:
-            targets.append(("cte", source.freight_table, source.freight_source))
-        for kind, path, name in targets:
-            tables.append((path, kind))
+        for kind, path, name in targets_of(source):
+            at_table += 1
             new_rows = present.get((source.name, kind))
             if not new_rows:
                 continue
@@ -326,7 +334,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
                 key, schema = (X.NFE_KEY, NFE_SCHEMA) if kind == "nfe" else (X.CTE_KEY, CTE_SCHEMA)
                 merge_version(
                     spark, path, _table_of(documents, kind, source.name, name), key=key, schema=schema,
-                    work=f"{work}/losers/{len(tables):03d}", mode=options.mode, new_rows=new_rows,
+                    work=f"{work}/losers/{at_table:03d}", mode=options.mode, new_rows=new_rows,
                 )
             except Exception as error:
                 failed.add(source.name)
@@ -347,7 +355,7 @@ def ingest(spark: SparkSession, options: IngestOptions, files: DataFrame | None
         _note_settled(spark, options, folders, pending, done)
     state.compact_ledger(spark, options.ledger_path, f"{work}/ledger")
 
-    flat_failed = flatten_tables(spark, tables, options.window) if options.flatten else False
+    flat_failed = flatten_tables(spark, output_tables(options.sources), options.window) if options.flatten else False
     had_errors = bool(failed or erring or missing or flat_failed)
     summary = spark.createDataFrame([{k: v for k, v in row.items() if k != "broken"} for row in counts], COUNTS_DDL).coalesce(1).withColumns(
         {

@@ -4,7 +4,8 @@ The stream reads a queue: tables of listed files, each small enough for one micr
 done by tasks, as in a batch run, so every name counts, hidden ones too, and what is new is found by a
 join with the queue. The stream's own checkpoint remembers tables of the queue, a few names for each call,
 and no names of documents. Each micro-batch runs the same job as a batch run over the files of its table,
-so the ledger, the rules and the results are the same.
+so the ledger, the rules and the results are the same. Only the flat copies wait for the end of the call:
+small batches all merge into the same few buckets, and each would flatten these again.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..plans.ingest import IngestOptions, ingest
+from ..plans.flat_tables import flatten_tables
+from ..plans.ingest import IngestOptions, ingest, output_tables
 from ..plans.work import names_in, remove_folder, work_folder
 from ..sources.files import list_files
 
@@ -59,7 +61,8 @@ def ingest_stream(
 
     A call that broke leaves its tables in the queue, and the next one goes on with them. A micro-batch that
     is repeated after a failure is a run of its own: files that the first attempt got into the ledger are
-    skipped, the others are read again and absorbed by keep-latest.
+    skipped, the others are read again and absorbed by keep-latest. The flat copies are brought up to date once,
+    also when a micro-batch fails; what a call could not flatten, the next one does.
     """
     queue = f"{checkpoint_path.rstrip('/')}/queue"
     work = f"{work_folder(spark, options.state_path)}/listing-{uuid.uuid4().hex}"
@@ -72,7 +75,7 @@ def ingest_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{batch_id:08d}-{uuid.uuid4().hex[:8]}"
-        result = ingest(batch.sparkSession, replace(options, run_id=run_id), files=batch)
+        result = ingest(batch.sparkSession, replace(options, run_id=run_id, flatten=False), files=batch)
         if result.had_errors:
             raise RuntimeError(f"micro-batch {batch_id} had errors; it will be repeated")
 
@@ -82,4 +85,9 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        flat_failed = options.flatten and flatten_tables(spark, output_tables(options.sources), options.window)
+    if flat_failed:
+        raise RuntimeError("flat copies could not be brought up to date; the next call tries again")
