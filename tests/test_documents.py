@@ -190,3 +190,35 @@ def test_each_document_is_parsed_once(spark, parsed):
     finally:
         spark.conf.set("spark.sql.debug.maxToStringFields", old)
     assert len(re.findall(r"from_xml\(|xmltostructs\(", plan.lower())) == 2
+
+
+def test_only_texts_that_are_asked_for_are_computed(spark, parsed):
+    old = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        plan = invoice_rows(parsed).select("nNF")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", old)
+    assert "ide[0].nNF[0]" in plan
+    assert "infAdic[0].infCpl[0]" not in plan and "emit[0].xNome[0]" not in plan
+
+
+def test_element_ends_at_its_own_closing_tag(spark):
+    from tributary.plans.documents import element_at_depth, without_sections
+
+    cases = {
+        "<x><NFe><a/></NFe><b/></x>": "<NFe><a/></NFe>",
+        "<x><NFe><o><NFe>i</NFe><NFe/></o></NFe><b/></x>": "<NFe><o><NFe>i</NFe><NFe/></o></NFe>",
+        "<x><NFe/><y><NFe>1</NFe></y></x>": "<NFe/>",
+        "<x><NFe/><NFe/></x>": "<NFe/>",
+        "<x><n:NFe k='>'><m:NFe>1</m:NFe></n:NFe></x>": "<n:NFe k='>'><m:NFe>1</m:NFe></n:NFe>",
+        "<x><NFe>1</NFe ><b/></x>": "<NFe>1</NFe >",
+        "<x><NFe k=\"a>'b\">1</NFe><NFe>2</NFe></x>": "<NFe k=\"a>'b\">1</NFe>",
+        "<x><NFes/><infNFe>1</infNFe></x>": "",
+        "<x/>": "",
+        "<x><!-- <NFe>0</NFe> --><NFe><![CDATA[</NFe>]]></NFe></x>": "<NFe>&lt;/NFe&gt;</NFe>",
+        None: None,
+    }
+    bare = spark.createDataFrame([(text,) for text in cases], "text string").selectExpr("text", f"{without_sections('text')} as bare")
+    rows = bare.selectExpr("text", f"{element_at_depth('bare', 'NFe')} as found")
+    assert {r["text"]: r["found"] for r in rows.collect()} == cases

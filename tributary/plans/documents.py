@@ -43,16 +43,20 @@ def parse_xml(text: str) -> str:
     )
 
 
+def _closed_at_end(text: str, tag: str) -> str:
+    """True when the first closing tag of the root is the end of the text, as it usually is."""
+    at = f"instr({text}, concat('</', {tag}, '>'))"
+    rest = f"ltrim({literal(ASCII_BLANKS)}, substring({text}, {at} + length({tag}) + 3))"
+    return f"coalesce({at} > 0 and {rest} = '', false)"
+
+
 def _ends_with_root(text: str, tag: str) -> str:
     """True when nothing but comments, instructions and blanks follows the root element.
 
     ``from_xml`` stops after the root, so this is what tells two documents glued together, or
-    one followed by junk, from a well-formed one. Usually the first closing tag of the root is
-    also the end of the text; only other texts are looked at by pattern.
+    one followed by junk, from a well-formed one. Only texts that are not :func:`_closed_at_end`
+    are looked at by pattern.
     """
-    closing = f"concat('</', {tag}, '>')"
-    at = f"instr({text}, {closing})"
-    rest = f"btrim(substring({text}, {at} + length({tag}) + 3), {literal(ASCII_BLANKS)})"
     bare = f"regexp_replace({text}, {literal(_NOT_MARKUP)}, '')"
     name = f"{literal(chr(92) + 'Q')}, {tag}, {literal(chr(92) + 'E')}"
     closed_once = (
@@ -62,10 +66,7 @@ def _ends_with_root(text: str, tag: str) -> str:
     self_closed = (
         f"concat({literal(rf'(?s)^{_MISC}<')}, {name}, {literal(r'(?:\s[^<>]*)?/>\s*$')})"
     )
-    return (
-        f"coalesce(case when {at} > 0 and {rest} = '' then true "
-        f"else {bare} rlike {closed_once} or {bare} rlike {self_closed} end, false)"
-    )
+    return f"coalesce({bare} rlike {closed_once} or {bare} rlike {self_closed}, false)"
 
 
 _TAG_REST = r"""(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>"""
@@ -83,14 +84,16 @@ def without_sections(text: str) -> str:
         inside = f"replace({inside}, '{char}', '{entity}')"
     after = "substring(part, instr(part, ']]>') + 3)"
     joined = f"array_join(transform({parts}, (part, at) -> if(at = 0, part, concat({inside}, {after}))), '')"
-    return f"if(contains({text}, '<![CDATA['), {joined}, {kept})"
+    plain = f"not contains({text}, '<!') and not contains({text}, '<?')"
+    return f"case when {plain} then {text} when contains({text}, '<![CDATA[') then {joined} else {kept} end"
 
 
 def element_at_depth(text: str, name: str) -> str:
     """The first element with a local name, at whatever depth, up to its own closing tag; '' if there is none.
 
     ``text`` has no sections left. From the first opening tag on, tags with the name are counted up and
-    down; the element ends where the count is back at zero.
+    down; the element ends where the count is back at zero. Usually that is at the first closing tag like
+    the opening one, with no other tag of the name before it.
     """
     opening = literal(rf"<(?:[^\s<>/:]+:)?{name}{_TAG_REST}")
     tag = literal(rf"</?(?:[^\s<>/:]+:)?{name}{_TAG_REST}")
@@ -103,12 +106,27 @@ def element_at_depth(text: str, name: str) -> str:
         )
         return f"array_join(transform(slice({tags}, 1, {count}), (tag, at) -> concat(get({between}, at), tag)), '')"
 
-    def element(rest: str) -> str:
+    def counted(rest: str) -> str:
         tags, between = f"regexp_extract_all({rest}, {tag}, 0)", f"split({rest}, {tag})"
         return bound(tags, lambda t: bound(between, lambda b: up_to_end(t, b), "between"), "tags")
 
-    found = f"regexp_instr({text}, {opening})"
-    return f"if({found} = 0, '', {bound(f'substring({text}, {found})', element, 'rest')})"
+    def element(rest: str) -> str:
+        closing = f"concat('</', regexp_extract({rest}, {literal(r'^<([^\s/>]+)')}, 1), '>')"
+
+        def usual(end: str) -> str:
+            up_to = f"if(instr({rest}, {end}) = 0, '', substring({rest}, 1, instr({rest}, {end}) + length({end}) - 1))"
+            return bound(up_to, lambda u: bound(f"regexp_extract_all({u}, {tag}, 0)", lambda t: either(u, t), "pair"), "upto")
+
+        def either(up_to: str, pair: str) -> str:
+            opened = f"startswith({up_to}, get({pair}, 0)) and not endswith(get({pair}, 0), '/>')"
+            return f"if(size({pair}) = 2 and {opened} and startswith(get({pair}, 1), '</'), {up_to}, {counted(rest)})"
+
+        return bound(closing, usual, "closing")
+
+    def found(at: str) -> str:
+        return f"if({at} = 0, '', {bound(f'substring({text}, {at})', element, 'rest')})"
+
+    return f"if(not contains({text}, '{name}'), '', {bound(f'regexp_instr({text}, {opening})', found, 'found')})"
 
 
 def _lifted(text: str, wrapper: str, body: str, protocol: str) -> str:
@@ -148,7 +166,7 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         c: f"cast({c if c in given else 'null'} as string)" for c in ("error_type", "error_message")
     }
     if "text" in given:
-        blank = f"btrim(text, {literal(ASCII_BLANKS)}) = ''"
+        blank = f"ltrim({literal(ASCII_BLANKS)}, text) = ''"
         decoded = _sql(documents, keep, text=strip_start("text"), blank=blank, **read_error)
     else:
         decoded = _sql(
@@ -161,19 +179,23 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         tag=f"nullif(regexp_extract(text, {literal(_ROOT)}, 1), '')",
         root=f"nullif(regexp_extract(text, {literal(_ROOT)}, 2), '')",
     )
-    parsed = _generated(
-        rooted, [*keep, *errors, "text", "blank", "tag", "root"], tree=parse_xml("text")
-    )
-
     roots = ", ".join(literal(r) for r in X.CTE_ROOTS)
-    checked = _sql(
-        parsed, [*keep, *errors, "text", "blank", "root", "tree"],
+    closed = _sql(
+        rooted, [*keep, *errors, "text", "blank", "tag", "root"],
+        closed=_closed_at_end("text", "tag"),
         is_cte=f"coalesce(root in ({roots}), false)",
-        whole=f"tree is not null and tree.{CORRUPT_COLUMN} is null and {_ends_with_root('text', 'tag')}",
-        nfe_top=f"if(root = 'NFe', {first_node('tree', 'infNFe')}, {first_node('tree', 'NFe/infNFe')})",
-        cte_top=f"if(root = 'CTe', {first_node('tree', 'infCte')}, {first_node('tree', 'CTe/infCte')})",
+    )
+    # Beside the tree no part of it becomes a column: each wide struct makes the code of a step so
+    # large that the JVM no longer compiles it.
+    parsed = _generated(
+        closed, [*keep, *errors, "text", "blank", "tag", "root", "closed", "is_cte"], tree=parse_xml("text")
     )
 
+    # Spark computes expressions that occur twice ahead of their conditions, so the pattern gets no text then.
+    whole = f"(tree is not null and tree.{CORRUPT_COLUMN} is null and (closed or {_ends_with_root('if(closed, null, text)', 'tag')}))"
+    nfe_top = f"if(root = 'NFe', {first_node('tree', 'infNFe')}, {first_node('tree', 'NFe/infNFe')})"
+    cte_top = f"if(root = 'CTe', {first_node('tree', 'infCte')}, {first_node('tree', 'CTe/infCte')})"
+
     def deeper(top: str, wrapper: str, body: str, protocol: str) -> str:
         return (
             f"(({top} is null and root <> '{body}' and contains(text, '{body}')) or "
@@ -182,20 +204,20 @@ def parse_documents(documents: DataFrame) -> DataFrame:
 
     # Only when a body or protocol exists below the first level is a second, small parse made.
     lifted = (
-        f"case when whole and not is_cte and {deeper('nfe_top', 'nfeProc', 'NFe', 'protNFe')} "
+        f"case when not is_cte and {deeper(nfe_top, 'nfeProc', 'NFe', 'protNFe')} and {whole} "
         f"then {_lifted('text', 'nfeProc', 'NFe', 'protNFe')} "
-        f"when whole and is_cte and {deeper('cte_top', 'cteProc', 'CTe', 'protCTe')} "
+        f"when is_cte and {deeper(cte_top, 'cteProc', 'CTe', 'protCTe')} and {whole} "
         f"then {_lifted('text', 'cteProc', 'CTe', 'protCTe')} end"
     )
     second = _sql(
-        checked,
-        [*keep, *errors, "blank", "root", "tree", "is_cte", "whole", "nfe_top", "cte_top"],
+        parsed, [*keep, *errors, "blank", "root", "tree", "is_cte"],
+        whole=whole,
         deep=parse_xml(lifted),
         undecodable="text is null",
     )
 
-    nfe = f"coalesce(nfe_top, {first_node('deep', 'NFe/infNFe')})"
-    cte = f"coalesce(cte_top, {first_node('deep', 'CTe/infCte')})"
+    nfe = f"coalesce({nfe_top}, {first_node('deep', 'NFe/infNFe')})"
+    cte = f"coalesce({cte_top}, {first_node('deep', 'CTe/infCte')})"
     failed = "error_type is not null"
     usable = f"({failed} or blank or not whole) is not true"
     corrupt = f"({failed} or (blank is not true and not whole))"
@@ -281,24 +303,27 @@ def _struct(columns: dict[str, str]) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in columns.items()) + ")"
 
 
-def _texts(node: str, table: list[X.Field]) -> str:
-    return _struct({f.column: first_text(node, f.path) for f in table})
+def _of_type(table: list[X.Field], kind: str) -> list[X.Field]:
+    return [f for f in table if f.type == kind]
 
 
-def _decimals(texts: str, table: list[X.Field]) -> str:
-    return _struct(
-        {f.column: exact_decimal(f"{texts}.{f.column}") for f in table if f.type == "decimal"}
-    )
+def _texts(prefix: str, table: list[X.Field]) -> dict[str, str]:
+    """Texts of the fields as columns of their own: those nobody asks for are not computed."""
+    return {f"{prefix}_text_{f.column}": first_text(f"{prefix}_body", f.path) for f in table}
+
+
+def _decimals(texts: str, values: str, table: list[X.Field]) -> dict[str, str]:
+    return {f"{values}{f.column}": exact_decimal(f"{texts}{f.column}") for f in _of_type(table, "decimal")}
 
 
 def _warnings(order: list[str], texts: str, values: str) -> str:
-    each = [decimal_warning(c, f"{texts}.{c}", f"{values}.{c}") for c in order]
+    each = [decimal_warning(c, f"{texts}{c}", f"{values}{c}") for c in order]
     return f"array({', '.join(each)})"
 
 
 def _scalars(prefix: str, table: list[X.Field]) -> dict[str, str]:
     return {
-        f.column: f"{prefix}_{'texts' if f.type == 'text' else 'values'}.{f.column}" for f in table
+        f.column: f"{prefix}_{'text' if f.type == 'text' else 'value'}_{f.column}" for f in table
     }
 
 
@@ -318,23 +343,28 @@ def _with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def _with_invoice_parts(documents: DataFrame) -> DataFrame:
     # An item without a product part is NULL in all of its lists.
-    raw = _struct({f.column: first_node("det", f.path) for f in X.NFE_ITEMS})
-    raw = f"transform(nfe_body.det, det -> if({first_node('det', 'prod')} is null, null, {raw}))"
-    item = _struct({f.column: clean_parsed(f"raw.{f.column}") for f in X.NFE_ITEMS})
+    def items(kind: str) -> str:
+        fields = _of_type(X.NFE_ITEMS, kind)
+        raw = _struct({f.column: first_node("det", f.path) for f in fields})
+        raw = f"transform(nfe_body.det, det -> if({first_node('det', 'prod')} is null, null, {raw}))"
+        item = _struct({f.column: clean_parsed(f"raw.{f.column}") for f in fields})
+        return f"coalesce(transform({raw}, raw -> if(raw is null, null, {item})), array())"
+
     read = _with_sql(
         documents,
         {
-            "nfe_texts": _texts("nfe_body", X.NFE_SCALARS),
-            "nfe_items": f"coalesce(transform({raw}, raw -> if(raw is null, null, {item})), array())",
+            **_texts("nfe", X.NFE_SCALARS),
+            "nfe_items": items("text"),
+            "nfe_item_numerals": items("decimal"),
             **_key_parts("nfe", "infProt/chNFe", "NFe"),
         },
     )
-    item_values = f"if(item is null, null, {_decimals('item', X.NFE_ITEMS)})"
+    item_values = f"if(item is null, null, {_struct(_decimals('item.', '', X.NFE_ITEMS))})"
     return _with_sql(
         read,
         {
-            "nfe_values": _decimals("nfe_texts", X.NFE_SCALARS),
-            "nfe_item_values": f"transform(nfe_items, item -> {item_values})",
+            **_decimals("nfe_text_", "nfe_value_", X.NFE_SCALARS),
+            "nfe_item_values": f"transform(nfe_item_numerals, item -> {item_values})",
         },
     )
 
@@ -362,10 +392,10 @@ def _invoice_columns() -> dict[str, str]:
         f"when nfe_key is null then {literal(X.WARN_NFE_NO_KEY)} end"
     )
     per_item = (
-        "flatten(zip_with(nfe_items, nfe_item_values, (item, value) -> "
-        f"{_warnings(X.NFE_ITEM_WARNING_ORDER, 'item', 'value')}))"
+        "flatten(zip_with(nfe_item_numerals, nfe_item_values, (item, value) -> "
+        f"{_warnings(X.NFE_ITEM_WARNING_ORDER, 'item.', 'value.')}))"
     )
-    scalar = _warnings(X.NFE_SCALAR_WARNING_ORDER, "nfe_texts", "nfe_values")
+    scalar = _warnings(X.NFE_SCALAR_WARNING_ORDER, "nfe_text_", "nfe_value_")
     return _in_order(NFE_SCHEMA, values, [f"array({date_warning}, {key_warning})", scalar, per_item])
 
 
@@ -376,7 +406,7 @@ def _with_freight_parts(documents: DataFrame) -> DataFrame:
     read = _with_sql(
         documents,
         {
-            "cte_texts": _texts("cte_body", X.CTE_SCALARS),
+            **_texts("cte", X.CTE_SCALARS),
             "cte_cargo": f"transform({cargo}, n -> {first_text('n', 'qCarga')})",
             "cte_linked": f"transform({linked}, n -> {first_text('n', 'chave')})",
             "cte_volumes": f"transform({volumes}, n -> {first_text('n', 'qVol')})",
@@ -386,7 +416,7 @@ def _with_freight_parts(documents: DataFrame) -> DataFrame:
     return _with_sql(
         read,
         {
-            "cte_values": _decimals("cte_texts", X.CTE_SCALARS),
+            **_decimals("cte_text_", "cte_value_", X.CTE_SCALARS),
             "cte_cargo_values": f"transform(cte_cargo, t -> {exact_decimal('t')})",
             "cte_volume_values": f"transform(cte_volumes, t -> {exact_decimal('t')})",
         },
@@ -407,7 +437,7 @@ def _freight_columns() -> dict[str, str]:
         f"case when cte_key_fallback then {literal(X.WARN_CTE_KEY_FALLBACK)} "
         f"when cte_key is null then {literal(X.WARN_CTE_NO_KEY)} end)"
     )
-    scalar = _warnings(X.CTE_SCALAR_WARNING_ORDER, "cte_texts", "cte_values")
+    scalar = _warnings(X.CTE_SCALAR_WARNING_ORDER, "cte_text_", "cte_value_")
 
     def of_list(column: str, texts: str, numbers: str) -> str:
         return f"zip_with({texts}, {numbers}, (t, v) -> {decimal_warning(column, 't', 'v')})"

@@ -39,7 +39,7 @@ from .work import remove_folder, work_folder
 log = logging.getLogger(__name__)
 
 BYTES_PER_TASK = 64 << 20
-DOCUMENTS_PER_TASK = 20_000
+DOCUMENTS_PER_TASK = 50_000
 ARCHIVES_PER_TASK = 16
 
 
