@@ -454,3 +454,53 @@ def test_files_of_equal_texts_take_one_place_on_disk(spark, tmp_path, monkeypatc
     listed = [list_files(spark, str(tmp_path / name), "s", str(tmp_path / f"work-{name}")) for name in ("shared", "single")]
     assert [sorted(r["length"] for r in files.collect()) for files in listed][0] == sorted(len(t) for t in dict(rows).values())
     assert listed[0].count() == listed[1].count() == 42
+
+
+def test_batches_are_merged_once_and_wait_for_the_next_call_if_that_fails(spark, inputs, monkeypatch):
+    from tributary.plans import ingest as plan
+    from tributary.streaming import available_now
+
+    merged, merge = [], plan.merge_version
+
+    def lost(session, path, *args, **kwargs):
+        raise OSError("lost")
+
+    def counted(session, path, *args, **kwargs):
+        merged.append(path)
+        return merge(session, path, *args, **kwargs)
+
+    o = options(inputs, flatten=False)
+    o, checkpoint = replace(o, sources=o.sources[:1]), inputs / "checkpoint"
+    files = list_files(spark, o.sources[0].root, "importados")
+    for some in ("like", "not like"):  # a table of the queue each
+        available_now.queue_files(spark, files.where(f"source_file_path {some} '%/one.xml'"), f"{checkpoint}/queue")
+    monkeypatch.setattr(plan, "merge_version", lost)
+    with pytest.raises(RuntimeError, match="could not be merged"):
+        ingest_stream(spark, o, str(checkpoint))
+    assert state.known_files(state.read_ledger(spark, o.ledger_path)).count() == 0
+    monkeypatch.setattr(plan, "merge_version", counted)
+    ingest_stream(spark, o, str(checkpoint))
+    assert merged == [str(inputs / "out/importados")]
+    assert keys(spark, inputs / "out/importados", NFE_SCHEMA, "chNFe") == ["A", "B"]
+    ledger = state.known_files(state.read_ledger(spark, o.ledger_path)).select("source_file_path").collect()
+    assert sorted(r[0].rsplit("/", 1)[1] for r in ledger) == ["old.xml", "one.xml", "two.xml", "way.xml"]
+    held = state.read_quarantine(spark, o.quarantine_path).select("source_path", "retry_count").collect()
+    assert [(r[0].rsplit("/", 1)[1], r[1]) for r in held] == [("bad.xml", 1)]
+    assert not (checkpoint / "staged").exists()
+
+
+def test_merging_waits_no_longer_than_its_bytes(spark, inputs, monkeypatch):
+    from types import SimpleNamespace
+
+    from tributary.streaming import available_now
+
+    done = []
+    monkeypatch.setattr(available_now, "ingest", lambda session, made, files: done.append("batch") or SimpleNamespace(had_errors=False))
+    monkeypatch.setattr(available_now, "staged_bytes", lambda *args: available_now.BYTES_PER_MERGE // 2)
+    monkeypatch.setattr(available_now, "settle", lambda *args: bool(done.append("merge")))
+    files = list_files(spark, str(inputs / "importados"), "importados")
+    for name in ("one", "two", "old"):
+        available_now.queue_files(spark, files.where(f"source_file_path like '%/{name}.xml'"), str(inputs / "checkpoint" / "queue"))
+    o = options(inputs, flatten=False)
+    ingest_stream(spark, replace(o, sources=(Source("importados", str(inputs / "importados" / "sub"), "t"),)), str(inputs / "checkpoint"))
+    assert done == ["merge", "batch", "batch", "merge", "batch", "merge"]
